@@ -14,8 +14,8 @@ def _col(c: str | Column) -> Column:
 
 
 def round2(c: str | Column) -> Column:
-    """Two decimals, half to even."""
-    return F.bround(_col(c), 2)
+    """Two decimals, half to even on the scaled binary value, as array libraries round."""
+    return F.rint(_col(c) * 100) / 100
 
 
 def clip(c: str | Column, low: float, high: float) -> Column:

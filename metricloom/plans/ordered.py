@@ -147,6 +147,7 @@ def lay_out(
     Without `parts`, adaptive execution sizes the parts by bytes. The input position is the last
     sort column, so even exact copies of one row can go to different parts.
     """
+    df = df.drop(PART, IDX)
     by = [F.col(k).asc() for k in keys]
     by += [F.col(c).asc() if isinstance(c, str) else c for c in order]
     by.append(F.col("_seq").asc())

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from metricloom.functions.scalar import round2
+
 
 @dataclass(frozen=True)
 class Series:
@@ -28,6 +30,6 @@ def series_view(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("series_key"),
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
-        F.least(F.bround("value", 2), F.lit(100.0)).alias("cpu_utilization"),
+        F.least(round2("value"), F.lit(100.0)).alias("cpu_utilization"),
         (F.col("value") > 120).cast("int").alias("is_anomaly"),
     )
