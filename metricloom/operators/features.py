@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -22,7 +23,7 @@ from metricloom.operators.stats import (
 )
 from metricloom.plans.attach import attach, null_safe_join
 from metricloom.plans.ordered import CHUNK, CHUNK_ROWS, HOME, IDX, PART, Ordered, order_series
-from metricloom.plans.profile import average_rank, quantiles, value_profile
+from metricloom.plans.profile import ValueProfile, average_rank, quantiles, value_profile
 from metricloom.plans.workspace import materialize
 from metricloom.series import Series
 
@@ -52,9 +53,11 @@ def feature_names(windows=WINDOWS) -> list[str]:
     ]
 
 
-def fit_stats(df: DataFrame, spec: Series = Series(), parts: int | None = None) -> DataFrame:
+def fit_stats(
+    df: DataFrame, spec: Series = Series(), parts: int | None = None, profile: ValueProfile | None = None
+) -> DataFrame:
     """Per-series statistics that scoring can reuse: sizes, min, max, mean, std, quartiles."""
-    profile = value_profile(df, spec.keys, spec.value, parts=parts)
+    profile = profile or value_profile(df, spec.keys, spec.value, parts=parts)
     quartiles = quantiles(profile, {"q1": 0.25, "q3": 0.75})
     distinct = profile.rows.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n_distinct"))
     stats = null_safe_join(series_stats(df, spec), quartiles, list(spec.keys))
@@ -62,7 +65,7 @@ def fit_stats(df: DataFrame, spec: Series = Series(), parts: int | None = None)
 
 
 def value_features(
-    rows: DataFrame,
+    profile: ValueProfile,
     stats: DataFrame,
     spec: Series = Series(),
     contamination: float = 0.1,
@@ -72,14 +75,17 @@ def value_features(
 ) -> DataFrame:
     """All that follows from a sample's value alone: one written row per (series, value)."""
     keys, name = list(spec.keys), spec.value
-    profile = value_profile(rows, keys, name, parts=parts)
-    lof = flag_lowest(lof_scores(profile, neighbours), keys, name, "lof_anomaly", contamination, parts)
-    iso = flag_lowest(
-        isolation_scores(profile, seed=seed, parts=parts), keys, name, "iso_forest_anomaly", contamination, parts
+    scored = {
+        "lof_anomaly": lof_scores(profile, neighbours),
+        "iso_forest_anomaly": isolation_scores(profile, seed=seed, parts=parts),
+    }
+    tagged = reduce(DataFrame.unionByName, [s.withColumn("_detector", F.lit(d)) for d, s in scored.items()])
+    flagged = flag_lowest(tagged, [*keys, "_detector"], name, "_flag", contamination, parts)
+    votes = flagged.groupBy(*keys, name).agg(
+        *[F.max(F.when(F.col("_detector") == d, F.col("_flag"))).alias(d) for d in scored]
     )
     table = profile.rows.select(*keys, name, "n", average_rank(profile).alias("cpu_rank"))
-    for flags, column in ((lof, "lof_anomaly"), (iso, "iso_forest_anomaly")):
-        table = null_safe_join(table, flags.select(*keys, name, column), [*keys, name])
+    table = null_safe_join(table, votes, [*keys, name])
     table = attach(table, stats, keys, weight="n_distinct", written=True)
     value = F.col(name)
     z = deviation(value)
@@ -144,9 +150,10 @@ def all_features(
     ordered = order_series(src, spec, parts)
     rows = ordered.rows
     payload = [c for c in rows.columns if c not in (PART, IDX)]
-    own = fit_stats(rows, spec, parts)
+    profile = value_profile(rows, keys, spec.value, parts=parts)
+    own = fit_stats(rows, spec, parts, profile)
     by_value = value_features(
-        rows, own if stats is None else stats, spec, contamination, neighbours, seed, parts
+        profile, own if stats is None else stats, spec, contamination, neighbours, seed, parts
     )
     by_hour, by_date = _calendar_means(rows, spec)
 
