@@ -87,7 +87,7 @@ def rolling_trend(spark, sf):
 
 @query
 def rolling_long_frames(spark, sf):
-    """300-row frames over many small parts and chunks, in the form whose cost does not grow with the frame."""
+    """300-row frames over many small parts and chunks."""
     out = rolling.rolling_stats(
         series(spark, sf), (5,), rows_per_minute=60, stats=("mean", "std", "max", "min", "trend"), parts=6, chunk_rows=701
     )

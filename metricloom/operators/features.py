@@ -14,7 +14,7 @@ from metricloom.operators.detectors import (
     zscore_flag,
 )
 from metricloom.operators.rolling import (
-    LONG_FRAME, STATS, STREAKS, WINDOWS, add_rolling, anomaly_counts, coefficient_of_variation, high_usage_counts,
+    STATS, STREAKS, WINDOWS, Track, add_rolling, anomaly_counts, coefficient_of_variation, high_usage_counts,
     rolling_stats,
 )
 from metricloom.operators.runs import fill_chain
@@ -138,7 +138,6 @@ def all_features(
     seed: int = 42,
     parts: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
-    long_frame: int = LONG_FRAME,
 ) -> DataFrame:
     """Input columns plus every feature of `feature_names(windows)`.
 
@@ -174,18 +173,15 @@ def all_features(
     frames = {w: w * rows_per_minute for w in windows}
     reach = max(*frames.values(), *STREAKS) - 1
     dealt = ordered.with_rows(enriched).chunked(reach, chunk_rows=chunk_rows)
-    window = ordered.chunk_window()
-    streaks = {
-        f"{name}_{n}": F.sum(source).over(window.rowsBetween(-(n - 1), 0))
-        for name, source in (("high_usage_streak", "is_high_usage"), ("anomaly_streak", "algorithm_agreement"))
-        for n in STREAKS
-    }
-    dealt = dealt.select("*", *[c.alias(n) for n, c in streaks.items()])
-    dealt = add_rolling(dealt, keys, spec.value, frames, STATS, long_frame)
+    nulls = not own.filter("n_values < n_rows").isEmpty()
+    flags = {"high_usage_streak": "is_high_usage", "anomaly_streak": "algorithm_agreement"}
+    streaks = {name: Track(F.col(source).cast("long"), STREAKS) for name, source in flags.items()}
+    dealt = add_rolling(dealt, keys, spec.value, frames, STATS, nulls, streaks)
+    dealt = dealt.withColumnsRenamed({f"_{name}_w{n}": f"{name}_{n}" for name in flags for n in STREAKS})
     dealt = coefficient_of_variation(dealt.filter(F.col(HOME) == F.col(CHUNK)), windows)
 
     features = feature_names(windows)
-    if own.filter("n_values < n_rows").isEmpty():
+    if not nulls:
         return dealt.select(*payload, *[F.coalesce(c, F.lit(0)).alias(c) for c in features])
     holed = materialize(dealt.select(*payload, PART, IDX, *features), "features")
     return fill_chain(ordered.with_rows(holed), [spec.value, *features], spec)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metricloom.functions.scalar import EPSILON, flag
@@ -10,11 +13,100 @@ from metricloom.plans.ordered import CHUNK, CHUNK_ROWS, HOME, IDX, PART, RN, Ord
 from metricloom.series import Series
 
 WINDOWS = (5, 15, 30, 60)
-LONG_FRAME = 200
 STATS = ("mean", "std", "max", "min", "range", "change", "pct_change", "trend")
 STREAKS = (3, 5, 10)
 
 
+@dataclass(frozen=True)
+class Track:
+    """One quantity that is folded over trailing frames of several lengths.
+
+    `moved` gives its value `o` rows further back from the lagged tracks: a weighted sum such as
+    sum(j * x[i-j]) gains o * sum(x[i-j]) when its block starts o rows earlier.
+    """
+
+    base: Column
+    frames: tuple[int, ...]
+    kind: str = "sum"
+    moved: Callable[[Callable[[str], Column], int], Column] | None = None
+
+
+def fold_frames(dealt: DataFrame, window, tracks: dict[str, Track]) -> DataFrame:
+    """Add `_{track}_w{n}`: each track folded over the last n rows, for each n of its frames.
+
+    Spark slides a frame by folding all its rows again. Here blocks of 1, 2, 4, ... rows are built by
+    doubling, each from the block before it and its lag, and a frame of n rows is put together from the
+    blocks in the binary form of n. That takes log2(n) lags per row, subtracts nothing and so loses no
+    digits, and every step uses one window specification: no further shuffle or sort.
+    """
+    longest = max(max(t.frames) for t in tracks.values())
+    payload = dealt.columns
+    dealt = dealt.select("*", *[t.base.alias(f"_{n}_1") for n, t in tracks.items()])
+    done: dict[str, str] = {}
+    k = 1
+    while k <= longest:
+
+        def block(name: str, offset: int, k=k) -> Column:
+            """A block of k rows that ends `offset` rows before the current one."""
+            column = f"_{name}_{k}"
+            if offset == 0:
+                return F.col(column)
+            default = 0 if tracks[name].kind == "sum" else None
+            return F.lag(column, offset, default).over(window)
+
+        def shifted(name: str, offset: int) -> Column:
+            track = tracks[name]
+            if track.moved is None or offset == 0:
+                return block(name, offset)
+            return track.moved(lambda other: block(other, offset), offset)
+
+        made: dict[str, Column] = {}
+        for name, track in tracks.items():
+            pick = F.greatest if track.kind == "max" else F.least
+            for n in track.frames:
+                result = f"_{name}_w{n}"
+                if track.kind == "sum" and n & k:
+                    rest = n & (k - 1)
+                    piece = shifted(name, rest)
+                    made[f"{result}_{k}"] = F.col(done[result]) + piece if rest else piece
+                    done[result] = f"{result}_{k}"
+                elif track.kind != "sum" and k <= n < 2 * k:
+                    here = block(name, 0)
+                    made[f"{result}_{k}"] = pick(here, block(name, n - k)) if n > k else here
+                    done[result] = f"{result}_{k}"
+            if 2 * k <= max(track.frames):
+                here, before = block(name, 0), shifted(name, k)
+                made[f"_{name}_{2 * k}"] = here + before if track.kind == "sum" else pick(here, before)
+        kept = [c for c in done.values() if c not in made]
+        dealt = dealt.select(*payload, *kept, *[c.alias(n) for n, c in made.items()])
+        k *= 2
+    return dealt.select(*payload, *[F.col(c).alias(n) for n, c in done.items()])
+
+
+def value_tracks(value: str, frames, trend: bool, nulls: bool) -> dict[str, Track]:
+    """Tracks of the value: extremes, sums of the centred value and its square, and for the trend
+    the sum weighted by the distance j to the current row. Where values are missing, the counts and
+    the sums of j and j * j over the present ones are tracked too; else they follow from the length."""
+    frames = tuple(sorted(set(frames)))
+    v = F.col(value)
+    d = F.coalesce(v - F.col("_centre"), F.lit(0.0))
+    tracks = {
+        "max": Track(v, frames, "max"),
+        "min": Track(v, frames, "min"),
+        "s": Track(d, frames),
+        "q": Track(d * d, frames),
+    }
+    if trend:
+        tracks["x"] = Track(F.lit(0.0), frames, moved=lambda at, o: at("x") + o * at("s"))
+    if nulls:
+        tracks["n"] = Track(v.isNotNull().cast("long"), frames)
+        if trend:
+            zero = F.lit(0).cast("long")
+            tracks["t"] = Track(zero, frames, moved=lambda at, o: at("t") + o * at("n"))
+            tracks["u"] = Track(zero, frames, moved=lambda at, o: at("u") + 2 * o * at("t") + o * o * at("n"))
+    return tracks
+
+
 def rolling_stats(
     src: DataFrame | Ordered,
     windows=WINDOWS,
@@ -23,113 +115,61 @@ def rolling_stats(
     stats=STATS,
     parts: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
-    long_frame: int = LONG_FRAME,
 ) -> DataFrame:
     """Add `{W}min_{stat}` over the last W * rows_per_minute rows of the series, current included."""
     ordered = order_series(src, spec, parts)
     payload = [c for c in ordered.rows.columns if c not in (PART, IDX)]
     frames = {w: w * rows_per_minute for w in windows}
+    nulls = not ordered.rows.filter(F.col(spec.value).isNull()).isEmpty()
     dealt = ordered.chunked(max(frames.values()) - 1, chunk_rows=chunk_rows)
-    dealt = add_rolling(dealt, ordered.keys, spec.value, frames, stats, long_frame)
+    dealt = add_rolling(dealt, ordered.keys, spec.value, frames, stats, nulls)
     names = [f"{w}min_{s}" for w in windows for s in STATS if s in stats]
     return dealt.filter(F.col(HOME) == F.col(CHUNK)).select(*payload, *names)
 
 
 def add_rolling(
-    dealt: DataFrame, keys, value: str, frames: dict[int, int], stats=STATS, long_frame: int = LONG_FRAME
+    dealt: DataFrame,
+    keys,
+    value: str,
+    frames: dict[int, int],
+    stats=STATS,
+    nulls: bool = True,
+    others: dict[str, Track] | None = None,
 ) -> DataFrame:
-    """Rolling columns on rows that are dealt to chunks already."""
-    chunk = Window.partitionBy(*keys, CHUNK).orderBy(RN)
-    short = {w: n for w, n in frames.items() if n <= long_frame}
-    long = {w: n for w, n in frames.items() if n > long_frame}
-    v = F.col(value)
+    """Rolling columns on rows that are dealt to chunks already; `others` are folded along."""
+    payload = dealt.columns
+    trend, v = "trend" in stats, F.col(value)
+    dealt = dealt.withColumn("_centre", F.avg(v).over(Window.partitionBy(*keys, CHUNK)))
+    tracks = value_tracks(value, frames.values(), trend, nulls) | (others or {})
+    dealt = fold_frames(dealt, Window.partitionBy(*keys, CHUNK).orderBy(RN), tracks)
     columns: dict[str, Column] = {}
-    for w, n in short.items():
-        frame = chunk.rowsBetween(-(n - 1), 0)
-        columns[f"{w}min_mean"] = F.avg(v).over(frame)
-        columns[f"{w}min_std"] = F.coalesce(F.stddev_samp(v).over(frame), F.lit(0.0))
-        columns[f"{w}min_max"] = F.max(v).over(frame)
-        columns[f"{w}min_min"] = F.min(v).over(frame)
-        if "trend" in stats:
-            columns[f"{w}min_trend"] = F.coalesce(
-                F.when(F.count(v).over(frame) >= 2, F.regr_slope(v, F.col(RN)).over(frame)), F.lit(0.0)
-            )
-    dealt = dealt.select("*", *[c.alias(n) for n, c in columns.items()])
-    if long:
-        dealt = _long_frames(dealt, keys, value, long, "trend" in stats)
-    derived: dict[str, Column] = {}
-    for w in frames:
-        mean = F.col(f"{w}min_mean")
-        derived[f"{w}min_range"] = F.col(f"{w}min_max") - F.col(f"{w}min_min")
-        derived[f"{w}min_change"] = v - mean
-        derived[f"{w}min_pct_change"] = v / (mean + EPSILON) - 1
-    return dealt.select("*", *[c.alias(n) for n, c in derived.items()])
-
-
-def _long_frames(dealt: DataFrame, keys, value: str, frames: dict[int, int], trend: bool) -> DataFrame:
-    """Frames of n rows at a cost per row that does not grow with n.
-
-    Sums are differences of running sums that start anew in each chunk and run over centred
-    values. Extremes combine a running extreme forward inside blocks of n rows with one backward.
-    """
-    chunk = Window.partitionBy(*keys, CHUNK).orderBy(RN)
-    whole = Window.partitionBy(*keys, CHUNK)
-    so_far = chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = dealt.columns
-    v = F.col(value)
-    dealt = dealt.select(
-        "*",
-        F.avg(v).over(whole).alias("_centre"),
-        F.when(v.isNotNull(), F.col(RN) - F.min(RN).over(whole)).alias("_t"),
-    )
-    d, t = v - F.col("_centre"), F.col("_t")
-    sums = {"_n": F.when(v.isNotNull(), 1).otherwise(0), "_sv": d, "_svv": d * d}
-    if trend:
-        sums |= {"_st": t, "_stt": t * t, "_stv": t * d}
-    dealt = dealt.select(
-        "*", *[F.coalesce(F.sum(e).over(so_far), F.lit(0)).alias(f"{n}_run") for n, e in sums.items()]
-    )
-    for w, n in frames.items():
-        block = F.floor(F.col(RN) / F.lit(n))
-        dealt = dealt.withColumn("_block", block)
-        blocks = Window.partitionBy(*keys, CHUNK, "_block")
-        forward = blocks.orderBy(RN).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        backward = blocks.orderBy(F.col(RN).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        dealt = dealt.select(
-            "*",
-            F.max(v).over(forward).alias("_max_f"),
-            F.min(v).over(forward).alias("_min_f"),
-            F.max(v).over(backward).alias("_max_b"),
-            F.min(v).over(backward).alias("_min_b"),
-        )
-        dealt = dealt.select(
-            *[c for c in dealt.columns if c not in ("_max_f", "_min_f", "_max_b", "_min_b", "_block")],
-            F.greatest("_max_f", F.lag("_max_b", n - 1).over(chunk)).alias(f"{w}min_max"),
-            F.least("_min_f", F.lag("_min_b", n - 1).over(chunk)).alias(f"{w}min_min"),
-            *[
-                (F.col(f"{s}_run") - F.coalesce(F.lag(f"{s}_run", n).over(chunk), F.lit(0))).alias(s)
-                for s in sums
-            ],
-        )
-        count = F.col("_n")
-        mean = F.when(count > 0, F.col("_sv") / count)
-        spread = F.greatest(F.col("_svv") - F.col("_sv") * mean, F.lit(0.0))
-        flat = F.col(f"{w}min_max") == F.col(f"{w}min_min")
-        columns = {
-            f"{w}min_mean": F.when(flat, F.col(f"{w}min_max")).otherwise(F.col("_centre") + mean),
-            f"{w}min_std": F.when(flat | (count < 2), F.lit(0.0)).otherwise(F.sqrt(spread / (count - 1))),
-        }
+    for w, rows in frames.items():
+
+        def at(name: str, rows=rows) -> Column:
+            return F.col(f"_{name}_w{rows}")
+
+        length = F.least(F.lit(rows).cast("long"), F.col(RN) + 1)
+        count = at("n") if nulls else length
+        present = F.when(count > 0, count)
+        flat = at("max") == at("min")
+        mean = F.when(flat, at("max")).otherwise(F.col("_centre") + at("s") / present)
+        squares = F.greatest(at("q") - at("s") * at("s") / present, F.lit(0.0))
+        columns[f"{w}min_mean"] = mean
+        columns[f"{w}min_std"] = F.when(flat | (count < 2), F.lit(0.0)).otherwise(F.sqrt(squares / (count - 1)))
+        columns[f"{w}min_max"] = at("max")
+        columns[f"{w}min_min"] = at("min")
+        columns[f"{w}min_range"] = at("max") - at("min")
+        columns[f"{w}min_change"] = v - mean
+        columns[f"{w}min_pct_change"] = v / (mean + EPSILON) - 1
         if trend:
-            along = F.col("_stv") - F.col("_st") * mean
-            across = F.col("_stt") - F.col("_st") * F.col("_st") / count
-            columns[f"{w}min_trend"] = F.when(
-                flat | (count < 2), F.lit(0.0)
-            ).otherwise(F.try_divide(along, across))
-        dealt = dealt.withColumns(
-            {n_: F.coalesce(c, F.lit(0.0)) if not n_.endswith("_mean") else c for n_, c in columns.items()}
-        ).drop(*sums)
-    kept = [f"{w}min_{s}" for w in frames for s in ("mean", "std", "max", "min", *(["trend"] if trend else []))]
-    return dealt.select(*before, *kept)
+            back = at("t") if nulls else length * (length - 1) / 2
+            back_squares = at("u") if nulls else (length - 1) * length * (2 * length - 1) / 6
+            along = at("x") - back * at("s") / present
+            across = back_squares - back * back / present
+            slope = F.when(flat | (count < 2), F.lit(0.0)).otherwise(F.try_divide(-along, across))
+            columns[f"{w}min_trend"] = F.coalesce(slope, F.lit(0.0))
+    folded = [f"_{n}_w{rows}" for n, t in (others or {}).items() for rows in t.frames]
+    return dealt.select(*payload, *folded, *[c.alias(n) for n, c in columns.items()])
 
 
 def coefficient_of_variation(df: DataFrame, windows=WINDOWS) -> DataFrame:
@@ -151,14 +191,10 @@ def rolling_counts(
     ordered = order_series(src, spec, parts)
     payload = [c for c in ordered.rows.columns if c not in (PART, IDX)]
     dealt = ordered.chunked(max(lengths) - 1, chunk_rows=chunk_rows)
-    window = ordered.chunk_window()
-    counts = [
-        F.sum(f).over(window.rowsBetween(-(n - 1), 0)).alias(f"{name}_{n}")
-        for name, f in flags.items()
-        for n in lengths
-    ]
-    return dealt.select("*", *counts).filter(F.col(HOME) == F.col(CHUNK)).select(
-        *payload, *[f"{name}_{n}" for name in flags for n in lengths]
+    tracks = {name: Track(F.coalesce(f.cast("long"), F.lit(0)), tuple(lengths)) for name, f in flags.items()}
+    counted = fold_frames(dealt, ordered.chunk_window(), tracks).filter(F.col(HOME) == F.col(CHUNK))
+    return counted.select(
+        *payload, *[F.col(f"_{name}_w{n}").alias(f"{name}_{n}") for name in flags for n in lengths]
     )
 
 
