@@ -94,9 +94,9 @@ def value_features(
         name,
         "n",
         "cpu_rank",
-        normalized(value).alias("cpu_normalized"),
-        z.alias("cpu_deviation_from_mean"),
-        z.alias("z_score"),
+        F.coalesce(normalized(value), F.lit(0.0)).alias("cpu_normalized"),
+        F.coalesce(z, F.lit(0.0)).alias("cpu_deviation_from_mean"),
+        F.coalesce(z, F.lit(0.0)).alias("z_score"),
         flag(F.abs(z) > 3).alias("z_score_anomaly"),
         outside_fences(value).alias("iqr_anomaly"),
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("iso_forest_anomaly", "lof_anomaly")],
@@ -182,7 +182,7 @@ def all_features(
 
     features = feature_names(windows)
     if not nulls:
-        return dealt.select(*payload, *[F.coalesce(c, F.lit(0)).alias(c) for c in features])
+        return dealt.select(*payload, *features)
     holed = materialize(dealt.select(*payload, PART, IDX, *features), "features")
     return fill_chain(ordered.with_rows(holed), [spec.value, *features], spec)
 

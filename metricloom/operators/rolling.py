@@ -31,16 +31,22 @@ class Track:
     moved: Callable[[Callable[[str], Column], int], Column] | None = None
 
 
-def fold_frames(dealt: DataFrame, window, tracks: dict[str, Track]) -> DataFrame:
+def fold_frames(
+    dealt: DataFrame, window, tracks: dict[str, Track], finish: dict[int, "FrameStats"] | None = None
+) -> DataFrame:
     """Add `_{track}_w{n}`: each track folded over the last n rows, for each n of its frames.
 
+    `finish` names frames whose tracks become other columns as soon as they are complete. That spreads
+    the arithmetic over the steps: generated code stays small enough for the JIT compiler.
+
     Spark slides a frame by folding all its rows again. Here blocks of 1, 2, 4, ... rows are built by
     doubling, each from the block before it and its lag, and a frame of n rows is put together from the
     blocks in the binary form of n. That takes log2(n) lags per row, subtracts nothing and so loses no
     digits, and every step uses one window specification: no further shuffle or sort.
     """
     longest = max(max(t.frames) for t in tracks.values())
-    payload = dealt.columns
+    finish = finish or {}
+    payload = list(dealt.columns)
     dealt = dealt.select("*", *[t.base.alias(f"_{n}_1") for n, t in tracks.items()])
     done: dict[str, str] = {}
     k = 1
@@ -79,6 +85,15 @@ def fold_frames(dealt: DataFrame, window, tracks: dict[str, Track]) -> DataFrame
                 made[f"_{name}_{2 * k}"] = here + before if track.kind == "sum" else pick(here, before)
         kept = [c for c in done.values() if c not in made]
         dealt = dealt.select(*payload, *kept, *[c.alias(n) for n, c in made.items()])
+        for n, frame in finish.items():
+            if k <= n < 2 * k:
+                mine = {f"_{t}_w{n}" for t in frame.tracks}
+                dealt = dealt.withColumnsRenamed({done.pop(m): m for m in mine})
+                finished = frame()
+                dealt = dealt.select(
+                    *[c for c in dealt.columns if c not in mine], *[c.alias(f) for f, c in finished.items()]
+                )
+                payload += finished
         k *= 2
     return dealt.select(*payload, *[F.col(c).alias(n) for n, c in done.items()])
 
@@ -132,44 +147,62 @@ def add_rolling(
     keys,
     value: str,
     frames: dict[int, int],
-    stats=STATS,
+    stats: tuple[str, ...] = STATS,
     nulls: bool = True,
     others: dict[str, Track] | None = None,
 ) -> DataFrame:
     """Rolling columns on rows that are dealt to chunks already; `others` are folded along."""
     payload = dealt.columns
-    trend, v = "trend" in stats, F.col(value)
-    dealt = dealt.withColumn("_centre", F.avg(v).over(Window.partitionBy(*keys, CHUNK)))
-    tracks = value_tracks(value, frames.values(), trend, nulls) | (others or {})
-    dealt = fold_frames(dealt, Window.partitionBy(*keys, CHUNK).orderBy(RN), tracks)
-    columns: dict[str, Column] = {}
-    for w, rows in frames.items():
+    series = Window.partitionBy(*keys, CHUNK).orderBy(RN)
+    whole = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    dealt = dealt.withColumn("_centre", F.avg(value).over(whole))
+    tracks = value_tracks(value, frames.values(), "trend" in stats, nulls)
+    finish = {n: FrameStats(value, w, n, tuple(tracks), stats) for w, n in frames.items()}
+    folded = [f"_{name}_w{n}" for name, t in (others or {}).items() for n in t.frames]
+    dealt = fold_frames(dealt, series, tracks | (others or {}), finish)
+    names = [f"{w}min_{s}" for w in frames for s in STATS if s in stats]
+    return dealt.select(*payload, *folded, *names)
 
-        def at(name: str, rows=rows) -> Column:
-            return F.col(f"_{name}_w{rows}")
 
-        length = F.least(F.lit(rows).cast("long"), F.col(RN) + 1)
+@dataclass(frozen=True)
+class FrameStats:
+    """The statistics of one frame length, from its folded tracks."""
+
+    value: str
+    window: int
+    rows: int
+    tracks: tuple[str, ...]
+    stats: tuple[str, ...]
+
+    def at(self, track: str) -> Column:
+        return F.col(f"_{track}_w{self.rows}")
+
+    def __call__(self) -> dict[str, Column]:
+        at, v = self.at, F.col(self.value)
+        nulls = "n" in self.tracks
+        length = F.least(F.lit(self.rows).cast("long"), F.col(RN) + 1)
         count = at("n") if nulls else length
-        present = F.when(count > 0, count)
-        flat = at("max") == at("min")
-        mean = F.when(flat, at("max")).otherwise(F.col("_centre") + at("s") / present)
+        present = F.when(count > 0, count) if nulls else count
+        mean = F.col("_centre") + at("s") / present
         squares = F.greatest(at("q") - at("s") * at("s") / present, F.lit(0.0))
-        columns[f"{w}min_mean"] = mean
-        columns[f"{w}min_std"] = F.when(flat | (count < 2), F.lit(0.0)).otherwise(F.sqrt(squares / (count - 1)))
-        columns[f"{w}min_max"] = at("max")
-        columns[f"{w}min_min"] = at("min")
-        columns[f"{w}min_range"] = at("max") - at("min")
-        columns[f"{w}min_change"] = v - mean
-        columns[f"{w}min_pct_change"] = v / (mean + EPSILON) - 1
-        if trend:
+        # The square root would blow up rounding noise in a flat frame.
+        spread = (count > 1) & (at("max") > at("min"))
+        columns = {
+            "mean": mean,
+            "std": F.when(spread, F.sqrt(squares / (count - 1))).otherwise(F.lit(0.0)),
+            "max": at("max"),
+            "min": at("min"),
+            "range": at("max") - at("min"),
+            "change": v - mean,
+            "pct_change": v / (mean + EPSILON) - 1,
+        }
+        if "trend" in self.stats:
             back = at("t") if nulls else length * (length - 1) / 2
             back_squares = at("u") if nulls else (length - 1) * length * (2 * length - 1) / 6
-            along = at("x") - back * at("s") / present
+            along = back * at("s") / present - at("x")
             across = back_squares - back * back / present
-            slope = F.when(flat | (count < 2), F.lit(0.0)).otherwise(F.try_divide(-along, across))
-            columns[f"{w}min_trend"] = F.coalesce(slope, F.lit(0.0))
-    folded = [f"_{n}_w{rows}" for n, t in (others or {}).items() for rows in t.frames]
-    return dealt.select(*payload, *folded, *[c.alias(n) for n, c in columns.items()])
+            columns["trend"] = F.when(spread, along / across).otherwise(F.lit(0.0))
+        return {f"{self.window}min_{s}": c for s, c in columns.items() if s in self.stats}
 
 
 def coefficient_of_variation(df: DataFrame, windows=WINDOWS) -> DataFrame:
