@@ -32,12 +32,13 @@ class Track:
 
 
 def fold_frames(
-    dealt: DataFrame, window, tracks: dict[str, Track], finish: dict[int, "FrameStats"] | None = None
+    dealt: DataFrame, keys, tracks: dict[str, Track], finish: dict[int, "FrameStats"] | None = None, uses=()
 ) -> DataFrame:
     """Add `_{track}_w{n}`: each track folded over the last n rows, for each n of its frames.
 
-    `finish` names frames whose tracks become other columns as soon as they are complete. That spreads
-    the arithmetic over the steps: generated code stays small enough for the JIT compiler.
+    `finish` names frames whose tracks become other columns as soon as they are complete, from the
+    columns in `uses` too. That spreads the arithmetic over the steps: generated code stays small enough
+    for the JIT compiler. All other columns ride through the steps as one struct.
 
     Spark slides a frame by folding all its rows again. Here blocks of 1, 2, 4, ... rows are built by
     doubling, each from the block before it and its lag, and a frame of n rows is put together from the
@@ -46,8 +47,16 @@ def fold_frames(
     """
     longest = max(max(t.frames) for t in tracks.values())
     finish = finish or {}
+    window = Window.partitionBy(*keys, CHUNK).orderBy(RN)
     payload = list(dealt.columns)
-    dealt = dealt.select("*", *[t.base.alias(f"_{n}_1") for n, t in tracks.items()])
+    open_columns = list(dict.fromkeys([*keys, CHUNK, RN, *uses]))
+    riders = {"_row": [c for c in payload if c not in open_columns]}
+    carried = [*open_columns, "_row"]
+    dealt = dealt.select(
+        *open_columns,
+        F.struct(*riders["_row"]).alias("_row"),
+        *[t.base.alias(f"_{n}_1") for n, t in tracks.items()],
+    )
     done: dict[str, str] = {}
     k = 1
     while k <= longest:
@@ -84,18 +93,25 @@ def fold_frames(
                 here, before = block(name, 0), shifted(name, k)
                 made[f"_{name}_{2 * k}"] = here + before if track.kind == "sum" else pick(here, before)
         kept = [c for c in done.values() if c not in made]
-        dealt = dealt.select(*payload, *kept, *[c.alias(n) for n, c in made.items()])
+        dealt = dealt.select(*carried, *kept, *[c.alias(n) for n, c in made.items()])
         for n, frame in finish.items():
             if k <= n < 2 * k:
                 mine = {f"_{t}_w{n}" for t in frame.tracks}
                 dealt = dealt.withColumnsRenamed({done.pop(m): m for m in mine})
                 finished = frame()
                 dealt = dealt.select(
-                    *[c for c in dealt.columns if c not in mine], *[c.alias(f) for f, c in finished.items()]
+                    *[c for c in dealt.columns if c not in mine],
+                    F.struct(*[c.alias(f) for f, c in finished.items()]).alias(f"_frame_{n}"),
                 )
-                payload += finished
+                riders[f"_frame_{n}"] = list(finished)
+                carried.append(f"_frame_{n}")
         k *= 2
-    return dealt.select(*payload, *[F.col(c).alias(n) for n, c in done.items()])
+    opened = {c: F.col(f"{rider}.`{c}`").alias(c) for rider, names in riders.items() for c in names}
+    return dealt.select(
+        *[opened.pop(c, c) for c in payload],
+        *opened.values(),
+        *[F.col(c).alias(n) for n, c in done.items()],
+    )
 
 
 def value_tracks(value: str, frames, trend: bool, nulls: bool) -> dict[str, Track]:
@@ -159,7 +175,7 @@ def add_rolling(
     tracks = value_tracks(value, frames.values(), "trend" in stats, nulls)
     finish = {n: FrameStats(value, w, n, tuple(tracks), stats) for w, n in frames.items()}
     folded = [f"_{name}_w{n}" for name, t in (others or {}).items() for n in t.frames]
-    dealt = fold_frames(dealt, series, tracks | (others or {}), finish)
+    dealt = fold_frames(dealt, keys, tracks | (others or {}), finish, uses=(value, "_centre"))
     names = [f"{w}min_{s}" for w in frames for s in STATS if s in stats]
     return dealt.select(*payload, *folded, *names)
 
@@ -225,7 +241,7 @@ def rolling_counts(
     payload = [c for c in ordered.rows.columns if c not in (PART, IDX)]
     dealt = ordered.chunked(max(lengths) - 1, chunk_rows=chunk_rows)
     tracks = {name: Track(F.coalesce(f.cast("long"), F.lit(0)), tuple(lengths)) for name, f in flags.items()}
-    counted = fold_frames(dealt, ordered.chunk_window(), tracks).filter(F.col(HOME) == F.col(CHUNK))
+    counted = fold_frames(dealt, ordered.keys, tracks).filter(F.col(HOME) == F.col(CHUNK))
     return counted.select(
         *payload, *[F.col(f"_{name}_w{n}").alias(f"{name}_{n}") for name in flags for n in lengths]
     )
