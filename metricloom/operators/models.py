@@ -224,7 +224,7 @@ def train(
     names = features or feature_names()
     ids = [*spec.keys, *spec.order]
     table = all_features(df, spec=spec, rows_per_minute=rows_per_minute, **feature_options)
-    table = clean_numeric(table, names).select(*ids, spec.value, label, *names)
+    table = clean_numeric(table, names).select(*dict.fromkeys([*ids, spec.value, label, *names]))
     table = materialize(stratified_split(table, ids, label, test, SEED), "split")
     training, held_out = table.filter("split = 'train'"), table.filter("split = 'test'")
 

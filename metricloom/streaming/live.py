@@ -65,7 +65,7 @@ def live_score(
 
 def current_status(spark, path: str, schema, spec: Series = Series()) -> DataFrame:
     """The newest scored row per series over all batches of a live query."""
-    table = spark.read.schema(schema).parquet(f"{path}/latest")
+    table = spark.read.schema(schema).parquet(f"{path}/latest").drop("batch_id")
     return latest_row(table, spec)
 
 
