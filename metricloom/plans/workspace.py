@@ -7,11 +7,15 @@ Catalyst exact sizes, so it picks broadcast joins from measured bytes and not fr
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
+_scope = threading.local()
 
 
 def workspace(spark: SparkSession) -> str:
@@ -28,7 +32,9 @@ def workspace(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
+    scope = getattr(_scope, "name", None)
+    folder = f"{workspace(spark)}/{scope}" if scope else workspace(spark)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -41,6 +47,25 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def drop_workspace(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; results read from them must be saved first."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(workspace(spark))
+    _delete(spark, workspace(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that this thread materializes inside the block, when it ends.
+
+    For work that repeats for ever, such as a micro-batch; its result must be saved inside the block.
+    """
+    before = getattr(_scope, "name", None)
+    _scope.name = f"scratch-{uuid.uuid4().hex}"
+    folder = f"{workspace(spark)}/{_scope.name}"
+    try:
+        yield
+    finally:
+        _scope.name = before
+        _delete(spark, folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,7 @@ from metricloom.functions.scalar import out_of_range
 from metricloom.operators.quality import trailing_range
 from metricloom.operators.runs import latest_row
 from metricloom.plans.attach import attach, null_safe_join
+from metricloom.plans.workspace import scratch
 from metricloom.series import Series
 from metricloom.sources.exchange import exposition_lines
 
@@ -19,7 +21,14 @@ LATENESS = "1 hour"
 
 
 def _start(stream: DataFrame, each, checkpoint: str, poll: str | None, mode: str = "append") -> StreamingQuery:
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each)
+    spark = stream.sparkSession
+
+    def batch_in_scratch(batch: DataFrame, batch_id: int) -> None:
+        with scratch(spark):
+            each(batch, batch_id)
+
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(batch_in_scratch)
     writer = writer.trigger(processingTime=poll) if poll else writer.trigger(availableNow=True)
     return writer.start()
 
@@ -35,22 +44,29 @@ def live_score(
 ) -> StreamingQuery:
     """Score the trailing hours on every poll and keep the newest row per series.
 
-    Each micro-batch is added to a history partitioned by date; the batch code `scorer` runs over the
-    trailing range of the history, so a sample up to `hours` late still counts. `poll=None` drains what
-    is there and stops. Results go to `<path>/latest/batch_id=N`, lines to `<path>/lines/batch_id=N`.
+    Each micro-batch is added to a history partitioned by date, of which only the dates in reach are
+    listed and read; the batch code `scorer` runs over its trailing range, so a sample up to `hours` late
+    still counts. `poll=None` drains what is there and stops. Results go to `<path>/latest/batch_id=N`,
+    lines to `<path>/lines/batch_id=N`.
     """
     spark = stream.sparkSession
+    history = f"{path}/history"
+    seen: list[date] = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        dated = batch.withColumn("_date", F.to_date(spec.ts))
-        dated.write.mode("overwrite").partitionBy("_date").parquet(f"{path}/history/batch_id={batch_id}")
-        schema = dated.schema.add("batch_id", "long")
-        history = spark.read.schema(schema).parquet(f"{path}/history").filter(F.col("batch_id") <= batch_id)
-        newest = dated.agg(F.max("_date")).first()[0]
+        dated = batch.withColumns({"_date": F.to_date(spec.ts), "batch_id": F.lit(batch_id).cast("long")})
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "_date", "batch_id"
+        ).parquet(history)
+        newest = max([d for d in [dated.agg(F.max("_date")).first()[0], *seen] if d], default=None)
         if newest is None:
             return
-        days = int(hours // 24) + 1
-        recent = history.filter(F.col("_date") >= F.date_sub(F.lit(newest), days))
+        seen[:] = [newest]
+        days = [newest - timedelta(days=n) for n in range(int(hours // 24) + 2)]
+        reader = spark.read.schema(dated.schema).option("basePath", history)
+        recent = reader.parquet(f"{history}/_date={{{','.join(map(str, days))}}}").filter(
+            F.col("batch_id") <= batch_id
+        )
         trailing = trailing_range(recent, hours, spec.ts).drop("_date", "batch_id")
         scored = scorer(trailing.dropDuplicates([*spec.keys, *spec.order]))
         latest = latest_row(scored, spec)
