@@ -214,11 +214,11 @@ def preview(df: DataFrame, n: int = 10, spec: Series = Series()) -> DataFrame:
 
 def trailing_range(df: DataFrame, hours: float, ts: str = "ts") -> DataFrame:
     """Rows of the last `hours`, by a literal bound so that partitions and files can be pruned."""
-    latest = df.agg(F.max(ts)).first()[0]
+    # As text in the session time zone: a Python datetime would pass through the host's zone.
+    latest = df.agg(F.max(ts).cast("string")).first()[0]
     if latest is None:
         return df.limit(0)
-    kind = dict(df.dtypes)[ts]
-    bound = F.lit(latest).cast(kind) - F.make_dt_interval(secs=F.lit(hours * 3600.0))
+    bound = F.lit(latest).cast(dict(df.dtypes)[ts]) - F.make_dt_interval(secs=F.lit(hours * 3600.0))
     return df.filter(F.col(ts) >= bound)
 
 
