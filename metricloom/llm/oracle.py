@@ -88,4 +88,18 @@ UNION ALL
 SELECT doc_id, domain, lang, source, tokens, whole + 1 AS epoch FROM ranked WHERE rest > 0 AND so_far <= rest
 """
 
-SQL = {"op3_containment": CONTAINMENT, "op4_line_frequency": LINE_FREQUENCY, "op8_mixture": MIXTURE}
+_SAFE = r"regexp_replace(replace(%s, '\', '\\'), '(<|\[)(/?(?:s>|INST\]))', '\1\\\2', 'g')"
+CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+safe AS (SELECT *, {_SAFE % "role"} AS safe_role, {_SAFE % "t"} AS safe_text FROM turns)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(safe_role) + length(safe_text) + 20)::BIGINT AS formatted_chars
+FROM safe GROUP BY conv_id
+"""
+
+SQL = {"op1_chat": CHAT, "op3_containment": CONTAINMENT, "op4_line_frequency": LINE_FREQUENCY, "op8_mixture": MIXTURE}
