@@ -7,8 +7,9 @@ one run of bytes. Equal strings therefore meet in one shard, whatever documents
 
 * runs whose surroundings of the minimizer (31 bytes to either side; each string holds one of the two) stand in one
   document only are set aside: none of their strings can be repeated;
-* the rest are joined to one text whose suffix array is induced; strings of `length` bytes that are equal are
-  neighbours in it, with permuted common prefixes of `length` or more, and those not of the least document are covered.
+* the rest, each different run once, for its least document, are joined to one text whose suffix array is induced;
+  strings of `length` bytes that are equal are neighbours in it, with permuted common prefixes of `length` or more, and
+  those not of the least document are covered. Equal runs of later documents are covered whole.
 
 Scale: one shuffle of runs, packed per shard and compressed, and one of covered ranges. Runs that repeat inside a task
 are sent for the least document of the task only (the others are covered already), so a passage in a third of all rows
@@ -36,22 +37,18 @@ from metricloom.llm.suffix_array import permuted_common_prefixes, shard_text, su
 LENGTH, GRAM, SHARD_BYTES, SEGMENT, CHUNK, PACK_LEVEL = 50, 12, 8 << 20, 1 << 20, 4 << 20, 6
 _POS_BITS = np.uint64(24)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_BASE, _INVERSE = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def _prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """Polynomial hashes of all prefixes, modulo 2 ** 64."""
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data)))])
-
-
-def _piece_hashes(prefix: np.ndarray, inverse: np.ndarray, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
-    return (prefix[at + size] - prefix[at]) * inverse[at]
+def _word_hashes(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of the pieces data[at : at + size], read eight bytes at a time; pieces have eight bytes or more."""
+    words = np.ndarray((len(data) - 7,), np.uint64, data, 0, (1,))
+    out = size.astype(np.uint64) * _ODD
+    rows = np.arange(len(at))
+    for step in range(0, int(size.max(initial=0)), 8):
+        rows = rows[size[rows] > step]
+        x = (out[rows] ^ words[at[rows] + np.minimum(step, size[rows] - 8)]) * _ODD
+        out[rows] = x ^ (x >> np.uint64(31))
+    return out
 
 
 def minimizer_runs(data: np.ndarray, segment: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -61,14 +58,17 @@ def minimizer_runs(data: np.ndarray, segment: np.ndarray, length: int, gram: int
     """
     n, width = len(data) - length + 1, length - gram + 1
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    low = np.ndarray((len(data) - gram + 1,), np.uint64, padded, 0, (1,)) * _ODD
-    high = np.ndarray((len(data) - gram + 1,), np.uint64, padded, gram - 8, (1,)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed = (low ^ (high >> np.uint64(29)) ^ high) * _ODD
-    mixed ^= mixed >> np.uint64(32)
-    key = (mixed << _POS_BITS) | np.arange(len(mixed), dtype=np.uint64)
+    key = np.ndarray((len(data) - gram + 1,), np.uint64, padded, gram - 8, (1,)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    key ^= key >> np.uint64(29)
+    key += np.ndarray((len(data) - gram + 1,), np.uint64, padded, 0, (1,))
+    key *= _ODD
+    key ^= key >> np.uint64(32)
+    key <<= _POS_BITS
+    key |= np.arange(len(key), dtype=np.uint64)
     reach = 1
     while reach * 2 <= width:
-        key = np.minimum(key[:-reach], key[reach:])
+        np.minimum(key[:-reach], key[reach:], out=key[:-reach])  # reads ahead of what it writes
+        key = key[:-reach]
         reach *= 2
     if width > reach:
         key = np.minimum(key[: n], key[width - reach : width - reach + n])
@@ -92,6 +92,20 @@ def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray
     return same
 
 
+def _later_copies(data: np.ndarray, first: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Rows whose bytes are those of a row with a smaller document."""
+    content = _word_hashes(data, first, size)
+    by = np.lexsort((doc, content))
+    ordered = content[by]
+    lead = np.ones(len(by), bool)
+    lead[1:] = ordered[1:] != ordered[:-1]
+    leader = np.empty(len(by), np.int64)
+    leader[by] = by[np.maximum.accumulate(np.where(lead, np.arange(len(by)), 0))]
+    later = np.flatnonzero(doc > doc[leader])
+    later = later[size[later] == size[leader[later]]]
+    return later[_same_bytes(data, first[later], first[leader[later]], size[later])]
+
+
 def _pack(doc: np.ndarray, at: np.ndarray, count: np.ndarray, offset: np.ndarray, data: np.ndarray, first: np.ndarray, length: int) -> bytes:
     size = count + length - 1
     taken = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -124,16 +138,7 @@ def _chunk(texts: list[tuple[int, int, bytes]], shards: int, length: int, gram:
     doc = np.array([d for d, _, _ in texts])[segment[first]]
     at = first - (np.cumsum(sizes) - sizes)[segment[first]] + np.array([p for _, p, _ in texts])[segment[first]]
     size = count + length - 1
-    prefix = _prefix_hashes(data)
-    content = _piece_hashes(prefix, _powers(_INVERSE, len(data)), first, size) + size.astype(np.uint64)
-    by = np.lexsort((doc, content))
-    lead = np.ones(len(by), bool)
-    lead[1:] = content[by][1:] != content[by][:-1]
-    leader = np.empty(len(by), np.int64)
-    leader[by] = by[np.maximum.accumulate(np.where(lead, np.arange(len(by)), 0))]
-    covered = np.flatnonzero(doc > doc[leader])
-    covered = covered[(size[covered] == size[leader[covered]])]
-    covered = covered[_same_bytes(data, first[covered], first[leader[covered]], size[covered])]
+    covered = _later_copies(data, first, size, doc)
     shard = (best % np.uint64(shards)).astype(np.int64)
     sent = np.ones(len(first), bool)
     sent[covered] = False
@@ -168,37 +173,42 @@ def shard_ranges(blobs: list[bytes], length: int, gram: int) -> tuple[np.ndarray
     """(doc_id, start, stop) of the covered ranges of one shard."""
     parts = [_unpack(b) for b in blobs]
     doc, at, count, offset, data = (np.concatenate([p[i] for p in parts]) for i in range(5))
+    del parts
     size = count + length - 1
     begin = np.cumsum(size) - size
-    prefix, inverse = _prefix_hashes(data), _powers(_INVERSE, len(data) + 1)
     side = (length - gram) // 2  # each string reaches this far to the left of its minimizer, or to the right
     repeated = np.zeros(len(doc), bool)
     for reach, fits in ((0, offset + gram + side <= size), (side, offset >= side)):
         rows = np.flatnonzero(fits)
-        hashes = _piece_hashes(prefix, inverse, begin[rows] + offset[rows] - reach, gram + side)
+        hashes = _word_hashes(data, begin[rows] + offset[rows] - reach, np.full(len(rows), gram + side))
         repeated[rows] |= _in_two_documents(hashes, doc[rows])
     rows = np.flatnonzero(repeated)
+    copies = rows[_later_copies(data, begin[rows], size[rows], doc[rows])]
+    whole_runs = doc[copies], at[copies], at[copies] + size[copies]
+    repeated[copies] = False  # equal runs are one string of the text, that of their least document
+    rows = np.flatnonzero(repeated)
     if not len(rows):
-        return doc[:0], at[:0], at[:0]
+        return whole_runs
     text, places = shard_text(data, begin[rows], size[rows])
     order = suffix_array(text)
-    common = permuted_common_prefixes(text, order, length)
     owner = np.repeat(np.arange(len(rows)), size[rows] + 1)
     owner = np.append(owner, 0)
     whole = np.zeros(len(text), bool)  # positions where a string of `length` bytes starts
     inside = np.arange(len(text) - 1) - places[owner[:-1]]
     whole[:-1] = inside < count[rows][owner[:-1]]
-    order = order[whole[order]]
+    order = order[whole[order]]  # a shorter suffix shares no `length` bytes, so it parts no equal strings
+    common = permuted_common_prefixes(text, order, length)
     holder = doc[rows][owner[order]]
     begins = np.flatnonzero(np.append(True, common[order[1:]] < length))
     least = np.repeat(np.minimum.reduceat(holder, begins), np.diff(np.append(begins, len(order))))
     hit = np.sort(order[holder > least])
     if not len(hit):
-        return doc[:0], at[:0], at[:0]
+        return whole_runs
     new = np.append(True, (hit[1:] != hit[:-1] + 1) | (owner[hit[1:]] != owner[hit[:-1]]))
     lo, hi = hit[new], hit[np.append(np.flatnonzero(new)[1:] - 1, len(hit) - 1)]
     run = rows[owner[lo]]
-    return doc[run], at[run] + lo - places[owner[lo]], at[run] + hi - places[owner[lo]] + length
+    found = doc[run], at[run] + lo - places[owner[lo]], at[run] + hi - places[owner[lo]] + length
+    return tuple(np.concatenate(x) for x in zip(whole_runs, found))
 
 
 def covered_ranges(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
