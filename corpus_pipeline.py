@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from metricloom.llm import decontaminate, line_rules, mixture, secret_scan, simhash_blocks
-from metricloom.llm.common import table
+from metricloom.llm.common import table, text_of
 from metricloom.plans.workspace import materialize
 
 
@@ -27,17 +27,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component; of rows that share that doc_id all stay."""
+    """The document with the smallest doc_id of each component; rows that share it and rows without one all stay."""
     found = simhash_blocks.simhash_components(docs)
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi")
+    first = found.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     found = decontaminate.contained_items(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    bad = found.select("doc_id").distinct()
+    return docs.join(bad, docs["doc_id"] == bad["doc_id"], "left_anti")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def weighted_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mixture, a row per epoch."""
-    chosen = mixture.mix(docs).withColumnRenamed("doc_id", "_id")
-    return chosen.join(docs.select("doc_id", "text"), F.col("_id") == F.col("doc_id")).select(
+    chosen = mixture.mix_rows(docs).distinct()
+    texts = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64(text_of("text")).alias("hash"))
+    return chosen.join(texts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("twin") == F.col("hash"))).select(
         "doc_id", "domain", "lang", "source", "text", "tokens", "epoch"
     )
 

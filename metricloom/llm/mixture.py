@@ -76,11 +76,11 @@ def epoch_key(epoch: Column, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.col("doc_id").cast("string")).cast("binary"))
 
 
-def mix(
+def mix_rows(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
     percent: int = BUDGET_PERCENT, epochs: int = EPOCHS, weights: dict = WEIGHTS, seed: int = SEED,
 ) -> DataFrame:
-    """(doc_id, domain, lang, source, tokens, epoch) of every document in the mixture, once per epoch."""
+    """(doc_id, domain, lang, source, tokens, epoch, twin) per document in the mixture and epoch; `twin` hashes the text."""
     name = lambda c: F.coalesce(F.col(c), F.lit("none"))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), domain_of(name(source)).alias("domain"), name(lang).alias("lang"),
@@ -97,7 +97,7 @@ def mix(
     plan = materialize(plan.filter("whole > 0 OR rest > 0"), "budgets")
     planned = rows.join(bounded_broadcast(plan), [F.col(c) == F.col(f"_{c}") for c in LEVELS]).drop(*[f"_{c}" for c in LEVELS])
     planned = planned.withColumn("key", epoch_key(F.col("whole") + 1, seed)).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
-    columns = ["doc_id", *LEVELS, "tokens"]
+    columns = ["doc_id", *LEVELS, "tokens", "twin"]
     full = planned.filter("whole > 0").select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("whole"))).alias("epoch"))
     sums = planned.groupBy(*LEVELS, "bucket").agg(F.sum("tokens").alias("t"), F.first("rest").alias("rest_"))
     running = Window.partitionBy(*LEVELS).orderBy("bucket")
@@ -111,3 +111,8 @@ def mix(
     so_far = F.sum("tokens").over(Window.partitionBy(*LEVELS, "bucket").orderBy("key", "twin").rowsBetween(Window.unboundedPreceding, 0))
     last = part.filter("before + t > rest_").withColumn("so_far", F.col("before") + so_far).filter("so_far <= rest_").select(*columns, "epoch")
     return full.unionByName(inside).unionByName(last)
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, domain, lang, source, tokens, epoch) of every document in the mixture, once per epoch."""
+    return mix_rows(docs, **options).drop("twin")

@@ -16,6 +16,8 @@ ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
@@ -79,8 +81,6 @@ def fit(sample: DataFrame, trees: int = TREES, depth: int = DEPTH, penalty: floa
     rules = sorted({r for t in forest.trees for r in _paths(t._java_obj.rootNode(), STATISTICS, {})})
     if not rules:
         share = seen.get(1.0, 0) / sum(seen.values())
-        import math
-
         return math.log(share / (1 - share)), []
     marked = sample.select("y", array_to_vector(F.array(*[rule_column(r) for r in rules])).alias("x"))
     lasso = LogisticRegression(labelCol="y", featuresCol="x", elasticNetParam=1.0, regParam=penalty, maxIter=100).fit(marked)

@@ -2,8 +2,8 @@
 
 Two first-order models over printable ASCII are trained from labelled samples: the values that the patterns matched in
 the whole corpus are random strings, and the words of `MIN_TOKEN` characters or more that no pattern touches are
-ordinary identifiers. Counts get one more per pair of characters, so the random model is uniform where nothing was
-matched. A token is secret if its mean log-likelihood ratio per pair exceeds `threshold` bits and it holds a letter and
+ordinary identifiers. A pair that follows a rare character falls back on the frequency of its second character, and
+that on a uniform one, so the random model is uniform where no pattern matched. A token is secret if its mean log-likelihood ratio per pair exceeds `threshold` bits and it holds a letter and
 a digit.
 
 Everything is built from column expressions. Positions come from the pieces between matches: `split` and
@@ -34,7 +34,8 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 MIN_VALUE = 6
 TOKEN = r"[A-Za-z0-9+/_-]{16,}"
-MIN_TOKEN, THRESHOLD_BITS = 8, 0.5
+TOKEN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+MIN_TOKEN, THRESHOLD_BITS, PRIOR = 8, 0.5, 20
 _FIRST, _SYMBOLS = 32, 96
 
 
@@ -103,15 +104,21 @@ def train_models(docs: DataFrame, text: str = "text") -> list[float]:
         "y", "n", F.explode(F.transform(F.slice("c", 1, F.size("c") - 1), lambda a, i: a * _SYMBOLS + F.get("c", i + 1))).alias("p")
     )
     size = _SYMBOLS * _SYMBOLS
-    counts = {0: [1.0] * size, 1: [1.0] * size}
+    counts = {0: [0.0] * size, 1: [0.0] * size}
     for y, p, n in pairs.filter(F.col("p").between(0, size - 1)).groupBy("y", "p").agg(F.sum("n")).collect():
         counts[y][p] += n
-    ratios = []
+    ordinary, random = _smoothed(counts[0], range(_SYMBOLS)), _smoothed(counts[1], [ord(c) - _FIRST for c in TOKEN_CHARS])
+    return [round(math.log2(r / o), 4) for r, o in zip(random, ordinary)]
+
+
+def _smoothed(counts: list[float], alphabet) -> list[float]:
+    """Pair probabilities; rare first characters fall back on the frequency of the second, that on `alphabet`."""
+    second = [sum(counts[b::_SYMBOLS]) + (PRIOR if b in set(alphabet) else 1) for b in range(_SYMBOLS)]
+    out = []
     for a in range(_SYMBOLS):
-        row = slice(a * _SYMBOLS, (a + 1) * _SYMBOLS)
-        ordinary, random = counts[0][row], counts[1][row]
-        ratios += [round(math.log2(r / sum(random)) - math.log2(o / sum(ordinary)), 4) for r, o in zip(random, ordinary)]
-    return ratios
+        row = counts[a * _SYMBOLS : (a + 1) * _SYMBOLS]
+        out += [(n + PRIOR * s / sum(second)) / (sum(row) + PRIOR) for n, s in zip(row, second)]
+    return out
 
 
 def token_score(token: Column, table: Column) -> Column:

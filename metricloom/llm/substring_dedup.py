@@ -143,7 +143,7 @@ def _chunk(texts: list[tuple[int, int, bytes]], shards: int, length: int, gram:
     sent = np.ones(len(first), bool)
     sent[covered] = False
     if len(covered):
-        yield _ranges(doc[covered], at[covered], at[covered] + size[covered], shard[covered])
+        yield _ranges(doc[covered], at[covered], at[covered] + size[covered], doc[covered] % shards)
     to = np.flatnonzero(sent)
     to = to[np.argsort(shard[to], kind="stable")]
     cuts = np.flatnonzero(np.diff(shard[to], prepend=-1))
