@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from metricloom.plans.attach import attach
+
 from metricloom.functions.scalar import flag
 
 MILLIS_FROM = 1e10
@@ -59,11 +61,13 @@ def point_features(df: DataFrame, epoch: str, value: str) -> DataFrame:
     )
 
 
-def to_time_index(df: DataFrame) -> DataFrame:
+def to_time_index(df: DataFrame, keys: tuple[str, ...] = (), unit: str | None = None) -> DataFrame:
     """Add `datetime` as a timestamp, from `datetime` or from epoch `timestamp`.
 
-    Epochs are read as milliseconds when the largest one exceeds 1e10. Unreadable epochs and texts
-    become null; the caller's windows and sinks do the ordering.
+    `unit` ("s" or "ms") says what the epochs are. Without it they are read as milliseconds when the
+    largest one exceeds 1e10, decided per series if `keys` name one, so that a series does not move
+    with the epochs of another. Unreadable epochs and texts become null; the caller's windows and
+    sinks do the ordering.
     """
     if "datetime" in df.columns:
         kind = dict(df.dtypes)["datetime"]
@@ -72,7 +76,18 @@ def to_time_index(df: DataFrame) -> DataFrame:
     if "timestamp" not in df.columns:
         raise ValueError("need a 'datetime' or a 'timestamp' column")
     epoch = F.expr("try_cast(`timestamp` AS double)")
-    largest = df.agg(F.max(epoch)).first()[0]
-    unit = 1e3 if largest is not None and largest > MILLIS_FROM else 1.0
-    micros = (epoch * F.lit(1e6 / unit)).cast("long")
-    return df.withColumn("timestamp", epoch.cast("long")).withColumn("datetime", F.timestamp_micros(micros))
+    if unit not in (None, "s", "ms"):
+        raise ValueError("unit is 's', 'ms' or None")
+    marked = df
+    if unit is None and keys:
+        largest = df.groupBy(*keys).agg(F.max(epoch).alias("_largest"), F.count(F.lit(1)).alias("_n"))
+        marked = attach(df, largest, list(keys), weight="_n")
+        scale = F.when(F.col("_largest") > MILLIS_FROM, 1e3).otherwise(1e6)
+    else:
+        if unit is None:
+            most = df.agg(F.max(epoch)).first()[0]
+            unit = "ms" if most is not None and most > MILLIS_FROM else "s"
+        scale = F.lit(1e3 if unit == "ms" else 1e6)
+    micros = (epoch * scale).cast("long")
+    timed = marked.withColumn("datetime", F.timestamp_micros(micros)).withColumn("timestamp", epoch.cast("long"))
+    return timed.select(*df.columns, "datetime")

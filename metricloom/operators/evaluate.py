@@ -11,8 +11,8 @@ from metricloom.plans.workspace import materialize
 
 
 def class_weights(df: DataFrame, label: str = "is_anomaly") -> DataFrame:
-    """Balanced weights: n / (classes * n_class), one row per class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn("_classes", F.lit(1))
+    """Balanced weights: n / (classes * n_class), one row per class; rows without a label count nowhere."""
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn("_classes", F.lit(1))
     classes = Window.partitionBy("_classes")
     total, kinds = F.sum("n").over(classes), F.sum("_classes").over(classes)
     return counts.select(label, "n", (total / (kinds * F.col("n"))).alias("weight"))

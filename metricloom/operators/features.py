@@ -27,6 +27,7 @@ from metricloom.plans.profile import ValueProfile, average_rank, quantiles, valu
 from metricloom.plans.workspace import materialize
 from metricloom.series import Series
 
+# The feature names.
 BASIC = [
     "cpu_normalized", "cpu_rank", "cpu_deviation_from_mean", "cpu_deviation_hourly", "cpu_deviation_daily",
     "is_high_usage", "is_very_high_usage", "is_low_usage",

@@ -78,9 +78,9 @@ def assemble(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def random_forest(label: str = "is_anomaly", weight: str | None = "weight", **params) -> RandomForestClassifier:
-    forest = RandomForestClassifier(
-        featuresCol=VECTOR, labelCol=label, featureSubsetStrategy="sqrt", seed=SEED, **params
-    )
+    """Any parameter of Spark's forest; `maxBins` (32) bounds the split points tried per feature."""
+    settings = {"featureSubsetStrategy": "sqrt", "seed": SEED, "maxBins": 32, **params}
+    forest = RandomForestClassifier(featuresCol=VECTOR, labelCol=label, **settings)
     return forest.setWeightCol(weight) if weight else forest
 
 
@@ -187,21 +187,22 @@ def save_model(bundle: Bundle, path: str) -> None:
     spark = bundle.stats.sparkSession
     bundle.model.write().overwrite().save(f"{path}/model")
     bundle.stats.write.mode("overwrite").parquet(f"{path}/stats")
-    settings = json.dumps({"features": bundle.features, **bundle.settings})
+    settings = json.dumps({"features": bundle.features, "_history": bundle.history is not None, **bundle.settings})
     spark.createDataFrame([(settings,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
     if bundle.history is not None:
         bundle.history.coalesce(1).write.mode("overwrite").json(f"{path}/history")
 
 
 def load_model(spark: SparkSession, path: str) -> Bundle:
-    """Restore a bundle; a missing part raises."""
+    """Restore a bundle; a missing part raises, but a bundle may have been saved without history."""
     settings = json.loads(spark.read.text(f"{path}/settings").first()[0])
+    with_history = settings.pop("_history", True)
     return Bundle(
         model=PipelineModel.load(f"{path}/model"),
         features=settings.pop("features"),
         stats=spark.read.parquet(f"{path}/stats"),
         settings=settings,
-        history=spark.read.json(f"{path}/history"),
+        history=spark.read.json(f"{path}/history") if with_history else None,
     )
 
 

@@ -11,8 +11,8 @@ from metricloom.series import Series
 
 
 def series_stats(df: DataFrame, spec: Series = Series()) -> DataFrame:
-    """One row per series: rows, values, min, max, mean, sample std."""
-    v = spec.value
+    """One row per series: rows, values, min, max, mean, sample std; NaN is a missing value."""
+    v = F.when(~F.isnan(spec.value), F.col(spec.value))
     return df.groupBy(*spec.keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(v).alias("n_values"),

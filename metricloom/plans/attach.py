@@ -24,6 +24,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return left.join(renamed, match, how).drop(*[f"_on_{c}" for c in on])
 
 
+def row_hash(rows: DataFrame) -> Column:
+    """Hash of all columns of a row (maps, which have no hash, left out)."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def attach(
     rows: DataFrame,
     table: DataFrame,
@@ -38,8 +43,9 @@ def attach(
     Up to `broadcast_rows` counted rows, the table is broadcast. Beyond that, `weight` (rows per
     group) singles out the groups holding more than 1/HOT_GROUPS of all rows: there can be at most
     HOT_GROUPS of them, so they are broadcast, and only the other groups are shuffled by `on`.
-    Rows that found a hot group get a random salt, which spreads them over all join tasks; they
-    match nothing there and pass through.
+    Rows that found a hot group get a salt, which spreads them over all join tasks; they match
+    nothing there and pass through. The salt hashes the row's own columns (or `spread`), so a task
+    that runs again sends its rows to the same places.
     """
     if not written:
         table = materialize(table, "attach")
@@ -59,10 +65,10 @@ def attach(
         *on, F.struct(*added).alias("_cold"), F.lit(0).alias("_salt")
     )
     marked = null_safe_join(rows, F.broadcast(hot), on)
-    salt = spread if spread is not None else F.monotonically_increasing_id()
+    salt = F.xxhash64(spread) if spread is not None else row_hash(rows)
     marked = marked.withColumn(
         "_salt",
-        F.when(F.col("_in_hot") == 1, 1 + F.pmod(F.xxhash64(salt), F.lit(SPREAD)))
+        F.when(F.col("_in_hot") == 1, 1 + F.pmod(salt, F.lit(SPREAD)))
         .otherwise(0).cast("int"),
     )
     joined = null_safe_join(marked, cold, [*on, "_salt"])

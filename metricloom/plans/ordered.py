@@ -16,7 +16,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from metricloom.plans.attach import null_safe_join
+from metricloom.plans.attach import null_safe_join, row_hash
 from metricloom.plans.workspace import materialize
 
 PART, IDX, RN, ROWS, CHUNK, HOME = "_part", "_idx", "_rn", "_rows", "_chunk", "_home"
@@ -144,16 +144,17 @@ def lay_out(
 ) -> Ordered:
     """Range-partition `df` by (keys, order), sort inside the parts and write the result.
 
-    Without `parts`, adaptive execution sizes the parts by bytes. The input position is the last
-    sort column, so even exact copies of one row can go to different parts.
+    Without `parts`, adaptive execution sizes the parts by bytes. Rows that tie on
+    (keys, order) are placed by the hash of all their columns, so a task that runs again places them
+    alike; only exact copies, which are interchangeable, are told apart by their input position.
     """
     df = df.drop(PART, IDX)
     by = [F.col(k).asc() for k in keys]
     by += [F.col(c).asc() if isinstance(c, str) else c for c in order]
-    by.append(F.col("_seq").asc())
-    spread = df.withColumn("_seq", F.monotonically_increasing_id())
+    by += [F.col("_row_hash").asc(), F.col("_seq").asc()]
+    spread = df.withColumn("_row_hash", row_hash(df)).withColumn("_seq", F.monotonically_increasing_id())
     spread = spread.repartitionByRange(parts, *by) if parts else spread.repartitionByRange(*by)
-    placed = spread.sortWithinPartitions(*by).drop("_seq")
+    placed = spread.sortWithinPartitions(*by).drop("_row_hash", "_seq")
     placed = placed.withColumn("_mid", F.monotonically_increasing_id())
     written = materialize(placed, "layout")
     mid = F.col("_mid")

@@ -30,6 +30,7 @@ def series_view(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("series_key"),
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
-        F.least(round2("value"), F.lit(100.0)).alias("cpu_utilization"),
+        # NaN is a missing sample
+        F.when(~F.isnan("value"), F.least(round2("value"), F.lit(100.0))).alias("cpu_utilization"),
         (F.col("value") > 120).cast("int").alias("is_anomaly"),
     )

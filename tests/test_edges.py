@@ -146,3 +146,27 @@ def test_fitted_statistics_score_new_rows(table):
     fitted = features.fit_stats(table([0.0, 100.0]))
     out = features.all_features(table([50.0, 60.0]), stats=fitted)
     assert by_event(out, "cpu_normalized") == [0.5, 0.6]
+
+
+def test_epoch_unit_is_decided_per_series(spark):
+    from metricloom.functions.calendar import to_time_index
+
+    rows = spark.createDataFrame([("a", 1_704_067_200), ("c", 1_704_067_200_000)], "series_key string, timestamp long")
+    years = {r.series_key: r.datetime.year for r in to_time_index(rows, keys=("series_key",)).collect()}
+    assert years == {"a": 2024, "c": 2024}
+    assert {r.datetime.year for r in to_time_index(rows.filter("series_key = 'a'"), unit="ms").collect()} == {1970}
+
+
+def test_null_labels_and_nan_values_are_missing(spark, table):
+    from metricloom.operators import evaluate, stats
+
+    labels = spark.createDataFrame([(0,), (0,), (0,), (1,), (None,)], "is_anomaly int")
+    assert sorted(round(r.weight, 3) for r in evaluate.class_weights(labels).collect()) == [0.667, 2.0]
+    row = stats.series_stats(table([1.0, 3.0, float("nan")])).first()
+    assert (row.n_rows, row.n_values, row.v_mean, row.v_max) == (3, 2, 2.0, 3.0)
+
+
+def test_forest_takes_any_parameter():
+    from metricloom.operators.models import random_forest
+
+    assert random_forest(featureSubsetStrategy="all", maxBins=64).getMaxBins() == 64
