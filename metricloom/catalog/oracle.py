@@ -79,6 +79,56 @@ for m in (15, 60):
         f"FROM (SELECT *, floor(epoch(ts))::BIGINT AS sec FROM series) "
         f"WINDOW w AS (PARTITION BY series_key ORDER BY sec RANGE BETWEEN {60 * m - 1} PRECEDING AND CURRENT ROW)",
     )
+GAPS = """holed AS (SELECT *, event_id % 97 <> 0 AND event_id % 211 = 0 AS e, epoch(ts)::BIGINT AS sec,
+    CASE WHEN event_id % 97 <> 0 AND event_id % 211 <> 0 THEN x END AS f FROM numbered)"""
+_ENDLESS = "coalesce(bool_or(e) OVER w, false)"
+_holed = {
+    "mean": f"CASE WHEN NOT {_ENDLESS} THEN avg(f) OVER w END",
+    "std": f"CASE WHEN NOT {_ENDLESS} THEN coalesce(stddev_samp(f) OVER w, 0) END",
+    "min": "min(f) OVER w",
+    "change": f"CASE WHEN NOT {_ENDLESS} THEN f - avg(f) OVER w END",
+    "trend": f"CASE WHEN NOT {_ENDLESS} THEN CASE WHEN count(f) OVER w >= 2 THEN regr_slope(f, rn) OVER w ELSE 0 END END",
+}
+put(
+    "rolling_stats_nan",
+    f"SELECT series_key, event_id, {_ENDLESS}::INT AS is_endless, {listed({f'15min_{n}': e for n, e in _holed.items()})} "
+    f"FROM holed WINDOW w AS {frame(15)}",
+    NUMBERED,
+    GAPS,
+)
+put(
+    "rolling_time_range_nan",
+    f"SELECT series_key, event_id, (count(CASE WHEN event_id % 97 <> 0 THEN 1 END) OVER w)::BIGINT AS \"240min_count\", "
+    f"{listed({f'240min_{n}': e for n, e in _holed.items() if n != 'trend'})} FROM (SELECT * REPLACE (floor(epoch(ts))::BIGINT AS sec) FROM holed) "
+    "WINDOW w AS (PARTITION BY series_key ORDER BY sec RANGE BETWEEN 14399 PRECEDING AND CURRENT ROW)",
+    NUMBERED,
+    GAPS,
+)
+put(
+    "rolling_offset",
+    "SELECT series_key, event_id, "
+    + ", ".join(
+        f'round({e} OVER w{w} + 1e-5, 2) AS "{w}min_{n}"' if n == "mean" else f'round(coalesce({e} OVER w{w}, 0) + 1e-5, 2) AS "{w}min_{n}"'
+        for w in (5, 60)
+        for n, e in (("mean", "avg(y)"), ("std", "stddev_samp(y)"))
+    )
+    + " FROM (SELECT *, x + CASE WHEN event_id * 2 > (SELECT max(event_id) FROM series) THEN 1e9 ELSE 0 END AS y FROM series) WINDOW "
+    + ", ".join(f"w{w} AS {frame(w)}" for w in (5, 60)),
+)
+put(
+    "zscore_nan",
+    f"SELECT series_key, event_id, {r6('(f - avg(f) OVER s) / (stddev_samp(f) OVER s + 1e-8)', 'z_score')} FROM holed WINDOW s AS (PARTITION BY series_key)",
+    NUMBERED,
+    GAPS,
+)
+put(
+    "describe_nan",
+    "SELECT series_key, count(f)::BIGINT AS count, "
+    + listed({"mean": "avg(f)", "std": "stddev_samp(f)", "min": "min(f)", "max": "max(f)"} | {f"p{q}": f"quantile_cont(f, 0.{q})" for q in (25, 50, 75)})
+    + " FROM holed GROUP BY 1",
+    NUMBERED,
+    GAPS,
+)
 put(
     "usage_streak",
     "SELECT series_key, event_id, "
@@ -134,6 +184,7 @@ put(
     "time_index",
     "SELECT series_key, event_id, CASE WHEN is_anomaly = 0 THEN floor(epoch(ts))::DOUBLE END AS epoch FROM series",
 )
+put("time_index_mixed", "SELECT series_key, event_id, floor(epoch(ts))::DOUBLE AS epoch FROM series")
 put(
     "point_features",
     "SELECT series_key, event_id, x AS cpu_usage, hour(ts)::INT AS hour, (isodow(ts) - 1)::INT AS weekday, "
@@ -457,14 +508,14 @@ put(
 
 put(
     "csv_roundtrip",
-    'SELECT floor(epoch(ts))::BIGINT AS "timestamp", x AS cpu_utilization, is_anomaly::INT AS is_anomaly FROM series',
+    'SELECT series_key, floor(epoch(ts))::BIGINT AS "timestamp", x AS cpu_utilization, is_anomaly::INT AS is_anomaly FROM series',
 )
 put("two_column_csv", 'SELECT floor(epoch(ts))::BIGINT AS "timestamp", x AS cpu_utilization FROM series')
 put(
     "range_json",
     "SELECT 'host_name=' || series_key AS series_key, floor(epoch(ts))::BIGINT AS \"timestamp\", x AS cpu_utilization FROM series",
 )
-_LINE = "'cpu_usage{status=\"' || %s || '\"} ' || x::VARCHAR || ' ' || (floor(epoch(ts))::BIGINT * 1000)::VARCHAR AS value"
+_LINE = "'cpu_usage{status=\"' || %s || '\",series_key=\"' || series_key || '\"} ' || x::VARCHAR || ' ' || (floor(epoch(ts))::BIGINT * 1000)::VARCHAR AS value"
 put("exposition_lines", f"SELECT {_LINE % 'is_anomaly'} FROM series")
 
 # --- streams -------------------------------------------------------------------------------------

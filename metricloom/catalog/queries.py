@@ -108,6 +108,46 @@ for _minutes in (15, 60):
     query(_time_range(_minutes))
 
 
+def with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The series with NaN in every 97th event and infinity in every 211th."""
+    gap = F.when(F.pmod("event_id", F.lit(97)) == 0, math.nan).when(F.pmod("event_id", F.lit(211)) == 0, math.inf)
+    return series(spark, sf).withColumn(VALUE, gap.otherwise(F.col(VALUE)))
+
+
+@query
+def rolling_stats_nan(spark, sf):
+    out = rolling.rolling_stats(with_gaps(spark, sf), (15,), stats=("mean", "std", "max", "min", "change", "trend"))
+    out = out.withColumn("is_endless", F.coalesce(F.col("15min_max") == math.inf, F.lit(False)).cast("int"))
+    return columns(out, [*ID, "is_endless"], [f"15min_{s}" for s in ("mean", "std", "min", "change", "trend")])
+
+
+@query
+def rolling_time_range_nan(spark, sf):
+    out = rolling.rolling_by_time(with_gaps(spark, sf), 240)
+    return columns(out, [*ID, "240min_count"], [f"240min_{s}" for s in ("mean", "std", "min", "change")])
+
+
+@query
+def rolling_offset(spark, sf):
+    """The later half of the events lies higher by a billion."""
+    rows = series(spark, sf)
+    last = rows.agg(F.max("event_id").alias("last"))
+    rows = rows.join(F.broadcast(last)).withColumn(VALUE, F.col(VALUE) + F.when(F.col("event_id") * 2 > F.col("last"), 1e9).otherwise(0.0))
+    out = rolling.rolling_stats(rows.drop("last"), (5, 60), stats=("mean", "std"))
+    return out.select(*ID, *[F.round(F.col(f"{w}min_{s}") + 1e-5, 2).alias(f"{w}min_{s}") for w in (5, 60) for s in ("mean", "std")])
+
+
+@query
+def zscore_nan(spark, sf):
+    out = stats.zscore(with_gaps(spark, sf)).withColumn("z_score", scalar.finite("z_score"))
+    return columns(out, ID, ["z_score"])
+
+
+@query
+def describe_nan(spark, sf):
+    return columns(stats.describe(with_gaps(spark, sf)), ["series_key", "count"], ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
 @query
 def usage_streak(spark, sf):
     out = rolling.high_usage_counts(series(spark, sf))
@@ -208,6 +248,15 @@ def time_index(spark, sf):
     return out.select(*ID, calendar.ts_to_epoch("datetime").cast("double").alias("epoch"))
 
 
+@query
+def time_index_mixed(spark, sf):
+    """One series in milliseconds beside others in seconds."""
+    scale = F.when(F.col("series_key") == "view", 1000).otherwise(1)
+    mixed = series(spark, sf).withColumn("timestamp", calendar.ts_to_epoch("ts") * scale)
+    out = calendar.to_time_index(mixed, ("series_key",))
+    return out.select(*ID, calendar.ts_to_epoch("datetime").cast("double").alias("epoch"))
+
+
 @query
 def point_features(spark, sf):
     rows = series(spark, sf).withColumn("epoch", calendar.ts_to_epoch("ts"))
@@ -613,7 +662,7 @@ def probability_range(spark, sf):
 @query
 def csv_roundtrip(spark, sf):
     path = fresh_path(spark, "csv")
-    files.write_scored_csv(series(spark, sf), path, status="is_anomaly")
+    files.write_scored_csv(series(spark, sf), path, status="is_anomaly", keys=("series_key",))
     return files.read_metric_csv(spark, path)
 
 
@@ -645,7 +694,7 @@ def range_json(spark, sf):
 @query
 def exposition_lines(spark, sf):
     path = fresh_path(spark, "lines")
-    exchange.write_exposition(series(spark, sf), path, status="is_anomaly")
+    exchange.write_exposition(series(spark, sf), path, status="is_anomaly", labels=("series_key",))
     return spark.read.text(path)
 
 
@@ -719,8 +768,15 @@ def tumbling_stats(spark, sf):
 
 @query
 def run_tracker(spark, sf):
-    path = fresh_path(spark, "runs")
-    rows = stream(spark, sf).withColumn("is_anomaly", (F.col(VALUE) > 15).cast("int"))
-    live.track_runs(rows, path, poll=None).awaitTermination()
+    """Four restarts, each after a quarter of the time; a third of the rows arrive up to an hour late."""
+    path, folder = fresh_path(spark, "runs"), fresh_path(spark, "arrivals")
+    rows = series(spark, sf).withColumn("is_anomaly", (F.col(VALUE) > 15).cast("int"))
+    delay = F.when(F.pmod("event_id", F.lit(3)) == 0, F.pmod(F.col("event_id") * 37, F.lit(3600))).otherwise(0)
+    arrivals = rows.withColumn("_at", F.unix_timestamp("ts") + delay)
+    first, last = arrivals.agg(F.min("_at"), F.max("_at")).first()
+    for quarter in range(4):
+        part = F.least(F.floor((F.col("_at") - first) * 4 / max(last - first, 1)), F.lit(3))
+        arrivals.filter(part == quarter).drop("_at").write.mode("append").parquet(folder)
+        live.track_runs(spark.readStream.schema(rows.schema).parquet(folder), path, poll=None).awaitTermination()
     state = live.read_runs(spark, path).withColumn("run_start", F.unix_micros("run_start").cast("double"))
     return columns(state, ["series_key", "run_start", "run_rows"], ["run_minutes"])

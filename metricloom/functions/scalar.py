@@ -29,6 +29,12 @@ def nan_to_null(c: str | Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def finite(c: str | Column) -> Column:
+    """The value where it is a finite number, else null."""
+    c = _col(c)
+    return F.when(F.abs(c) < math.inf, c)
+
+
 def clean_number(c: str | Column) -> Column:
     """Infinity, NaN and null become 0."""
     c = _col(c).cast("double")

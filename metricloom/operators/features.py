@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from metricloom.functions.calendar import calendar_columns
-from metricloom.functions.scalar import flag, threshold_flags
+from metricloom.functions.scalar import finite, flag, threshold_flags
 from metricloom.operators.detectors import (
     consensus, flag_lowest, isolation_forest_flag, isolation_scores, iqr_flag, lof_flag, lof_scores, outside_fences,
     zscore_flag,
@@ -111,12 +111,14 @@ def value_features(
     return materialize(table, "value_features")
 
 
-def _calendar_means(rows: DataFrame, spec: Series) -> tuple[DataFrame, DataFrame]:
-    """Mean per (series, hour of day) and per (series, date), from one pass over the rows."""
-    keys = list(spec.keys)
+def _calendar_means(rows: DataFrame, spec: Series) -> tuple[DataFrame, DataFrame, bool]:
+    """Mean per (series, hour of day) and per (series, date), and whether labels are missing, from one pass over the rows."""
+    keys, v = list(spec.keys), finite(spec.value)
+    label = spec.label if spec.label in rows.columns else F.lit(1)
     cells = materialize(
         rows.groupBy(*keys, F.to_date(spec.ts).alias("_date"), F.hour(spec.ts).alias("_hour")).agg(
-            F.sum(spec.value).alias("_sum"), F.count(spec.value).alias("_n"), F.count(F.lit(1)).alias("_rows")
+            F.sum(v).alias("_sum"), F.count(v).alias("_n"), F.count(F.lit(1)).alias("_rows"),
+            F.count(label).alias("_labels"),
         ),
         "cells",
     )
@@ -125,7 +127,7 @@ def _calendar_means(rows: DataFrame, spec: Series) -> tuple[DataFrame, DataFrame
         mean = F.try_divide(F.sum("_sum"), F.sum("_n"))
         return cells.groupBy(*keys, group).agg(mean.alias(name), F.sum("_rows").alias(f"{name}_rows"))
 
-    return fold("_hour", "_hour_mean"), fold("_date", "_date_mean")
+    return fold("_hour", "_hour_mean"), fold("_date", "_date_mean"), not cells.filter("_labels < _rows").isEmpty()
 
 
 def all_features(
@@ -155,7 +157,7 @@ def all_features(
     by_value = value_features(
         profile, own if stats is None else stats, spec, contamination, neighbours, seed, parts
     )
-    by_hour, by_date = _calendar_means(rows, spec)
+    by_hour, by_date, unlabelled = _calendar_means(rows, spec)
 
     enriched = attach(rows, by_value, [*keys, spec.value], weight="n", written=True).drop("n")
     enriched = enriched.withColumns(
@@ -171,21 +173,21 @@ def all_features(
         }
     ).drop("_hour", "_date", "_hour_mean", "_date_mean", "_hour_mean_rows", "_date_mean_rows")
 
-    frames = {w: w * rows_per_minute for w in windows}
+    frames, features = {w: w * rows_per_minute for w in windows}, feature_names(windows)
     reach = max(*frames.values(), *STREAKS) - 1
     dealt = ordered.with_rows(enriched).chunked(reach, chunk_rows=chunk_rows)
-    nulls = not own.filter("n_values < n_rows").isEmpty()
+    holes = [spec.value, *features] if not own.filter("n_values < n_rows").isEmpty() else []
+    holes += [spec.label] if unlabelled else []
     flags = {"high_usage_streak": "is_high_usage", "anomaly_streak": "algorithm_agreement"}
     streaks = {name: Track(F.col(source).cast("long"), STREAKS) for name, source in flags.items()}
-    dealt = add_rolling(dealt, keys, spec.value, frames, STATS, nulls, streaks)
+    dealt = add_rolling(dealt, keys, spec.value, frames, STATS, streaks)
     dealt = dealt.withColumnsRenamed({f"_{name}_w{n}": f"{name}_{n}" for name in flags for n in STREAKS})
     dealt = coefficient_of_variation(dealt.filter(F.col(HOME) == F.col(CHUNK)), windows)
 
-    features = feature_names(windows)
-    if not nulls:
+    if not holes:
         return dealt.select(*payload, *features)
     holed = materialize(dealt.select(*payload, PART, IDX, *features), "features")
-    return fill_chain(ordered.with_rows(holed), [spec.value, *features], spec)
+    return fill_chain(ordered.with_rows(holed), holes, spec)
 
 
 Feature = Callable[..., DataFrame]

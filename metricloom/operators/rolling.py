@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from metricloom.functions.scalar import EPSILON, flag
+from metricloom.functions.scalar import EPSILON, finite, flag, nan_to_null
 from metricloom.plans.attach import attach
-from metricloom.plans.ordered import CHUNK, CHUNK_ROWS, HOME, IDX, PART, RN, Ordered, lay_out, order_series
+from metricloom.plans.ordered import CHUNK, CHUNK_ROWS, HOME, IDX, PART, RN, Ordered, order_series
 from metricloom.series import Series
 
 WINDOWS = (5, 15, 30, 60)
@@ -17,18 +18,25 @@ STATS = ("mean", "std", "max", "min", "range", "change", "pct_change", "trend")
 STREAKS = (3, 5, 10)
 
 
+At = Callable[[str], Column]
+
+
 @dataclass(frozen=True)
 class Track:
     """One quantity that is folded over trailing frames of several lengths.
 
-    `moved` gives its value `o` rows further back from the lagged tracks: a weighted sum such as
-    sum(j * x[i-j]) gains o * sum(x[i-j]) when its block starts o rows earlier.
+    `merge` joins a block of rows (`near`) with the block before it (`far`), reading any track of both;
+    without it the track is a sum. `moved` gives a value of a block that starts o rows further back.
     """
 
     base: Column
     frames: tuple[int, ...]
     kind: str = "sum"
-    moved: Callable[[Callable[[str], Column], int], Column] | None = None
+    merge: Callable[[At, At], Column] | None = None
+    moved: Callable[[Column, int], Column] | None = None
+
+    def joined(self, name: str, near: At, far: At) -> Column:
+        return self.merge(near, far) if self.merge else near(name) + far(name)
 
 
 def fold_frames(
@@ -60,39 +68,41 @@ def fold_frames(
     done: dict[str, str] = {}
     k = 1
     while k <= longest:
+        lags: dict[str, Column] = {}
 
-        def block(name: str, offset: int, k=k) -> Column:
+        def block(name: str, offset: int, k=k, lags=lags) -> Column:
             """A block of k rows that ends `offset` rows before the current one."""
-            column = f"_{name}_{k}"
+            column, track = f"_{name}_{k}", tracks[name]
             if offset == 0:
                 return F.col(column)
-            default = 0 if tracks[name].kind == "sum" else None
-            return F.lag(column, offset, default).over(window)
-
-        def shifted(name: str, offset: int) -> Column:
-            track = tracks[name]
-            if track.moved is None or offset == 0:
-                return block(name, offset)
-            return track.moved(lambda other: block(other, offset), offset)
+            lagged = f"_lag_{name}_{offset}"
+            lags[lagged] = F.lag(column, offset, 0 if track.kind == "sum" else None).over(window)
+            return track.moved(F.col(lagged), offset) if track.moved else F.col(lagged)
 
         made: dict[str, Column] = {}
+        pieces = dict(done)
         for name, track in tracks.items():
             pick = F.greatest if track.kind == "max" else F.least
             for n in track.frames:
                 result = f"_{name}_w{n}"
                 if track.kind == "sum" and n & k:
                     rest = n & (k - 1)
-                    piece = shifted(name, rest)
-                    made[f"{result}_{k}"] = F.col(done[result]) + piece if rest else piece
+                    near = lambda t, n=n: F.col(pieces[f"_{t}_w{n}"])
+                    far = lambda t, rest=rest: block(t, rest)
+                    made[f"{result}_{k}"] = track.joined(name, near, far) if rest else block(name, 0)
                     done[result] = f"{result}_{k}"
                 elif track.kind != "sum" and k <= n < 2 * k:
                     here = block(name, 0)
                     made[f"{result}_{k}"] = pick(here, block(name, n - k)) if n > k else here
                     done[result] = f"{result}_{k}"
             if 2 * k <= max(track.frames):
-                here, before = block(name, 0), shifted(name, k)
-                made[f"_{name}_{2 * k}"] = here + before if track.kind == "sum" else pick(here, before)
+                near, far = (lambda t: block(t, 0)), (lambda t, k=k: block(t, k))
+                made[f"_{name}_{2 * k}"] = (
+                    track.joined(name, near, far) if track.kind == "sum" else pick(block(name, 0), block(name, k))
+                )
         kept = [c for c in done.values() if c not in made]
+        # the lags first: each is one column, however many merges read it
+        dealt = dealt.select("*", *[c.alias(n) for n, c in lags.items()])
         dealt = dealt.select(*carried, *kept, *[c.alias(n) for n, c in made.items()])
         for n, frame in finish.items():
             if k <= n < 2 * k:
@@ -114,27 +124,44 @@ def fold_frames(
     )
 
 
-def value_tracks(value: str, frames, trend: bool, nulls: bool) -> dict[str, Track]:
-    """Tracks of the value: extremes, sums of the centred value and its square, and for the trend
-    the sum weighted by the distance j to the current row. Where values are missing, the counts and
-    the sums of j and j * j over the present ones are tracked too; else they follow from the length."""
+def _both(near: At, far: At) -> Column:
+    return near("n") + far("n")
+
+
+def _far_share(near: At, far: At) -> Column:
+    """Share of the far block's values in both blocks; 0 where neither has one."""
+    return far("n") / F.greatest(_both(near, far), F.lit(1))
+
+
+def _mean(name: str) -> Callable[[At, At], Column]:
+    return lambda near, far: near(name) + (far(name) - near(name)) * _far_share(near, far)
+
+
+def _moment(name: str, left: str, right: str) -> Callable[[At, At], Column]:
+    """Sums of products of deviations: those inside the blocks and the one between their means."""
+    return lambda near, far: near(name) + far(name) + (far(left) - near(left)) * (far(right) - near(right)) * (
+        near("n") * _far_share(near, far)
+    )
+
+
+def value_tracks(value: str, frames, trend: bool) -> dict[str, Track]:
+    """Tracks of the value: extremes, count, mean and squared deviations; for the trend also mean and squared
+    deviations of the distance j to the current row, and the products of both. Blocks are merged by their means, so
+    no large sums cancel, and a value that is no number spoils only the frames it lies in. NaN is a missing value."""
     frames = tuple(sorted(set(frames)))
-    v = F.col(value)
-    d = F.coalesce(v - F.col("_centre"), F.lit(0.0))
+    v = nan_to_null(value)
+    zero = F.lit(0.0)
     tracks = {
         "max": Track(v, frames, "max"),
         "min": Track(v, frames, "min"),
-        "s": Track(d, frames),
-        "q": Track(d * d, frames),
+        "n": Track(v.isNotNull().cast("long"), frames),
+        "m": Track(F.coalesce(v, zero), frames, merge=_mean("m")),
+        "q": Track(zero, frames, merge=_moment("q", "m", "m")),
     }
     if trend:
-        tracks["x"] = Track(F.lit(0.0), frames, moved=lambda at, o: at("x") + o * at("s"))
-    if nulls:
-        tracks["n"] = Track(v.isNotNull().cast("long"), frames)
-        if trend:
-            zero = F.lit(0).cast("long")
-            tracks["t"] = Track(zero, frames, moved=lambda at, o: at("t") + o * at("n"))
-            tracks["u"] = Track(zero, frames, moved=lambda at, o: at("u") + 2 * o * at("t") + o * o * at("n"))
+        tracks["j"] = Track(zero, frames, merge=_mean("j"), moved=lambda c, o: c + o)
+        tracks["u"] = Track(zero, frames, merge=_moment("u", "j", "j"))
+        tracks["x"] = Track(zero, frames, merge=_moment("x", "j", "m"))
     return tracks
 
 
@@ -147,13 +174,15 @@ def rolling_stats(
     parts: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Add `{W}min_{stat}` over the last W * rows_per_minute rows of the series, current included."""
+    """Add `{W}min_{stat}` over the last W * rows_per_minute rows of the series, current included.
+
+    NaN is a missing value. A frame that holds an infinity has it as extreme, and null for all that needs a mean.
+    """
     ordered = order_series(src, spec, parts)
     payload = [c for c in ordered.rows.columns if c not in (PART, IDX)]
     frames = {w: w * rows_per_minute for w in windows}
-    nulls = not ordered.rows.filter(F.col(spec.value).isNull()).isEmpty()
     dealt = ordered.chunked(max(frames.values()) - 1, chunk_rows=chunk_rows)
-    dealt = add_rolling(dealt, ordered.keys, spec.value, frames, stats, nulls)
+    dealt = add_rolling(dealt, ordered.keys, spec.value, frames, stats)
     names = [f"{w}min_{s}" for w in windows for s in STATS if s in stats]
     return dealt.filter(F.col(HOME) == F.col(CHUNK)).select(*payload, *names)
 
@@ -164,18 +193,14 @@ def add_rolling(
     value: str,
     frames: dict[int, int],
     stats: tuple[str, ...] = STATS,
-    nulls: bool = True,
     others: dict[str, Track] | None = None,
 ) -> DataFrame:
     """Rolling columns on rows that are dealt to chunks already; `others` are folded along."""
     payload = dealt.columns
-    series = Window.partitionBy(*keys, CHUNK).orderBy(RN)
-    whole = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    dealt = dealt.withColumn("_centre", F.avg(value).over(whole))
-    tracks = value_tracks(value, frames.values(), "trend" in stats, nulls)
+    tracks = value_tracks(value, frames.values(), "trend" in stats)
     finish = {n: FrameStats(value, w, n, tuple(tracks), stats) for w, n in frames.items()}
     folded = [f"_{name}_w{n}" for name, t in (others or {}).items() for n in t.frames]
-    dealt = fold_frames(dealt, keys, tracks | (others or {}), finish, uses=(value, "_centre"))
+    dealt = fold_frames(dealt, keys, tracks | (others or {}), finish, uses=(value,))
     names = [f"{w}min_{s}" for w in frames for s in STATS if s in stats]
     return dealt.select(*payload, *folded, *names)
 
@@ -194,30 +219,25 @@ class FrameStats:
         return F.col(f"_{track}_w{self.rows}")
 
     def __call__(self) -> dict[str, Column]:
-        at, v = self.at, F.col(self.value)
-        nulls = "n" in self.tracks
-        length = F.least(F.lit(self.rows).cast("long"), F.col(RN) + 1)
-        count = at("n") if nulls else length
-        present = F.when(count > 0, count) if nulls else count
-        mean = F.col("_centre") + at("s") / present
-        squares = F.greatest(at("q") - at("s") * at("s") / present, F.lit(0.0))
+        at, v = self.at, nan_to_null(self.value)
+        count = at("n")
+        bounded = (F.abs(at("max")) < math.inf) & (F.abs(at("min")) < math.inf)
+        mean = F.when(bounded, at("m"))
         # The square root would blow up rounding noise in a flat frame.
-        spread = (count > 1) & (at("max") > at("min"))
+        spread = F.coalesce((count > 1) & (at("max") > at("min")), F.lit(False))
+        endless = (count > 0) & ~bounded
         columns = {
             "mean": mean,
-            "std": F.when(spread, F.sqrt(squares / (count - 1))).otherwise(F.lit(0.0)),
+            "std": F.when(endless, None).when(spread, F.sqrt(at("q") / (count - 1))).otherwise(F.lit(0.0)),
             "max": at("max"),
             "min": at("min"),
-            "range": at("max") - at("min"),
+            "range": F.when(bounded, at("max") - at("min")),
             "change": v - mean,
             "pct_change": v / (mean + EPSILON) - 1,
         }
         if "trend" in self.stats:
-            back = at("t") if nulls else length * (length - 1) / 2
-            back_squares = at("u") if nulls else (length - 1) * length * (2 * length - 1) / 6
-            along = back * at("s") / present - at("x")
-            across = back_squares - back * back / present
-            columns["trend"] = F.when(spread, along / across).otherwise(F.lit(0.0))
+            # distances run backwards in time
+            columns["trend"] = F.when(endless, None).when(spread, -at("x") / at("u")).otherwise(F.lit(0.0))
         return {f"{self.window}min_{s}": c for s, c in columns.items() if s in self.stats}
 
 
@@ -255,70 +275,98 @@ def anomaly_counts(src, agreement: str = "algorithm_agreement", spec: Series = S
     return rolling_counts(src, {"anomaly_streak": F.col(agreement)}, spec=spec, **kw)
 
 
-def rolling_by_time(
-    df: DataFrame,
-    minutes: int,
-    spec: Series = Series(),
-    parts: int | None = None,
-    chunk_rows: int = CHUNK_ROWS,
-) -> DataFrame:
+def rolling_by_time(df: DataFrame, minutes: int, spec: Series = Series(), parts: int | None = None) -> DataFrame:
     """Add rolling statistics over the last `minutes` of time, whatever the sampling rate.
 
-    All rows of one second share their frame, so frames run over one row per (series, second):
-    a frame then has at most 60 * minutes rows, even when an instant holds very many samples.
+    All rows of one second share their frame, so frames run over one row per (series, second). Time is
+    cut into buckets as long as a frame: a frame is the head of its own bucket up to the current second
+    and the tail of the bucket before. Heads and tails are growing windows, so a row costs the same
+    however long the frame is, and a bucket has at most 60 * minutes rows.
+
+    Sums of a head or tail are centred on its own first value. That value lies in every frame of the
+    window, so at most a factor of the frame's size in precision is lost, wherever the series jumps. Head
+    and tail are merged by their means. NaN and infinities are treated as by `rolling_stats`.
     """
-    keys, v = list(spec.keys), F.col(spec.value)
-    seconds = 60 * minutes
+    keys, v = list(spec.keys), nan_to_null(spec.value)
+    length = 60 * minutes
     keyed = df.withColumn("_second", F.unix_timestamp(F.col(spec.ts).cast("timestamp")))
+    number = finite(spec.value)
     rollup = keyed.groupBy(*keys, "_second").agg(
         F.count(F.lit(1)).alias("_copies"),
-        F.count(v).alias("_n"),
-        F.avg(v).alias("_mean"),
-        (F.var_pop(v) * F.count(v)).alias("_m2"),
+        F.count(v).alias("_count"),
+        F.count(number).alias("_n"),
+        F.avg(number).alias("_mean"),
+        (F.var_pop(number) * F.count(number)).alias("_m2"),
         F.max(v).alias("_max"),
         F.min(v).alias("_min"),
     )
-    ordered = lay_out(rollup, keys, ["_second"], parts)
-    dealt = ordered.chunked(seconds - 1, chunk_rows=chunk_rows)
-    centre = F.avg("_mean").over(Window.partitionBy(*keys, CHUNK))
-    dealt = dealt.withColumn("_d", F.col("_mean") - centre).withColumn("_centre", centre)
-    frame = Window.partitionBy(*keys, CHUNK).orderBy("_second").rangeBetween(-(seconds - 1), 0)
-    n, d = F.col("_n"), F.col("_d")
-    framed = dealt.filter(F.col("_second").isNotNull()).select(
+    bucket = F.floor(F.col("_second") / length)
+    # as a tail, a second counts for the rows of the next bucket that are less than a frame later
+    both = rollup.filter(F.col("_second").isNotNull()).withColumn("_tail", F.explode(F.array(F.lit(0), F.lit(1))))
+    both = both.withColumn("_bucket", bucket + F.col("_tail")).withColumn(
+        "_at", F.col("_second") + F.col("_tail") * (length - 1)
+    )
+    on = [*keys, "_bucket"]
+    both = both.repartition(parts, *on) if parts else both.repartition(*on)
+    outward = F.when(F.col("_tail") == 1, -F.col("_second")).otherwise(F.col("_second"))
+    grown = Window.partitionBy(*on, "_tail").orderBy(outward).rowsBetween(Window.unboundedPreceding, 0)
+    n, d = F.col("_n"), F.col("_mean") - F.col("_centre")
+    both = both.withColumn("_centre", F.first("_mean", ignorenulls=True).over(grown))
+    both = both.select(
+        *on, "_tail", "_second", "_at", "_copies", "_centre",
+        F.sum("_count").over(grown).alias("_fc"),
+        F.sum(n).over(grown).alias("_fn"),
+        F.coalesce(F.sum(n * d).over(grown), F.lit(0.0)).alias("_fs"),
+        F.coalesce(F.sum(F.col("_m2") + n * d * d).over(grown), F.lit(0.0)).alias("_fq"),
+        F.max("_max").over(grown).alias("_fmax"),
+        F.min("_min").over(grown).alias("_fmin"),
+    )
+    share = F.col("_fs") / F.greatest("_fn", F.lit(1))
+    side = F.struct(
+        F.col("_fc").alias("c"), F.col("_fn").alias("n"), F.coalesce(F.col("_centre") + share, F.lit(0.0)).alias("m"),
+        F.greatest(F.col("_fq") - F.col("_fs") * share, F.lit(0.0)).alias("q"), F.col("_fmax").alias("max"), F.col("_fmin").alias("min"),
+    )
+    later = Window.partitionBy(*on).orderBy(F.col("_at").desc(), F.col("_tail").desc())
+    tail = F.last(F.when(F.col("_tail") == 1, F.col("_side")), ignorenulls=True)
+    framed = both.withColumn("_side", side).withColumn(
+        "_before", tail.over(later.rowsBetween(Window.unboundedPreceding, 0))
+    )
+
+    def near(name: str) -> Column:
+        return F.col(f"_side.{name}")
+
+    def far(name: str) -> Column:
+        return F.coalesce(F.col(f"_before.{name}"), F.lit(0))
+
+    names = {s: f"{minutes}min_{s}" for s in ("count", "mean", "std", "max", "min", "range", "change", "pct_change")}
+    folded = framed.filter("_tail = 0").select(
         *keys,
         "_second",
         "_copies",
-        HOME,
-        CHUNK,
-        "_centre",
-        F.sum(n).over(frame).alias("_fn"),
-        F.sum(n * d).over(frame).alias("_fs"),
-        F.sum(F.col("_m2") + n * d * d).over(frame).alias("_fq"),
-        F.max("_max").over(frame).alias(f"{minutes}min_max"),
-        F.min("_min").over(frame).alias(f"{minutes}min_min"),
+        (near("c") + far("c")).alias(names["count"]),
+        _both(near, far).alias("_n"),
+        _mean("m")(near, far).alias("_m"),
+        _moment("q", "m", "m")(near, far).alias("_q"),
+        F.greatest(near("max"), F.col("_before.max")).alias(names["max"]),
+        F.least(near("min"), F.col("_before.min")).alias(names["min"]),
     )
-    count, mean = F.col("_fn"), F.col("_fs") / F.nullif(F.col("_fn"), F.lit(0))
-    flat = F.col(f"{minutes}min_max") == F.col(f"{minutes}min_min")
-    deviation = F.sqrt(F.greatest(F.col("_fq") - F.col("_fs") * mean, F.lit(0.0)) / F.nullif(count - 1, F.lit(0)))
-    table = framed.filter(F.col(HOME) == F.col(CHUNK)).select(
+    endless = F.col(names["count"]) > F.col("_n")
+    flat = F.col(names["max"]) == F.col(names["min"])
+    deviation = F.sqrt(F.col("_q") / F.greatest(F.col("_n") - 1, F.lit(1)))
+    table = folded.select(
         *keys,
         "_second",
         "_copies",
-        F.col("_fn").alias(f"{minutes}min_count"),
-        (F.col("_centre") + mean).alias(f"{minutes}min_mean"),
-        F.when(flat | (count < 2), F.lit(0.0)).otherwise(F.coalesce(deviation, F.lit(0.0))).alias(f"{minutes}min_std"),
-        f"{minutes}min_max",
-        f"{minutes}min_min",
+        names["count"],
+        F.when(~endless & (F.col("_n") > 0), F.col("_m")).alias(names["mean"]),
+        F.when(endless, None).when(flat | (F.col("_n") < 2), F.lit(0.0)).otherwise(deviation).alias(names["std"]),
+        names["max"],
+        names["min"],
+        F.when(~endless, F.col(names["max"]) - F.col(names["min"])).alias(names["range"]),
     )
     joined = attach(keyed, table, [*keys, "_second"], weight="_copies").drop("_second", "_copies")
-    average = F.col(f"{minutes}min_mean")
-    return joined.withColumns(
-        {
-            f"{minutes}min_range": F.col(f"{minutes}min_max") - F.col(f"{minutes}min_min"),
-            f"{minutes}min_change": v - average,
-            f"{minutes}min_pct_change": v / (average + EPSILON) - 1,
-        }
-    )
+    average = F.col(names["mean"])
+    return joined.withColumns({names["change"]: v - average, names["pct_change"]: v / (average + EPSILON) - 1})
 
 
 def row_index(src: DataFrame | Ordered, spec: Series = Series(), parts: int | None = None) -> DataFrame:

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from metricloom.functions.scalar import EPSILON
+from metricloom.functions.scalar import EPSILON, finite, nan_to_null
 from metricloom.plans.attach import attach
 from metricloom.plans.profile import average_rank, quantiles, value_profile
 from metricloom.series import Series
 
 
 def series_stats(df: DataFrame, spec: Series = Series()) -> DataFrame:
-    """One row per series: rows, values, min, max, mean, sample std; NaN is a missing value."""
-    v = F.when(~F.isnan(spec.value), F.col(spec.value))
+    """One row per series: rows, values, min, max, mean, sample std; NaN and infinities are missing values."""
+    v = finite(spec.value)
     return df.groupBy(*spec.keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(v).alias("n_values"),
@@ -25,11 +25,12 @@ def series_stats(df: DataFrame, spec: Series = Series()) -> DataFrame:
 
 def normalized(value: Column) -> Column:
     """Min-max scaling; a constant series has no scale and gives null."""
+    value = nan_to_null(value)
     return F.try_divide(value - F.col("v_min"), F.col("v_max") - F.col("v_min"))
 
 
 def deviation(value: Column) -> Column:
-    return (value - F.col("v_mean")) / (F.col("v_std") + EPSILON)
+    return (nan_to_null(value) - F.col("v_mean")) / (F.col("v_std") + EPSILON)
 
 
 def min_max_normalize(df: DataFrame, spec: Series = Series()) -> DataFrame:
@@ -50,10 +51,10 @@ def group_deviation(df: DataFrame, group: Column, name: str, spec: Series = Seri
     """Add `name` = value minus the mean of its (series, group)."""
     keyed = df.withColumn("_group", group)
     means = keyed.groupBy(*spec.keys, "_group").agg(
-        F.avg(spec.value).alias("_group_mean"), F.count(F.lit(1)).alias("_group_rows")
+        F.avg(finite(spec.value)).alias("_group_mean"), F.count(F.lit(1)).alias("_group_rows")
     )
     joined = attach(keyed, means, [*spec.keys, "_group"], weight="_group_rows")
-    return joined.select(*df.columns, (F.col(spec.value) - F.col("_group_mean")).alias(name))
+    return joined.select(*df.columns, (nan_to_null(spec.value) - F.col("_group_mean")).alias(name))
 
 
 def hourly_deviation(df: DataFrame, spec: Series = Series()) -> DataFrame:

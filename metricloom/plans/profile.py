@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from metricloom.functions.scalar import finite
 from metricloom.plans.ordered import Ordered, lay_out
 from metricloom.plans.workspace import materialize
 
@@ -34,13 +35,13 @@ class ValueProfile:
 def value_profile(
     df: DataFrame, keys, value: str, weight: str | None = None, parts: int | None = None, write: bool = True
 ) -> ValueProfile:
-    """Profile of the non-null values; `weight` sums an existing count column.
+    """Profile of the finite values; `weight` sums an existing count column.
 
     Written by default, for several readers; `write=False` suits a single one.
     """
     keys = tuple(keys)
     copies = F.sum(weight) if weight else F.count(F.lit(1))
-    histogram = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(copies.alias("n"))
+    histogram = df.filter(finite(value).isNotNull()).groupBy(*keys, value).agg(copies.alias("n"))
     ordered = lay_out(histogram, keys, [value], parts)
     running = ordered.running({"cum": ("sum", F.col("n"))}, totals=True)
     running = running.withColumnRenamed("cum_total", "total")

@@ -47,12 +47,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def drop_workspace(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; results read from them must be saved first."""
-    _delete(spark, workspace(spark))
+    delete_folder(spark, workspace(spark))
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def _store(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    store, path = _store(spark, folder)
+    store.delete(path, True)
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in `folder`; none if it does not exist."""
+    store, path = _store(spark, folder)
+    return [f.getPath().getName() for f in store.listStatus(path) if f.isDirectory()] if store.exists(path) else []
 
 
 @contextmanager
@@ -68,4 +79,4 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scope.name = before
-        _delete(spark, folder)
+        delete_folder(spark, folder)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metricloom.functions.calendar import ts_to_epoch
 from metricloom.functions.scalar import nan_to_null, round2
@@ -17,18 +18,21 @@ def read_range_response(spark: SparkSession, path: str, multi_line: bool = True)
     """All series of the JSON responses under `path`: (labels, series_key, timestamp, cpu_utilization).
 
     A file holds one response, or one per line with `multi_line=False`.
-    Fails when a response reports an error or when no series came back.
+    `multi_line=True` makes each file one record, which suits polls; write large exports as lines.
+    Fails when no series came back, and when a response that is read reports an error.
     """
     responses = spark.read.schema(RANGE_RESPONSE).option("multiLine", multi_line).json(path)
-    state = responses.agg(
-        F.max(F.when(F.coalesce(F.col("status"), F.lit("")) != "success", F.coalesce("error", F.lit("unknown")))).alias("error"),
-        F.coalesce(F.sum(F.size("data.result")), F.lit(0)).alias("series"),
-    ).first()
-    if state["error"] is not None:
-        raise ValueError(f"the metrics store reported an error: {state['error']}")
-    if state["series"] <= 0:
+    reported = F.concat(F.lit("the metrics store reported an error: "), F.coalesce("error", F.lit("unknown")))
+    result = F.when(F.col("status").eqNullSafe("success"), F.col("data.result")).otherwise(F.raise_error(reported))
+    try:
+        none = responses.filter(F.size(result) > 0).isEmpty()
+    except PySparkException as error:
+        if "USER_RAISED_EXCEPTION" not in str(error):
+            raise
+        raise ValueError(str(error)) from error
+    if none:
         raise ValueError("the range query returned no series")
-    series = responses.select(F.explode("data.result").alias("r")).select(
+    series = responses.select(F.explode(result).alias("r")).select(
         F.col("r.metric").alias("labels"), F.explode("r.values").alias("point")
     )
     return series.select(
@@ -48,20 +52,33 @@ def series_key(labels: str):
 
 
 def exposition_lines(
-    df: DataFrame, ts: str = "ts", value: str = "cpu_utilization", status: str = "prediction", metric: str = "cpu_usage"
-) -> DataFrame:
-    """One line per row: `metric{status="s"} value epoch_millis`."""
+    df: DataFrame, ts: str = "ts", value: str = "cpu_utilization", status: str = "prediction", metric: str = "cpu_usage",
+    labels=(),
+) -> DataFrame:
+    """One line per row: `metric{status="s",label="x"} value epoch_millis`, `labels` being the columns that name the series.
+
+    Backslashes, quotes and line ends in label values are escaped; a null is the empty label.
+    """
     epoch = F.col(ts).cast("bigint") if dict(df.dtypes)[ts] in ("bigint", "int") else ts_to_epoch(ts)
+    pairs = [F.concat(F.lit(f',{name}="'), _label_text(name), F.lit('"')) for name in labels]
     return df.select(
         F.format_string(
-            '%s{status="%d"} %s %d',
+            '%s{status="%d"%s} %s %d',
             F.lit(metric),
             F.col(status).cast("int"),
+            F.concat(*pairs) if pairs else F.lit(""),
             F.col(value).cast("string"),
             epoch * 1000,
         ).alias("value")
     )
 
 
-def write_exposition(df: DataFrame, path: str, mode: str = "error", **columns: str) -> None:
+def _label_text(column: str) -> Column:
+    text = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    for raw, safe in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+        text = F.replace(text, F.lit(raw), F.lit(safe))
+    return text
+
+
+def write_exposition(df: DataFrame, path: str, mode: str = "error", **columns) -> None:
     exposition_lines(df, **columns).write.mode(mode).text(path)

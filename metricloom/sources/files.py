@@ -54,19 +54,25 @@ def read_two_column_csv(spark: SparkSession, path: str) -> DataFrame:
     first, second, *rest = [f"_{i}" for i in range(len(df.columns))]
     return df.toDF(first, second, *rest).select(
         F.col(first).cast("bigint").alias("timestamp"),
-        round2(F.col(second).cast("double")).alias("cpu_utilization"),
+        round2(nan_to_null(F.col(second).cast("double"))).alias("cpu_utilization"),
     )
 
 
-def scored_rows(df: DataFrame, ts: str = "ts", value: str = "cpu_utilization", status: str = "prediction") -> DataFrame:
-    """(timestamp in epoch seconds, cpu_utilization as text with two decimals, is_anomaly)."""
+def scored_rows(
+    df: DataFrame, ts: str = "ts", value: str = "cpu_utilization", status: str = "prediction", keys=()
+) -> DataFrame:
+    """(`keys`, timestamp in epoch seconds, cpu_utilization as text with two decimals, is_anomaly).
+
+    Without `keys` the rows of all series look alike: for tables of one series.
+    """
     epoch = F.col(ts).cast("bigint") if dict(df.dtypes)[ts] in ("bigint", "int") else ts_to_epoch(ts)
     return df.select(
+        *keys,
         epoch.alias("timestamp"),
         F.format_string("%.2f", round2(value)).alias("cpu_utilization"),
         F.col(status).cast("int").alias("is_anomaly"),
     )
 
 
-def write_scored_csv(df: DataFrame, path: str, mode: str = "error", **columns: str) -> None:
+def write_scored_csv(df: DataFrame, path: str, mode: str = "error", **columns) -> None:
     scored_rows(df, **columns).write.mode(mode).option("header", True).csv(path)

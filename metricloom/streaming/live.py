@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from metricloom.functions.scalar import out_of_range
 from metricloom.operators.quality import trailing_range
 from metricloom.operators.runs import latest_row
 from metricloom.plans.attach import attach, null_safe_join
-from metricloom.plans.workspace import scratch
+from metricloom.plans.workspace import delete_folder, scratch, subfolders
 from metricloom.series import Series
 from metricloom.sources.exchange import exposition_lines
 
 POLL = "30 seconds"
 LATENESS = "1 hour"
+KEPT_BATCHES = 3
 
 
 def _start(stream: DataFrame, each, checkpoint: str, poll: str | None, mode: str = "append") -> StreamingQuery:
@@ -33,6 +34,13 @@ def _start(stream: DataFrame, each, checkpoint: str, poll: str | None, mode: str
     return writer.start()
 
 
+def _expire(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Delete states that no replay needs: a replay of this batch reads the one before."""
+    for name in subfolders(spark, folder):
+        if name.startswith("batch_id=") and int(name[9:]) <= batch_id - KEPT_BATCHES:
+            delete_folder(spark, f"{folder}/{name}")
+
+
 def live_score(
     stream: DataFrame,
     scorer: Callable[[DataFrame], DataFrame],
@@ -46,43 +54,65 @@ def live_score(
 
     Each micro-batch is added to a history partitioned by date, of which only the dates in reach are
     listed and read; the batch code `scorer` runs over its trailing range, so a sample up to `hours` late
-    still counts. `poll=None` drains what is there and stops. Results go to `<path>/latest/batch_id=N`,
-    lines to `<path>/lines/batch_id=N`.
+    still counts. Dates out of reach are deleted. `poll=None` drains what is there and stops.
+
+    `<path>/latest/batch_id=N` holds the newest scored row of every series seen so far, `<path>/newest` the
+    newest date, so a restarted query goes on where it ended; the last `KEPT_BATCHES` of both are kept.
+    `<path>/lines/batch_id=N` holds the lines of the series that batch N scored.
     """
     spark = stream.sparkSession
     history = f"{path}/history"
-    seen: list[date] = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
         dated = batch.withColumns({"_date": F.to_date(spec.ts), "batch_id": F.lit(batch_id).cast("long")})
         dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "_date", "batch_id"
         ).parquet(history)
-        newest = max([d for d in [dated.agg(F.max("_date")).first()[0], *seen] if d], default=None)
-        if newest is None:
-            return
-        seen[:] = [newest]
-        days = [newest - timedelta(days=n) for n in range(int(hours // 24) + 2)]
-        reader = spark.read.schema(dated.schema).option("basePath", history)
-        recent = reader.parquet(f"{history}/_date={{{','.join(map(str, days))}}}").filter(
-            F.col("batch_id") <= batch_id
-        )
-        trailing = trailing_range(recent, hours, spec.ts).drop("_date", "batch_id")
-        scored = scorer(trailing.dropDuplicates([*spec.keys, *spec.order]))
-        latest = latest_row(scored, spec)
-        latest.write.mode("overwrite").parquet(f"{path}/latest/batch_id={batch_id}")
-        if exposition:
-            done = spark.read.schema(latest.schema).parquet(f"{path}/latest/batch_id={batch_id}")
-            lines = exposition_lines(done, spec.ts, spec.value)
-            lines.write.mode("overwrite").text(f"{path}/lines/batch_id={batch_id}")
+        dates = dated.agg(F.max("_date").alias("newest"))
+        if batch_id > 0:
+            before = spark.read.schema(dates.schema).parquet(f"{path}/newest/batch_id={batch_id - 1}")
+            dates = dates.unionByName(before).agg(F.max("newest").alias("newest"))
+        newest = dates.first()[0]
+        spark.createDataFrame([(newest,)], dates.schema).write.mode("overwrite").parquet(f"{path}/newest/batch_id={batch_id}")
+        scored = None
+        if newest is not None:
+            days = [newest - timedelta(days=n) for n in range(int(hours // 24) + 2)]
+            reader = spark.read.schema(dated.schema).option("basePath", history)
+            recent = reader.parquet(f"{history}/_date={{{','.join(map(str, days))}}}").filter(
+                F.col("batch_id") <= batch_id
+            )
+            trailing = trailing_range(recent, hours, spec.ts).drop("_date", "batch_id")
+            scored = latest_row(scorer(trailing.dropDuplicates([*spec.keys, *spec.order])), spec)
+            scored.write.mode("overwrite").parquet(f"{path}/scored/batch_id={batch_id}")
+            scored = spark.read.schema(scored.schema).parquet(f"{path}/scored/batch_id={batch_id}")
+            latest = scored
+            if batch_id > 0 and f"batch_id={batch_id - 1}" in subfolders(spark, f"{path}/latest"):
+                older = spark.read.schema(scored.schema).parquet(f"{path}/latest/batch_id={batch_id - 1}")
+                # a row that was scored again replaces its older score
+                older = null_safe_join(older, scored.select(*spec.keys), list(spec.keys), "left_anti")
+                latest = scored.unionByName(older)
+            latest.write.mode("overwrite").parquet(f"{path}/latest/batch_id={batch_id}")
+            if exposition:
+                lines = exposition_lines(scored, spec.ts, spec.value, labels=spec.keys)
+                lines.write.mode("overwrite").text(f"{path}/lines/batch_id={batch_id}")
+            for name in subfolders(spark, history):
+                if name.startswith("_date=") and name[6:] < str(days[-1]):
+                    delete_folder(spark, f"{history}/{name}")
+        for folder in ("newest", "scored", "latest"):
+            _expire(spark, f"{path}/{folder}", batch_id)
 
     return _start(stream, each, f"{path}/checkpoint", poll)
 
 
 def current_status(spark, path: str, schema, spec: Series = Series()) -> DataFrame:
-    """The newest scored row per series over all batches of a live query."""
-    table = spark.read.schema(schema).parquet(f"{path}/latest").drop("batch_id")
-    return latest_row(table, spec)
+    """The newest scored row per series of a live query: each batch writes all series."""
+    return _last_state(spark, f"{path}/latest", schema)
+
+
+def _last_state(spark: SparkSession, folder: str, schema=None) -> DataFrame:
+    last = max(int(name[9:]) for name in subfolders(spark, folder) if name.startswith("batch_id="))
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{folder}/batch_id={last}")
 
 
 def tumbling_columns(spec: Series) -> list:
@@ -95,24 +125,31 @@ def tumbling_columns(spec: Series) -> list:
     ]
 
 
-def tumbling_stats(df: DataFrame, width: str = "1 hour", spec: Series = Series()) -> DataFrame:
-    """Rows, mean, validity and label share per series and window; batch or streaming input."""
+def tumbling_stats(
+    df: DataFrame, width: str = "1 hour", spec: Series = Series(), lateness: str = LATENESS
+) -> DataFrame:
+    """Rows, mean, validity and label share per series and window; batch or streaming input.
+
+    A stream forgets windows and repeated rows older than `lateness` before the newest row seen; rows
+    that come later than that are left out, so set it to the longest delay of the source.
+    """
     if df.isStreaming:
-        df = df.withWatermark(spec.ts, LATENESS).dropDuplicatesWithinWatermark([*spec.keys, *spec.order])
+        df = df.withWatermark(spec.ts, lateness).dropDuplicatesWithinWatermark([*spec.keys, *spec.order])
     window = F.window(spec.ts, width)
     grouped = df.groupBy(*spec.keys, window.alias("_w")).agg(*tumbling_columns(spec))
     return grouped.select(*spec.keys, F.col("_w.start").alias("window_start"), "n_rows", "mean", "validity", "anomaly_ratio")
 
 
 def stream_tumbling(
-    stream: DataFrame, path: str, width: str = "1 hour", spec: Series = Series(), poll: str | None = POLL
-) -> StreamingQuery:
+    stream: DataFrame, path: str, width: str = "1 hour", spec: Series = Series(), poll: str | None = POLL,
+    lateness: str = LATENESS,
+) -> StreamingQuery:
     """Windows that changed, per micro-batch, under `<path>/windows/batch_id=N`."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
 
-    return _start(tumbling_stats(stream, width, spec), each, f"{path}/checkpoint", poll, "update")
+    return _start(tumbling_stats(stream, width, spec, lateness), each, f"{path}/checkpoint", poll, "update")
 
 
 def read_tumbling(spark, path: str, spec: Series = Series()) -> DataFrame:
@@ -123,44 +160,95 @@ def read_tumbling(spark, path: str, spec: Series = Series()) -> DataFrame:
     return newest.select(*spec.keys, "window_start", "_row.*")
 
 
-def track_runs(stream: DataFrame, path: str, spec: Series = Series(), poll: str | None = POLL) -> StreamingQuery:
+def track_runs(
+    stream: DataFrame, path: str, spec: Series = Series(), poll: str | None = POLL, lateness: str = LATENESS
+) -> StreamingQuery:
     """Running anomaly duration per series, as state of one row per series.
 
-    The state is a table: a batch's rows are folded into it by two aggregates with map-side partial
-    results, so a hot series never passes through one task. Rows older than the newest one seen are
-    late and left out. State after batch N is under `<path>/runs/batch_id=N`.
+    The state is a table: a batch's rows are folded into it by aggregates with map-side partial
+    results, so a hot series never passes through one task. Rows within `lateness` of a series' newest
+    row stay beside the state, so rows may come in any order inside it; a row later than that is left out,
+    and so is one without a time. After batch N, `<path>/runs/batch_id=N` holds the state of all rows,
+    `<path>/settled` that of the rows beyond the lateness and `<path>/recent` the others.
     """
     spark = stream.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        before = None
+        def written(df: DataFrame, name: str) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+            return spark.read.schema(df.schema).parquet(f"{path}/{name}/batch_id={batch_id}")
+
+        settled = recent = None
         if batch_id > 0:
-            before = spark.read.parquet(f"{path}/runs/batch_id={batch_id - 1}")
-        fold_runs(batch, before, spec).write.mode("overwrite").parquet(f"{path}/runs/batch_id={batch_id}")
+            settled, recent = (
+                spark.read.parquet(f"{path}/{name}/batch_id={batch_id - 1}") for name in ("settled", "recent")
+            )
+        pool = written(timely_rows(batch, settled, recent, spec, lateness), "pool")
+        settled = written(settle(pool, settled, spec), "settled")
+        recent = written(pool.filter(~F.col("_old")).drop("_old", "_edge"), "recent")
+        written(_fold(recent, settled.drop("_edge"), spec), "runs")
+        for name in ("pool", "settled", "recent", "runs"):
+            _expire(spark, f"{path}/{name}", batch_id)
 
     return _start(stream, each, f"{path}/checkpoint", poll)
 
 
 def read_runs(spark, path: str) -> DataFrame:
     """The newest state of a run tracker: each batch writes the whole state."""
-    table = spark.read.parquet(f"{path}/runs")
-    newest = table.agg(F.max("batch_id")).first()[0]
-    return table.filter(F.col("batch_id") == newest).drop("batch_id")
+    return _last_state(spark, f"{path}/runs")
+
+
+def timely_rows(
+    batch: DataFrame, settled: DataFrame | None, recent: DataFrame | None, spec: Series = Series(), lateness: str = LATENESS
+) -> DataFrame:
+    """Rows that may still change a run: the recent ones and the batch's, but for late ones.
+
+    `_edge` is the newest time of the series less the lateness, `_old` says that the row is not after it.
+    """
+    keys = list(spec.keys)
+    rows = batch.select(*keys, *spec.order, spec.label).filter(F.col(spec.ts).isNotNull())
+    if settled is not None:
+        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        edges = null_safe_join(sizes, settled.select(*keys, F.col("_edge").alias("_before")), keys)
+        rows = attach(rows, edges, keys, weight="_n").drop("_n")
+        rows = rows.filter(F.col("_before").isNull() | (F.col(spec.ts) > F.col("_before"))).drop("_before")
+        rows = rows.unionByName(recent.select(*rows.columns))
+    newest = rows.groupBy(*keys).agg(F.max(spec.ts).alias("_top"), F.count(F.lit(1)).alias("_n"))
+    newest = newest.withColumn("_edge", F.col("_top") - F.expr(f"interval {lateness}"))
+    rows = attach(rows, newest.drop("_top"), keys, weight="_n").drop("_n")
+    return rows.withColumn("_old", F.col(spec.ts) <= F.col("_edge"))
+
+
+def settle(pool: DataFrame, settled: DataFrame | None, spec: Series = Series()) -> DataFrame:
+    """The settled state and its `_edge` after the old rows of the pool; series without old rows have no state yet."""
+    keys = list(spec.keys)
+    edges = pool.groupBy(*keys).agg(F.max("_edge").alias("_edge"))
+    if settled is not None:
+        edges = edges.unionByName(settled.select(*keys, "_edge")).groupBy(*keys).agg(F.max("_edge").alias("_edge"))
+    state = _fold(pool.filter("_old").drop("_old", "_edge"), settled.drop("_edge") if settled is not None else None, spec)
+    return null_safe_join(edges, state, keys)
 
 
 def fold_runs(batch: DataFrame, before: DataFrame | None, spec: Series = Series()) -> DataFrame:
-    """State (keys, newest, newest_normal, run_start, run_rows, run_minutes) after a batch."""
+    """State (keys, newest, newest_normal, run_start, run_rows, run_minutes) after the rows newer than `before`."""
     keys = list(spec.keys)
-    normal = ~F.coalesce(F.col(spec.label) == 1, F.lit(False))
-    rows = batch.select(*keys, F.struct(*spec.order).alias("_at"), spec.ts, normal.alias("_normal"))
     if before is not None:
         seen = null_safe_join(
-            rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")),
+            batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")),
             before.select(*keys, F.col("newest").alias("_seen")),
             keys,
         )
-        rows = attach(rows, seen, keys, weight="_n").drop("_n")
-        rows = rows.filter(F.col("_seen").isNull() | (F.col("_at") > F.col("_seen"))).drop("_seen")
+        at = F.struct(*spec.order)
+        batch = attach(batch, seen, keys, weight="_n").drop("_n")
+        batch = batch.filter(F.col("_seen").isNull() | (at > F.col("_seen"))).drop("_seen")
+    return _fold(batch, before, spec)
+
+
+def _fold(batch: DataFrame, before: DataFrame | None, spec: Series) -> DataFrame:
+    """As `fold_runs`, where all rows of the batch are newer than the state."""
+    keys = list(spec.keys)
+    normal = ~F.coalesce(F.col(spec.label) == 1, F.lit(False))
+    rows = batch.select(*keys, F.struct(*spec.order).alias("_at"), spec.ts, normal.alias("_normal"))
     ends = rows.groupBy(*keys).agg(
         F.max("_at").alias("_newest"),
         F.max(F.when(F.col("_normal"), F.col("_at"))).alias("_last_normal"),

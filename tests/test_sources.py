@@ -79,3 +79,11 @@ def test_exposition_lines(micro, tmp_path):
 def test_labels_become_one_key(spark):
     df = spark.range(1).select(F.create_map(F.lit("b"), F.lit("2"), F.lit("a"), F.lit("1")).alias("labels"))
     assert df.select(exchange.series_key("labels")).first()[0] == "a=1,b=2"
+
+
+def test_series_keep_their_labels_in_lines(spark):
+    df = spark.createDataFrame([('a"\\', 0, 1.0, 0), ("b\n", 0, 2.0, 0), (None, 0, 3.0, 1)], "k string, ts long, v double, s int")
+    lines = [r[0] for r in exchange.exposition_lines(df, "ts", "v", "s", labels=("k",)).collect()]
+    assert lines == [
+        'cpu_usage{status="0",k="a\\"\\\\"} 1.0 0', 'cpu_usage{status="0",k="b\\n"} 2.0 0', 'cpu_usage{status="1",k=""} 3.0 0'
+    ]

@@ -75,3 +75,35 @@ def test_grid_fills_gaps(spark):
     df = spark.createDataFrame(rows, "k string, s long, cpu_utilization double").withColumn("ts", F.timestamp_seconds("s"))
     out = counters.range_grid(df, ["k"], fill_gaps=True).orderBy("step_start")
     assert [r["cpu_utilization"] for r in out.collect()] == [2.0, None, None, 3.0]
+
+
+def test_late_rows_count_within_the_lateness(spark, tmp_path):
+    """Anomalies at 0 s and 120 s, then a normal row of 60 s, then one that is too late."""
+    folder, path = str(tmp_path / "in"), str(tmp_path / "state")
+    schema = "series_key string, ts timestamp, event_id long, cpu_utilization double, is_anomaly int"
+    seen = []
+    for batch in ([(0, 1), (120, 1)], [(60, 0)], [(7200, 1)], [(30, 0), (3700, 1)]):
+        rows = [("a", s, s, 1.0, y) for s, y in batch]
+        df = spark.createDataFrame(rows, "series_key string, s long, event_id long, cpu_utilization double, is_anomaly int")
+        df.select("series_key", F.timestamp_seconds("s").alias("ts"), "event_id", "cpu_utilization", "is_anomaly").write.mode("append").parquet(folder)
+        live.track_runs(spark.readStream.schema(schema).parquet(folder), path, poll=None).awaitTermination()
+        state = live.read_runs(spark, path).first()
+        seen.append((state["run_rows"], state["run_minutes"]))
+    assert seen == [(2, 2.0), (1, 0.0), (2, 118.0), (3, 118.0)]
+    assert len(list((tmp_path / "state" / "runs").iterdir())) <= live.KEPT_BATCHES
+
+
+def test_late_batch_after_a_restart_does_not_rewind(spark, tmp_path):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "live")
+    schema = "series_key string, ts timestamp, event_id long, cpu_utilization double"
+    day = 86_400
+    for seconds in ([3 * day, 3 * day + 60], [60, 120], [3 * day + 30]):
+        rows = [("a", s, s, 1.0) for s in seconds]
+        df = spark.createDataFrame(rows, "series_key string, s long, event_id long, cpu_utilization double")
+        df.select("series_key", F.timestamp_seconds("s").alias("ts"), "event_id", "cpu_utilization").write.mode("append").parquet(folder)
+        score = lambda df: df.withColumn("prediction", F.lit(0))
+        live.live_score(spark.readStream.schema(schema).parquet(folder), score, path, poll=None).awaitTermination()
+        status = live.current_status(spark, path, schema + ", prediction int").collect()
+        assert [(r["series_key"], r["event_id"]) for r in status] == [("a", 3 * day + 60)]
+    dates = sorted(p.name for p in (tmp_path / "live" / "history").iterdir() if p.name.startswith("_date"))
+    assert dates == ["_date=1970-01-04"]
