@@ -77,3 +77,21 @@ def label_filter(df: DataFrame, **wanted: str) -> DataFrame:
         has = F.col(name) if name in df.columns else F.try_element_at("labels", F.lit(name))
         df = df.filter(has == F.lit(value))
     return df
+
+
+def position(df: DataFrame, ts: str, tie: tuple[str, ...] | list[str] = ()) -> Column:
+    """A value that orders rows by time and tie, nulls first.
+
+    With a timestamp and at most one whole-number tie it is one decimal: 18 digits for the microseconds from year 1
+    to 9999, 20 for the tie. Aggregates keep that in a hash table, while they sort all rows to compare structs.
+    """
+    kinds = dict(df.dtypes)
+    whole = len(tie) <= 1 and all(kinds[t] in ("tinyint", "smallint", "int", "bigint") for t in tie)
+    if not whole or kinds[ts] not in ("timestamp", "timestamp_ntz"):
+        return F.struct(ts, *tie)
+    micros = F.unix_micros(F.col(ts).cast("timestamp")) + 62_135_596_800_000_000
+    place = F.coalesce(micros, F.lit(0)).cast("decimal(18,0)") * F.lit("100000000000000000000").cast("decimal(21,0)")
+    if tie:
+        last = F.col(tie[0]).cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(20,0)")
+        place = place + F.coalesce(last, F.lit(0).cast("decimal(20,0)"))
+    return place.cast("decimal(38,0)")

@@ -14,13 +14,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from metricloom.functions.calendar import to_time_index
 from metricloom.functions.scalar import clean_numeric
 from metricloom.operators import evaluate
 from metricloom.operators.features import all_features, feature_names, fit_stats
+from metricloom.operators.quality import quality_report
 from metricloom.operators.splits import stratified_folds, stratified_split
-from metricloom.plans.attach import attach
+from metricloom.plans.attach import attach, row_hash
 from metricloom.plans.workspace import materialize
 from metricloom.series import Series
+from metricloom.sources.files import read_metric_csv
 
 VECTOR = "features"
 SEED = 42
@@ -236,21 +239,21 @@ def train(
     ready = prepare.transform(with_class_weights(training, label)).select(*ids, label, "weight", VECTOR)
     ready = materialize(stratified_folds(ready, ids, label, 3, SEED), "train")
 
-    search, candidates = grid_search(ready, grid, label, parallelism=parallelism)
+    search, _ = grid_search(ready, grid, label, parallelism=parallelism)
     best = {n: search.bestModel.getOrDefault(n) for n in (grid or GRID)}
-    folds = cross_val_f1(ready, label, **best)
+    top = max(range(len(search.avgMetrics)), key=search.avgMetrics.__getitem__)  # the first best, as the search picks
+    cv = search.avgMetrics[top], search.stdMetrics[top]
     forest = search.bestModel
     model = PipelineModel(stages=[scaler.stage(), assembler, forest])
 
     scored = materialize(predict(model, held_out, threshold).select(*ids, spec.value, label, "probability", "prediction"), "scored")
-    history = _history(spark, table, scored, candidates, folds, best, weights, forest, names, label)
+    history = _history(spark, table, scored, cv, best, weights, forest, names, label)
     settings = {"rows_per_minute": rows_per_minute, "threshold": threshold}
     return Bundle(model, names, fit_stats(df, spec), settings, history), scored
 
 
-def _history(spark, table, scored, candidates, folds, best, weights, forest, names, label) -> DataFrame:
+def _history(spark, table, scored, cv, best, weights, forest, names, label) -> DataFrame:
     sizes = {r["split"]: r["n"] for r in table.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cv = evaluate.cv_summary(folds).first()
     cells = evaluate.confusion_matrix(scored, label).first()
     importance = feature_importance(spark, forest, names).collect()
     row = {
@@ -258,10 +261,10 @@ def _history(spark, table, scored, candidates, folds, best, weights, forest, nam
         "test_size": sizes.get("test", 0),
         "anomaly_ratio": table.agg(F.avg(label)).first()[0],
         "best_params": json.dumps(best),
-        "best_cv_score": candidates.agg(F.max("f1_mean")).first()[0],
+        "best_cv_score": float(cv[0]),
         "class_weights": json.dumps({str(k): v for k, v in weights.items()}),
-        "cv_f1_mean": cv["cv_mean"],
-        "cv_f1_std": cv["cv_spread"] / 2,
+        "cv_f1_mean": float(cv[0]),
+        "cv_f1_std": float(cv[1]),
         "feature_importance": [(r["feature"], r["importance"]) for r in importance],
         "test_roc_auc": evaluate.roc_auc(scored, label).first()[0],
         "test_pr_auc": evaluate.pr_auc(scored, label).first()[0],
@@ -276,6 +279,36 @@ def _history(spark, table, scored, candidates, folds, best, weights, forest, nam
     return spark.createDataFrame([tuple(row.values())], schema)
 
 
+@dataclass
+class TrainingRun:
+    """A stored bundle, the scored test rows, the quality report and whether every series passed it."""
+
+    bundle: Bundle
+    scored: DataFrame
+    report: DataFrame
+    passed: bool
+
+
+def train_pipeline(spark: SparkSession, source: str, target: str, unit: str | None = None, **options) -> TrainingRun:
+    """Read a metric CSV, check its quality, train on it and store the model.
+
+    The file has `timestamp`, `cpu_utilization`, `is_anomaly` and, for several series, `series_key`. A failed quality
+    check does not stop training: it is reported. Rows of one instant are ordered by the hash of their columns.
+    """
+    rows = read_metric_csv(spark, source)
+    key = F.col("series_key") if "series_key" in rows.columns else F.lit("series")
+    timed = to_time_index(rows.withColumn("series_key", key), ("series_key",), unit)
+    spec = Series()
+    df = materialize(timed.select(
+        "series_key", F.col("datetime").alias(spec.ts), row_hash(rows).alias("event_id"), spec.value, spec.label), "samples")
+    report = materialize(quality_report(df, spec), "report")
+    checks = [c for c in report.columns if c.endswith("_ok")]
+    passed = report.filter(sum(F.col(c) for c in checks) < len(checks)).isEmpty()
+    bundle, scored = train(df, spec, **options)
+    save_model(bundle, target)
+    return TrainingRun(bundle, scored, report, passed)
+
+
 def score(
     df: DataFrame,
     bundle: Bundle,

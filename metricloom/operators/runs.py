@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from metricloom.functions.scalar import position
 from metricloom.operators.quality import trailing_range
-from metricloom.plans.attach import attach
+from metricloom.plans.attach import attach, row_hash
 from metricloom.plans.ordered import IDX, PART, RN, Ordered, order_series
 from metricloom.series import Series
 
@@ -43,30 +44,32 @@ def _anomalous(spec: Series) -> Column:
     return F.coalesce(F.col(spec.label) == 1, F.lit(False))
 
 
-def _position(spec: Series) -> Column:
-    return F.struct(*spec.order)
-
-
 def latest_row(df: DataFrame, spec: Series = Series()) -> DataFrame:
-    """The newest row of each series, by aggregation and without a sort."""
-    rest = [c for c in df.columns if c not in spec.keys]
-    newest = df.groupBy(*spec.keys).agg(F.max_by(F.struct(*rest), _position(spec)).alias("_row"))
-    return newest.select(*spec.keys, "_row.*").select(*df.columns)
+    """The newest row of each series; one of them if several rows share time and tie.
+
+    A hash aggregate finds the newest place of each series and the hash of a row there; the rows that match stay.
+    """
+    keys = list(spec.keys)
+    marked = df.withColumns({"_at": position(df, spec.ts, spec.tie), "_hash": row_hash(df)})
+    newest = marked.groupBy(*keys).agg(
+        F.max("_at").alias("_newest"), F.max_by("_hash", "_at").alias("_chosen"), F.count(F.lit(1)).alias("_n")
+    )
+    joined = attach(marked, newest, keys, weight="_n")
+    found = joined.filter((F.col("_at") == F.col("_newest")) & (F.col("_hash") == F.col("_chosen"))).select(*df.columns)
+    return found.dropDuplicates(keys) if any("map<" in kind for _, kind in df.dtypes) else found.distinct()
 
 
 def current_run(df: DataFrame, spec: Series = Series()) -> DataFrame:
     """Per series: is the newest row anomalous, since when without a break, for how many minutes.
 
-    Two aggregates: the newest normal row, then the oldest row after it.
+    Two hash aggregates: the newest normal row, then the oldest row after it.
     """
     keys = list(spec.keys)
-    position, anomalous = _position(spec), _anomalous(spec)
-    ends = df.groupBy(*keys).agg(
-        F.max(position).alias("_newest"),
-        F.max(F.when(~anomalous, position)).alias("_newest_normal"),
-        F.count(F.lit(1)).alias("_n"),
+    rows = df.select(*keys, position(df, spec.ts, spec.tie).alias("_at"), spec.ts, _anomalous(spec).alias("_anomalous"))
+    ends = rows.groupBy(*keys).agg(
+        F.max(F.when(~F.col("_anomalous"), F.col("_at"))).alias("_newest_normal"), F.count(F.lit(1)).alias("_n")
     )
-    joined = attach(df.select(*keys, position.alias("_at"), spec.ts), ends, keys, weight="_n")
+    joined = attach(rows, ends, keys, weight="_n")
     after = F.col("_newest_normal").isNull() | (F.col("_at") > F.col("_newest_normal"))
     runs = joined.groupBy(*keys).agg(
         F.max(spec.ts).alias("latest_ts"),

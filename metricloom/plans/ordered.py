@@ -17,7 +17,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metricloom.plans.attach import null_safe_join, row_hash
-from metricloom.plans.workspace import materialize
+from metricloom.plans.workspace import input_bytes, materialize
 
 PART, IDX, RN, ROWS, CHUNK, HOME = "_part", "_idx", "_rn", "_rows", "_chunk", "_home"
 CHUNK_ROWS = 131_072
@@ -144,8 +144,8 @@ def lay_out(
 ) -> Ordered:
     """Range-partition `df` by (keys, order), sort inside the parts and write the result.
 
-    Without `parts`, adaptive execution sizes the parts by bytes. Rows that tie on
-    (keys, order) are placed by the hash of all their columns, so a task that runs again places them
+    Without `parts`, there are as many as the input has advisory sizes, or `spark.sql.shuffle.partitions` where
+    that is more; then adaptive execution merges small ones. Rows that tie on (keys, order) are placed by the hash of all their columns, so a task that runs again places them
     alike; only exact copies, which are interchangeable, are told apart by their input position.
     """
     df = df.drop(PART, IDX)
@@ -153,6 +153,7 @@ def lay_out(
     by += [F.col(c).asc() if isinstance(c, str) else c for c in order]
     by += [F.col("_row_hash").asc(), F.col("_seq").asc()]
     spread = df.withColumn("_row_hash", row_hash(df)).withColumn("_seq", F.monotonically_increasing_id())
+    parts = parts or _parts_of(df)
     spread = spread.repartitionByRange(parts, *by) if parts else spread.repartitionByRange(*by)
     placed = spread.sortWithinPartitions(*by).drop("_row_hash", "_seq")
     placed = placed.withColumn("_mid", F.monotonically_increasing_id())
@@ -166,6 +167,21 @@ def lay_out(
     return Ordered(rows, tuple(keys))
 
 
+UNPACKED = 4  # columnar files hold rows in about a quarter of their size in an exchange
+
+
+def _parts_of(df: DataFrame) -> int | None:
+    """The number of parts if it exceeds the session's shuffle partitions, which adaptive execution can only merge."""
+    spark, size = df.sparkSession, input_bytes(df)
+    if size is None:
+        return None
+    advisory = spark._jsparkSession.sessionState().conf().getConf(
+        spark._jvm.org.apache.spark.sql.internal.SQLConf.ADVISORY_PARTITION_SIZE_IN_BYTES()
+    )
+    wanted = -(-size * UNPACKED // int(advisory))
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def order_series(df: DataFrame | Ordered, spec, parts: int | None = None) -> Ordered:
     """Lay series out by time; a layout that exists already is used as it is."""
     return df if isinstance(df, Ordered) else lay_out(df, spec.keys, spec.order, parts)

@@ -45,6 +45,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the tables that `df` reads, by the plan's own statistics; None where one of them is unknown."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(sizes) if all(s < 2**60 for s in sizes) else None
+
+
 def drop_workspace(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; results read from them must be saved first."""
     delete_folder(spark, workspace(spark))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from metricloom.functions.scalar import position
 from metricloom.plans.ordered import CHUNK, HOME, lay_out
 
 
@@ -55,7 +56,7 @@ def range_grid(
     """(keys, step_start, value): the newest sample of every step, and null steps for gaps if asked."""
     at = F.unix_timestamp(F.col(ts).cast("timestamp"))
     slot = F.floor(at / step_seconds).alias("_slot")
-    points = df.groupBy(*keys, slot).agg(F.max_by(value, F.struct(ts, *(tie or []))).alias(value))
+    points = df.groupBy(*keys, slot).agg(F.max_by(value, position(df, ts, tie or [])).alias(value))
     if fill_gaps:
         points = _all_slots(points, keys, value)
     return points.select(

@@ -8,11 +8,11 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from metricloom.functions.scalar import out_of_range
+from metricloom.functions.scalar import out_of_range, position
 from metricloom.operators.quality import trailing_range
 from metricloom.operators.runs import latest_row
 from metricloom.plans.attach import attach, null_safe_join
-from metricloom.plans.workspace import delete_folder, scratch, subfolders
+from metricloom.plans.workspace import delete_folder, materialize, scratch, subfolders
 from metricloom.series import Series
 from metricloom.sources.exchange import exposition_lines
 
@@ -82,7 +82,8 @@ def live_score(
                 F.col("batch_id") <= batch_id
             )
             trailing = trailing_range(recent, hours, spec.ts).drop("_date", "batch_id")
-            scored = latest_row(scorer(trailing.dropDuplicates([*spec.keys, *spec.order])), spec)
+            rows = materialize(scorer(trailing.dropDuplicates([*spec.keys, *spec.order])), "rows")
+            scored = latest_row(rows, spec)
             scored.write.mode("overwrite").parquet(f"{path}/scored/batch_id={batch_id}")
             scored = spark.read.schema(scored.schema).parquet(f"{path}/scored/batch_id={batch_id}")
             latest = scored
@@ -230,7 +231,7 @@ def settle(pool: DataFrame, settled: DataFrame | None, spec: Series = Series())
 
 
 def fold_runs(batch: DataFrame, before: DataFrame | None, spec: Series = Series()) -> DataFrame:
-    """State (keys, newest, newest_normal, run_start, run_rows, run_minutes) after the rows newer than `before`."""
+    """State (keys, newest, newest_ts, newest_normal, run_start, run_rows, run_minutes) after the rows newer than `before`."""
     keys = list(spec.keys)
     if before is not None:
         seen = null_safe_join(
@@ -238,7 +239,7 @@ def fold_runs(batch: DataFrame, before: DataFrame | None, spec: Series = Series(
             before.select(*keys, F.col("newest").alias("_seen")),
             keys,
         )
-        at = F.struct(*spec.order)
+        at = position(batch, spec.ts, spec.tie)
         batch = attach(batch, seen, keys, weight="_n").drop("_n")
         batch = batch.filter(F.col("_seen").isNull() | (at > F.col("_seen"))).drop("_seen")
     return _fold(batch, before, spec)
@@ -248,7 +249,7 @@ def _fold(batch: DataFrame, before: DataFrame | None, spec: Series) -> DataFrame
     """As `fold_runs`, where all rows of the batch are newer than the state."""
     keys = list(spec.keys)
     normal = ~F.coalesce(F.col(spec.label) == 1, F.lit(False))
-    rows = batch.select(*keys, F.struct(*spec.order).alias("_at"), spec.ts, normal.alias("_normal"))
+    rows = batch.select(*keys, position(batch, spec.ts, spec.tie).alias("_at"), spec.ts, normal.alias("_normal"))
     ends = rows.groupBy(*keys).agg(
         F.max("_at").alias("_newest"),
         F.max(F.when(F.col("_normal"), F.col("_at"))).alias("_last_normal"),
@@ -258,12 +259,13 @@ def _fold(batch: DataFrame, before: DataFrame | None, spec: Series) -> DataFrame
     after = F.col("_last_normal").isNull() | (F.col("_at") > F.col("_last_normal"))
     fresh = joined.groupBy(*keys).agg(
         F.max("_newest").alias("newest"),
+        F.max(spec.ts).alias("newest_ts"),
         F.max("_last_normal").alias("newest_normal"),
         F.min(F.when(after, F.col(spec.ts))).alias("run_start"),
         F.sum(after.cast("long")).alias("run_rows"),
     )
     if before is not None:
-        state = ["newest", "newest_normal", "run_start", "run_rows"]
+        state = ["newest", "newest_ts", "newest_normal", "run_start", "run_rows"]
         both = fresh.withColumn("_new", F.lit(1)).unionByName(before.select(*keys, *state).withColumn("_new", F.lit(0)))
         broken = F.max(F.when(F.col("_new") == 1, F.col("newest_normal"))).isNotNull()
         old_start = F.max(F.when(F.col("_new") == 0, F.col("run_start")))
@@ -272,10 +274,11 @@ def _fold(batch: DataFrame, before: DataFrame | None, spec: Series) -> DataFrame
         new_rows = F.coalesce(F.max(F.when(F.col("_new") == 1, F.col("run_rows"))), F.lit(0))
         fresh = both.groupBy(*keys).agg(
             F.max("newest").alias("newest"),
+            F.max("newest_ts").alias("newest_ts"),
             F.max("newest_normal").alias("newest_normal"),
             F.when(broken, new_start).otherwise(F.coalesce(old_start, new_start)).alias("run_start"),
             F.when(broken, new_rows).otherwise(old_rows + new_rows).alias("run_rows"),
         )
-    latest = F.unix_micros(F.col(f"newest.{spec.ts}").cast("timestamp"))
+    latest = F.unix_micros(F.col("newest_ts").cast("timestamp"))
     minutes = (latest - F.unix_micros(F.col("run_start").cast("timestamp"))) / 6e7
     return fresh.withColumn("run_minutes", F.coalesce(minutes, F.lit(0.0)))

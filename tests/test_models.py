@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import same
 from metricloom.functions import calendar
 from metricloom.operators import evaluate, models, splits
+from metricloom.sources import files
 
 SMALL = {"numTrees": [10], "maxDepth": [5], "minInstancesPerNode": [2]}
 FEATURES = ["cpu_utilization", "hour", "5min_mean", "5min_std", "z_score", "is_high_usage"]
@@ -93,3 +94,13 @@ def test_six_point_features(spark):
     row = calendar.point_features(df, "timestamp", "cpu").first()
     assert [row[c] for c in calendar.POINT_FEATURES[:4]] == [50.0, 17, 4, 0]
     assert row["hour_sin"] == pytest.approx(-0.9659258) and row["hour_cos"] == pytest.approx(-0.2588190)
+
+
+def test_pipeline_from_file_to_stored_model(spark, skewed, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "model")
+    rows = skewed.limit(600).withColumn("is_anomaly", (F.col("cpu_utilization") > 80).cast("int"))
+    files.write_scored_csv(rows, source, status="is_anomaly", keys=("series_key",))
+    run = models.train_pipeline(spark, source, target, features=["cpu_utilization", "hour"], grid={"numTrees": [3], "maxDepth": [3]})
+    assert run.report.count() == 5 and run.passed is False
+    loaded = models.load_model(spark, target)
+    assert loaded.features == ["cpu_utilization", "hour"] and loaded.history.first()["cv_f1_mean"] > 0.9
