@@ -493,6 +493,164 @@ put(
     SCORES,
     CURVE,
 )
+# --- one tree --------------------------------------------------------------------------------------
+
+
+def gini(a: str, b: str) -> str:
+    return f"(1 - (power({a}, 2) + power({b}, 2)) / power({a} + {b}, 2))"
+
+
+def split_nodes(name: str, rows: str, by: str, features: list[str], least: int) -> list[str]:
+    """CTEs that end in `name`: the best split (f, thr, gain, w) of every node of `rows`, nodes told apart by `by`."""
+    cells = " UNION ALL ".join(
+        f"SELECT {by}, {i} AS f, {c}::DOUBLE AS v, sum(wt * (1 - y)) AS w0, sum(wt * y) AS w1, count(*) AS n FROM {rows} GROUP BY {by}, {c}"
+        for i, c in enumerate(features)
+    )
+    left, right, whole = ("l0", "l1"), ("(t0 - l0)", "(t1 - l1)"), ("t0", "t1")
+    share = lambda s: f"({s[0]} + {s[1]}) / (t0 + t1) * {gini(*s)}"
+    return [
+        f"{name}_cells AS ({cells})",
+        f"""{name}_runs AS (SELECT {by}, f, v, lead(v) OVER c AS nv, sum(w0) OVER c AS l0, sum(w1) OVER c AS l1, sum(n) OVER c AS ln,
+  sum(w0) OVER t AS t0, sum(w1) OVER t AS t1, sum(n) OVER t AS tn FROM {name}_cells
+  WINDOW c AS (PARTITION BY {by}, f ORDER BY v), t AS (PARTITION BY {by}, f))""",
+        f"""{name}_gains AS (SELECT {by}, f, (v + nv) / 2 AS thr, t0 + t1 AS w, {gini(*whole)} - {share(left)} - {share(right)} AS gain
+  FROM {name}_runs WHERE nv IS NOT NULL AND ln >= {least} AND tn - ln >= {least})""",
+        f"""{name} AS (SELECT {by}, f, thr, gain, w FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY gain DESC, f, thr) AS best FROM {name}_gains)
+  WHERE best = 1 AND gain > 1e-9)""",
+    ]
+
+
+def tree(features: list[str], least: int = 1, deep: str = "true") -> list[str]:
+    """CTEs from `fit` (k, y, wt, features) and `app` (k, features, more) to `scored`: app with the share p of class 1.
+
+    Each k is a fit of its own, two levels deep where `deep` holds and else one. Leaves of one parent that predict the
+    same class are one leaf.
+    """
+    goes = lambda t: f"(CASE {t}.f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(features)) + f" END > {t}.thr)::INT"
+    share = "sum(wt * y) / sum(wt) AS p"
+    return [
+        *split_nodes("root", "fit", "k", features, least),
+        f"below AS (SELECT fit.*, {goes('root')} AS side FROM fit JOIN root USING (k))",
+        *split_nodes("child", "below", "k, side", features, least),
+        f"leaves AS (SELECT below.*, {goes('child')} AS side2 FROM below JOIN child USING (k, side))",
+        f"share0 AS (SELECT k, {share} FROM fit GROUP BY k)",
+        f"share1 AS (SELECT k, side, {share} FROM below GROUP BY k, side)",
+        f"share2 AS (SELECT k, side, side2, {share} FROM leaves GROUP BY k, side, side2)",
+        f"""split2 AS (SELECT child.* FROM child JOIN (SELECT k, side FROM share2 GROUP BY k, side HAVING count(DISTINCT p > 0.5) = 2) USING (k, side)
+  WHERE {deep})""",
+        """split1 AS (SELECT * FROM root WHERE k IN (SELECT k FROM split2)
+  OR k IN (SELECT k FROM share1 GROUP BY k HAVING count(DISTINCT p > 0.5) = 2))""",
+        f"app1 AS (SELECT app.*, {goes('split1')} AS side FROM app LEFT JOIN split1 USING (k))",
+        f"app2 AS (SELECT app1.*, {goes('split2')} AS side2 FROM app1 LEFT JOIN split2 USING (k, side))",
+        """scored AS (SELECT app2.*, coalesce(share2.p, share1.p, share0.p) AS p FROM app2 JOIN share0 USING (k)
+  LEFT JOIN share1 USING (k, side) LEFT JOIN share2 USING (k, side, side2))""",
+        "cells AS (SELECT k, count(*) FILTER (y = 1 AND p > 0.5) AS tp, count(*) FILTER (y = 0 AND p > 0.5) AS fp, count(*) FILTER (y = 1 AND p <= 0.5) AS fn, "
+        "count(*) FILTER (y = 0 AND p <= 0.5) AS tn FROM scored GROUP BY k)",
+        "f1s AS (SELECT k, CASE WHEN tp = 0 THEN 0 ELSE 2 * tp / (2.0 * tp + fp + fn) END AS f1 FROM cells)",
+    ]
+
+
+TREE_FEATURES = ["band", "last_digit", "hour", "weekday"]
+TREE_ROWS = """points AS (
+  SELECT series_key, event_id, is_anomaly AS y, least(floor(x / 40), 2) AS band, floor(x) % 10 AS last_digit, hour(ts) AS hour, isodow(ts) - 1 AS weekday,
+         hc, (hn - 1) % 3 AS fold, (SELECT count(*) FROM series) / ((SELECT count(DISTINCT is_anomaly) FROM series) * hc::DOUBLE) AS wt FROM hashed)"""
+WHOLE = [HASHED, TREE_ROWS, "fit AS (SELECT 0 AS k, * FROM points)", "app AS (SELECT 0 AS k, * FROM points)", *tree(TREE_FEATURES)]
+put("tree_scores", f"SELECT series_key, event_id, (p >= 0.75)::INT AS prediction, {r6('p', 'probability')} FROM scored", *WHOLE)
+IMPORTANCE = """gains AS (SELECT f, sum(gain * w) AS gain FROM (SELECT k, f, gain, w FROM split1 UNION ALL SELECT k, f, gain, w FROM split2) GROUP BY f)"""
+put(
+    "tree_importance",
+    f"""SELECT feature, {r6('coalesce(gain / (SELECT sum(gain) FROM gains), 0)', 'importance')}
+FROM (SELECT unnest({TREE_FEATURES}) AS feature, unnest([0, 1, 2, 3]) AS f) LEFT JOIN gains USING (f) ORDER BY gain DESC NULLS LAST, feature LIMIT 2""",
+    *WHOLE,
+    IMPORTANCE,
+)
+BY_FOLD = [
+    HASHED,
+    TREE_ROWS,
+    "ks AS (SELECT unnest([0, 1, 2]) AS k)",
+    "fit AS (SELECT k, points.* FROM points JOIN ks ON fold <> k)",
+    "app AS (SELECT fold AS k, * FROM points)",
+    *tree(TREE_FEATURES),
+]
+put("tree_cv_f1", f"SELECT k::INT AS fold, {r6('f1', 'f1')} FROM f1s", *BY_FOLD)
+put("tree_cv_summary", f"SELECT {r6('avg(f1)', 'cv_mean')}, {r6('2 * stddev_pop(f1)', 'cv_spread')} FROM f1s", *BY_FOLD)
+put(
+    "tree_search",
+    f"SELECT (k // 10)::INT AS maxDepth, 2 AS minInstancesPerNode, {r6('avg(f1)', 'f1_mean')}, {r6('stddev_pop(f1)', 'f1_std')} FROM f1s GROUP BY 1",
+    HASHED,
+    TREE_ROWS,
+    "ks AS (SELECT unnest([10, 11, 12, 20, 21, 22]) AS k)",
+    "fit AS (SELECT k, points.* FROM points JOIN ks ON fold <> k % 10)",
+    "app AS (SELECT k, points.* FROM points JOIN ks ON fold = k % 10)",
+    *tree(TREE_FEATURES, 2, "k >= 20"),
+)
+
+TRAIN_FEATURES = ["hour", "weekday", "is_high_usage", "high_usage_streak_3", "high_usage_streak_10"]
+
+
+def training(rows: str) -> list[str]:
+    """CTEs from `rows` to `dealt`: their features, split, fold inside the training part, and class weight there."""
+    by_hash = "PARTITION BY is_anomaly ORDER BY md5(series_key || '-' || ts::VARCHAR || '-' || event_id || '-42'), series_key, ts, event_id"
+    return [
+        "ready AS (SELECT series_key, ts, event_id, is_anomaly, hour(ts) AS hour, isodow(ts) - 1 AS weekday, (x > 80)::INT AS is_high_usage, "
+        + ", ".join(f"sum((x > 80)::INT) OVER {frame(n)} AS high_usage_streak_{n}" for n in (3, 10)) + f" FROM {rows})",
+        f"cut AS (SELECT *, row_number() OVER ({by_hash}) > round(0.2 * count(*) OVER (PARTITION BY is_anomaly)) AS train FROM ready)",
+        f"""dealt AS (SELECT *, is_anomaly AS y, (row_number() OVER ({by_hash.replace('is_anomaly', 'train, is_anomaly', 1)}) - 1) % 3 AS fold,
+  count(*) OVER (PARTITION BY train) / (2.0 * count(*) OVER (PARTITION BY train, is_anomaly)) AS wt FROM cut)""",
+    ]
+
+
+put(
+    "tree_history",
+    f"""SELECT (SELECT count(*) FROM cut WHERE train)::BIGINT AS train_size, (SELECT count(*) FROM cut WHERE NOT train)::BIGINT AS test_size,
+  count(*) FILTER (y = 0 AND p < 0.5)::BIGINT AS tn, count(*) FILTER (y = 0 AND p >= 0.5)::BIGINT AS fp,
+  count(*) FILTER (y = 1 AND p < 0.5)::BIGINT AS fn, count(*) FILTER (y = 1 AND p >= 0.5)::BIGINT AS tp,
+  (SELECT {TRAIN_FEATURES}[f + 1] FROM (SELECT f, gain, w FROM split1 WHERE k = (SELECT d * 10 + 9 FROM winner)
+     UNION ALL SELECT f, gain, w FROM split2 WHERE k = (SELECT d * 10 + 9 FROM winner)) GROUP BY f ORDER BY sum(gain * w) DESC LIMIT 1) AS top_feature,
+  (SELECT d FROM winner)::INT AS best_depth, {r6('(SELECT avg(is_anomaly) FROM cut)', 'anomaly_ratio')},
+  {r6('(SELECT any_value(wt) FROM dealt WHERE train AND y = 0)', 'weight_0')}, {r6('(SELECT any_value(wt) FROM dealt WHERE train AND y = 1)', 'weight_1')},
+  {r6('(SELECT m FROM winner)', 'best_cv_score')}, {r6('(SELECT s FROM winner)', 'cv_f1_std')},
+  {r6('(SELECT sum(wins) / (any_value(pos) * any_value(neg)) FROM (SELECT y * (rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0) AS wins FROM scores UNION ALL SELECT -pos * (pos + 1) / 2 FROM totals), totals)', 'test_roc_auc')},
+  {r6('(SELECT sum((r - r0) * (q + q0) / 2) FROM (SELECT r, q, lag(r, 1, 0.0) OVER (ORDER BY p DESC) AS r0, lag(q, 1, 1.0) OVER (ORDER BY p DESC) AS q0 FROM (SELECT p, tp / pos AS r, tp / (tp + fp) AS q FROM curve, totals)))', 'test_pr_auc')}
+FROM scores""",
+    *training("series"),
+    "ks AS (SELECT unnest([10, 11, 12, 19, 20, 21, 22, 29]) AS k)",
+    "fit AS (SELECT k, dealt.* FROM dealt JOIN ks ON fold <> k % 10 WHERE train)",
+    "app AS (SELECT k, dealt.* FROM dealt JOIN ks ON CASE WHEN train THEN fold = k % 10 ELSE k % 10 = 9 END)",
+    *tree(TRAIN_FEATURES, 2, "k >= 20"),
+    "winner AS (SELECT k // 10 AS d, avg(f1) AS m, stddev_pop(f1) AS s FROM f1s WHERE k % 10 < 3 GROUP BY 1 ORDER BY round(avg(f1), 9) DESC, 1 LIMIT 1)",
+    "scores AS (SELECT y, round(p, 12) AS p FROM scored WHERE k = (SELECT d * 10 + 9 FROM winner))",
+    CURVE,
+)
+put(
+    "tree_reload",
+    f"SELECT series_key, event_id, (p >= 0.75)::INT AS prediction, 0 AS n_missing_features, {r6('p', 'probability')} FROM scored",
+    NUMBERED,
+    "early AS (SELECT * FROM numbered WHERE rn <= floor(0.8 * n))",
+    "late AS (SELECT * FROM numbered WHERE rn > floor(0.8 * n))",
+    *training("early"),
+    "fit AS (SELECT 0 AS k, * FROM dealt WHERE train)",
+    training("late")[0].replace("ready", "fresh", 1),
+    "app AS (SELECT 0 AS k, is_anomaly AS y, * FROM fresh)",
+    *tree(TRAIN_FEATURES),
+)
+
+# Newton steps of the penalised regression on one feature, over its levels: (a, b) is the constant and the slope.
+P = "(1 / (1 + exp(-(a + b * s))))"
+STEP = f"""SELECT a - (g0 * (h11 + 1) - g1 * h01) / (h00 * (h11 + 1) - h01 * h01) AS a, b - (g1 * h00 - g0 * h01) / (h00 * (h11 + 1) - h01 * h01) AS b
+  FROM (SELECT any_value(a) AS a, any_value(b) AS b, sum(n * {P} - n1) AS g0, sum(s * (n * {P} - n1)) + any_value(b) AS g1,
+          sum(n * {P} * (1 - {P})) AS h00, sum(n * s * {P} * (1 - {P})) AS h01, sum(n * s * s * {P} * (1 - {P})) AS h11 FROM levels, """
+put(
+    "logistic_levels",
+    f"SELECT s::BIGINT AS high_usage_streak_10, ({P} >= 0.5)::INT AS prediction, n::BIGINT AS n, {r6(P, 'probability')} FROM levels, newton12",
+    f"streaks AS (SELECT is_anomaly, sum((x > 80)::INT) OVER {frame(10)} AS s FROM series)",
+    "levels AS (SELECT s::DOUBLE AS s, count(*)::DOUBLE AS n, sum(is_anomaly)::DOUBLE AS n1 FROM streaks GROUP BY 1)",
+    "newton0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)",
+    *[f"newton{i + 1} AS MATERIALIZED ({STEP} newton{i}))" for i in range(12)],
+)
+
+# --- predictions ---------------------------------------------------------------------------------
+
 put(
     "prediction_summary",
     f"SELECT sum(f)::BIGINT AS anomaly_count, count(*)::BIGINT AS total_count, {r6('avg(f)', 'anomaly_ratio')} FROM scores",

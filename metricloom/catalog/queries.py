@@ -604,6 +604,98 @@ def score_rows(spark, sf):
     return out.select(*ID, VALUE, "probability", "prediction", "n_missing_features")
 
 
+# One tree on all rows and features decides nothing at random, so its scores follow in SQL.
+_TREE = {"bootstrap": False, "featureSubsetStrategy": "all"}
+_TREE_FEATURES = ["band", "last_digit", "hour", "weekday"]
+_TRAIN_FEATURES = ["hour", "weekday", "is_high_usage", "high_usage_streak_3", "high_usage_streak_10"]
+
+
+def _tree_points(spark, sf) -> DataFrame:
+    """Four features of few values per sample, weighted and dealt to folds."""
+    whole = F.floor(VALUE)
+    rows = series(spark, sf).withColumns({
+        "band": F.least(F.floor(F.col(VALUE) / 40), F.lit(2)), "last_digit": F.pmod(whole, F.lit(10)),
+        "hour": F.hour("ts"), "weekday": F.weekday("ts"),
+    })
+    ready = models.assemble(models.with_class_weights(rows), _TREE_FEATURES)
+    return materialize(splits.stratified_folds(ready, SPLIT_IDS), "points")
+
+
+@query
+def tree_scores(spark, sf):
+    points = _tree_points(spark, sf)
+    model = models.train_random_forest(points, numTrees=1, maxDepth=2, **_TREE)
+    out = models.predict(model, points.drop("weight", "fold"), 0.75)
+    return columns(out, [*ID, "prediction"], ["probability"])
+
+
+@query
+def tree_importance(spark, sf):
+    model = models.train_random_forest(_tree_points(spark, sf), numTrees=1, maxDepth=2, **_TREE)
+    found = models.feature_importance(spark, model, _TREE_FEATURES)
+    return columns(models.top_features(found, 2), ["feature"], ["importance"])
+
+
+@query
+def tree_cv_f1(spark, sf):
+    return columns(models.cross_val_f1(_tree_points(spark, sf), numTrees=1, maxDepth=2, **_TREE), ["fold"], ["f1"])
+
+
+@query
+def tree_cv_summary(spark, sf):
+    found = models.cross_val_f1(_tree_points(spark, sf), numTrees=1, maxDepth=2, **_TREE)
+    return columns(evaluate.cv_summary(found), [], ["cv_mean", "cv_spread"])
+
+
+@query
+def tree_search(spark, sf):
+    grid = {"maxDepth": [1, 2], "minInstancesPerNode": [2]}
+    found = models.grid_search(_tree_points(spark, sf), grid, estimator=models.random_forest(numTrees=1, **_TREE))[1]
+    return columns(found, [F.col(c).cast("int").alias(c) for c in grid], ["f1_mean", "f1_std"])
+
+
+@query
+def tree_history(spark, sf):
+    grid = {"numTrees": [1], "maxDepth": [1, 2], "minInstancesPerNode": [2]}
+    bundle, _ = models.train(series(spark, sf), features=_TRAIN_FEATURES, grid=grid, forest=_TREE)
+    cell = lambda i, j: F.col("confusion_matrix")[i][j]
+    weight = lambda y: F.get_json_object("class_weights", f"$.{y}").cast("double")
+    top = F.array_sort(F.transform("feature_importance", lambda x: F.struct(-x["importance"], x["feature"])))[0]
+    out = bundle.history.withColumns({
+        "tn": cell(0, 0), "fp": cell(0, 1), "fn": cell(1, 0), "tp": cell(1, 1), "weight_0": weight(0),
+        "weight_1": weight(1), "top_feature": top["feature"],
+        "best_depth": F.get_json_object("best_params", "$.maxDepth").cast("int"),
+    })
+    return columns(
+        out, ["train_size", "test_size", "tn", "fp", "fn", "tp", "top_feature", "best_depth"],
+        ["anomaly_ratio", "weight_0", "weight_1", "best_cv_score", "cv_f1_std", "test_roc_auc", "test_pr_auc"],
+    )
+
+
+@query
+def tree_reload(spark, sf):
+    """Train on the first 80 % of each series, store and load the model, score the rest."""
+    split = materialize(splits.chronological_split(series(spark, sf)), "split")
+    known = split.filter("split = 'train'").drop("split")
+    grid = {"numTrees": [1], "maxDepth": [2]}
+    bundle, _ = models.train(known, features=_TRAIN_FEATURES, grid=grid, forest=_TREE)
+    path = fresh_path(spark, "bundle")
+    models.save_model(bundle, path)
+    unlabelled = split.filter("split = 'test'").drop("split", "is_anomaly")
+    out = models.score(unlabelled, models.load_model(spark, path), threshold=0.75)
+    return columns(out, [*ID, "prediction", "n_missing_features"], ["probability"])
+
+
+@query
+def logistic_levels(spark, sf):
+    """Fitted probability per length of the high-usage streak, of a regression run to convergence."""
+    rows = materialize(rolling.high_usage_counts(series(spark, sf)), "streaks")
+    model = models.train_logistic(rows, ["high_usage_streak_10"], tol=1e-12, maxIter=500)
+    out = models.predict(model, rows).groupBy("high_usage_streak_10", "prediction")
+    return columns(out.agg(F.count(F.lit(1)).alias("n"), F.max("probability").alias("probability")),
+                   ["high_usage_streak_10", "prediction", "n"], ["probability"])
+
+
 # --- evaluation ----------------------------------------------------------------------------------
 
 

@@ -92,13 +92,12 @@ def train_random_forest(df: DataFrame, label: str = "is_anomaly", weight: str |
     return random_forest(label, weight, **params).fit(df)
 
 
-def train_logistic(df: DataFrame, columns: list[str], label: str = "is_anomaly") -> PipelineModel:
-    """Logistic regression with the usual unit L2 penalty on the summed loss."""
+def train_logistic(df: DataFrame, columns: list[str], label: str = "is_anomaly", **params) -> PipelineModel:
+    """Logistic regression with the usual unit L2 penalty on the summed loss; `params` are Spark's, such as `tol`."""
     assembler = VectorAssembler(inputCols=columns, outputCol=VECTOR)
     rows = df.count()
-    logistic = LogisticRegression(
-        featuresCol=VECTOR, labelCol=label, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False
-    )
+    settings = {"regParam": 1.0 / max(rows, 1), "elasticNetParam": 0.0, "standardization": False, **params}
+    logistic = LogisticRegression(featuresCol=VECTOR, labelCol=label, **settings)
     return PipelineModel(stages=[assembler, logistic.fit(assembler.transform(df))])
 
 
@@ -218,11 +217,12 @@ def train(
     threshold: float = 0.5,
     rows_per_minute: int = 1,
     parallelism: int = 4,
+    forest: dict | None = None,
     **feature_options,
 ) -> tuple[Bundle, DataFrame]:
     """Features, split, scaling, weighting, grid search, refit and test scores.
 
-    Returns the bundle with its one-row history, and the scored test rows.
+    `forest` holds settings of the forest that the grid does not vary. Returns the bundle with its one-row history, and the scored test rows.
     """
     spark, label = df.sparkSession, spec.label
     names = features or feature_names()
@@ -239,15 +239,14 @@ def train(
     ready = prepare.transform(with_class_weights(training, label)).select(*ids, label, "weight", VECTOR)
     ready = materialize(stratified_folds(ready, ids, label, 3, SEED), "train")
 
-    search, _ = grid_search(ready, grid, label, parallelism=parallelism)
+    search, _ = grid_search(ready, grid, label, random_forest(label, **(forest or {})), parallelism=parallelism)
     best = {n: search.bestModel.getOrDefault(n) for n in (grid or GRID)}
     top = max(range(len(search.avgMetrics)), key=search.avgMetrics.__getitem__)  # the first best, as the search picks
     cv = search.avgMetrics[top], search.stdMetrics[top]
-    forest = search.bestModel
-    model = PipelineModel(stages=[scaler.stage(), assembler, forest])
+    model = PipelineModel(stages=[scaler.stage(), assembler, search.bestModel])
 
     scored = materialize(predict(model, held_out, threshold).select(*ids, spec.value, label, "probability", "prediction"), "scored")
-    history = _history(spark, table, scored, cv, best, weights, forest, names, label)
+    history = _history(spark, table, scored, cv, best, weights, search.bestModel, names, label)
     settings = {"rows_per_minute": rows_per_minute, "threshold": threshold}
     return Bundle(model, names, fit_stats(df, spec), settings, history), scored
 
