@@ -9,7 +9,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import SparkSession, functions as F  # noqa: E402
+
+from metricloom import series_view  # noqa: E402
 from metricloom.catalog.queries import QUERIES  # noqa: E402
+from metricloom.operators.rolling import rolling_by_time  # noqa: E402
 from metricloom.plans.workspace import drop_workspace  # noqa: E402
 from metricloom.session import local_session  # noqa: E402
 
@@ -22,6 +26,16 @@ HEADLINE = [
 ]
 
 
+def frame_seconds(spark: SparkSession, folder: str, minutes: int) -> float:
+    """Time frames over one series with the events' values at one sample per second."""
+    rows = series_view(spark.read.parquet(f"{folder}/events.parquet")).withColumns(
+        {"series_key": F.lit("all"), "ts": F.timestamp_seconds("event_id")}
+    )
+    start = time.perf_counter()
+    rolling_by_time(rows, (minutes,)).write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -35,6 +49,7 @@ def main() -> None:
     for name in ("rolling_stats_5", "lof_flags"):
         run(name)
     seconds = {name: round(run(name), 3) for name in HEADLINE}
+    seconds |= {f"time_frame_{m}": round(frame_seconds(spark, folder, m), 3) for m in (5, 240)}
     drop_workspace(spark)
     spark.stop()
     print(

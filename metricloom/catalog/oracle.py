@@ -376,6 +376,53 @@ LOF = """h AS (SELECT series_key, x, count(*) AS c FROM series GROUP BY 1, 2),
  cut AS (SELECT series_key, quantile_cont(score, 0.1) AS cut FROM scored GROUP BY 1),
  flagged AS (SELECT scored.*, (score < cut)::INT AS lof_anomaly FROM scored JOIN cut USING (series_key))"""
 put("lof_flags", "SELECT series_key, event_id, lof_anomaly FROM flagged", LOF)
+# The published algorithm on the same draws: 100 trees of 256 rows, grown level by level.
+TREES, SAMPLE = 100, 256
+DRAW = "('0x' || substr(md5({}), 1, 13))::BIGINT"
+
+
+def usual_path(n: str) -> str:
+    return f"(CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 ELSE 2 * (ln({n} - 1.0) + 0.5772156649015329) - 2 * ({n} - 1.0) / {n} END)"
+
+
+def levels(count: int = 8) -> list[str]:
+    own = DRAW.format("series_key || '-42-' || t || '-n' || node")
+    out = ["level0 AS (SELECT series_key, t, x, 1 AS node, -1e300::DOUBLE AS low, lim FROM sampled)"]
+    for d in range(count + 1):
+        out.append(
+            f"""nodes{d} AS (SELECT series_key, t, node, lim, low, min(x) AS a, max(x) AS b, count(*) AS m,
+  min(x) + {own} / power(2, 52) * (max(x) - min(x)) AS thr FROM level{d} GROUP BY series_key, t, node, lim, low)"""
+        )
+        out.append(
+            f"""level{d + 1} AS (SELECT series_key, t, x, 2 * node + (x > thr)::INT AS node, CASE WHEN x > thr THEN thr ELSE n.low END AS low, lim
+  FROM level{d} JOIN (SELECT series_key, t, node, low, thr FROM nodes{d} WHERE a < b AND lim > {d}) n USING (series_key, t, node))"""
+        )
+    leaves = " UNION ALL ".join(
+        f"SELECT series_key, t, a, low, {d} + {usual_path('m')} AS len FROM nodes{d} WHERE a = b OR lim <= {d}" for d in range(count + 1)
+    )
+    return [*out, f"tips AS ({leaves})"]
+
+
+ISOLATION = [
+    "iso_h AS (SELECT series_key, x, count(*) AS c FROM series GROUP BY 1, 2)",
+    "iso_sizes AS (SELECT series_key, sum(c)::BIGINT AS total FROM iso_h GROUP BY 1)",
+    "placed AS (SELECT series_key, x, row_number() OVER (PARTITION BY series_key ORDER BY x) - 1 AS pos FROM series)",
+    f"""draws AS (SELECT series_key, t, i, CASE WHEN total <= {SAMPLE} THEN i ELSE {DRAW.format("series_key || '-42-' || t || '-p' || i")} % total END AS pos
+  FROM iso_sizes, (SELECT unnest(generate_series(0, {TREES - 1})) AS t), (SELECT unnest(generate_series(0, 1023)) AS i) WHERE total > {SAMPLE} OR i < total)""",
+    f"""picked AS (SELECT series_key, t, pos FROM (SELECT series_key, t, pos, row_number() OVER (PARTITION BY series_key, t ORDER BY min(i)) AS place
+  FROM draws GROUP BY series_key, t, pos) WHERE place <= {SAMPLE})""",
+    f"""sampled AS (SELECT series_key, t, x, ceil(log2(greatest(least(total, {SAMPLE}), 2))) AS lim
+  FROM picked JOIN placed USING (series_key, pos) JOIN iso_sizes USING (series_key))""",
+    *levels(),
+    "marks AS (SELECT series_key, low, len - coalesce(lag(len) OVER (PARTITION BY series_key, t ORDER BY a), 0) AS step FROM tips)",
+    """swept AS (SELECT series_key, x, kind, sum(step) OVER (PARTITION BY series_key ORDER BY x, kind) AS path
+  FROM (SELECT series_key, x, 0 AS kind, 0.0::DOUBLE AS step FROM iso_h UNION ALL SELECT series_key, low, 1, step FROM marks))""",
+    f"""iso_scored AS (SELECT s.series_key, s.event_id, s.x, round(-power(2.0, -(path / {TREES}.0 / {usual_path(f'least(total, {SAMPLE})')})), 9) AS score
+  FROM series s JOIN swept USING (series_key, x) JOIN iso_sizes USING (series_key) WHERE kind = 0)""",
+    "iso_cut AS (SELECT series_key, quantile_cont(score, 0.1) AS cut FROM iso_scored GROUP BY 1)",
+    "isolated AS (SELECT series_key, event_id, (score < cut)::INT AS iso_forest_anomaly FROM iso_scored JOIN iso_cut USING (series_key))",
+]
+put("isolation_flags", "SELECT series_key, event_id, iso_forest_anomaly FROM isolated", *ISOLATION)
 put(
     "consensus",
     """SELECT series_key, event_id, (is_anomaly + (x > 80)::INT + (x > 90)::INT + (x < 10)::INT)::INT AS algorithm_consensus,
@@ -411,13 +458,25 @@ _ALL = {
     **{f"high_usage_streak_{n}": f"sum((x > 80)::INT) OVER {frame(n)}" for n in (3, 5, 10)},
     **{f"{w}min_cv": f"coalesce(stddev_samp(x) OVER w{w}, 0) / (avg(x) OVER w{w} + 1e-8)" for w in (15, 30, 60)},
 }
-put(
-    "all_features_exact",
-    f"SELECT series_key, event_id, {listed(_ALL)} FROM base WINDOW " + ", ".join(f"w{w} AS {frame(w)}" for w in (5, 15, 30, 60)),
-    STATS,
-    LOF,
-    f"base AS (SELECT f.*, lo, hi, mean, sd, q1, q3, row_number() OVER ({ORDER}) AS rn FROM flagged f JOIN stats USING (series_key))",
-)
+_VOTES = f"(iso_forest_anomaly + lof_anomaly + {_ALL['z_score_anomaly']} + {_ALL['iqr_anomaly']})"
+_ALL |= {
+    "iso_forest_anomaly": "iso_forest_anomaly",
+    "algorithm_consensus": _VOTES,
+    "algorithm_agreement": f"({_VOTES} >= 2)::INT",
+    "iso_x_deviation": f"iso_forest_anomaly * {Z}",
+    **{f"anomaly_streak_{n}": f"sum(({_VOTES} >= 2)::INT) OVER {frame(n)}" for n in (3, 5, 10)},
+}
+_BASE = f"""base AS (SELECT f.*, iso_forest_anomaly, lo, hi, mean, sd, q1, q3, row_number() OVER ({ORDER}) AS rn
+  FROM flagged f JOIN stats USING (series_key) JOIN isolated USING (series_key, event_id))"""
+for _name in ("all_features", "all_features_exact"):
+    put(
+        _name,
+        f"SELECT series_key, event_id, {listed(_ALL)} FROM base WINDOW " + ", ".join(f"w{w} AS {frame(w)}" for w in (5, 15, 30, 60)),
+        STATS,
+        LOF,
+        *ISOLATION,
+        _BASE,
+    )
 
 # --- splits, weights, scaling --------------------------------------------------------------------
 

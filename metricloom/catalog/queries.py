@@ -484,20 +484,14 @@ def interaction_products(spark, sf):
 
 @query
 def all_features(spark, sf):
-    return features.all_features(series(spark, sf)).select(*ID, *features.feature_names())
-
-
-_RANDOM = {"iso_forest_anomaly", "algorithm_consensus", "algorithm_agreement", "iso_x_deviation"} | {
-    f"anomaly_streak_{n}" for n in rolling.STREAKS
-}
-EXACT_FEATURES = [f for f in features.feature_names() if f not in _RANDOM]
+    return columns(features.all_features(series(spark, sf)), ID, features.feature_names())
 
 
 @query
 def all_features_exact(spark, sf):
-    """The features that no random draw touches, out of the full plan, over several parts and chunks."""
+    """All features over several parts and chunks."""
     out = features.all_features(series(spark, sf), parts=5, chunk_rows=900)
-    return columns(out, ID, EXACT_FEATURES)
+    return columns(out, ID, features.feature_names())
 
 
 # --- splits and models ---------------------------------------------------------------------------
