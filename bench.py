@@ -32,7 +32,7 @@ def frame_seconds(spark: SparkSession, folder: str, minutes: int) -> float:
         {"series_key": F.lit("all"), "ts": F.timestamp_seconds("event_id")}
     )
     start = time.perf_counter()
-    rolling_by_time(rows, (minutes,)).write.format("noop").mode("overwrite").save()
+    rolling_by_time(rows, minutes).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 
