@@ -6,7 +6,7 @@ matched by the fingerprint of the layout's own columns, the layout with the most
 
 The template writes a turn as `<s>role[INST]text[/INST]</s>`. Backslashes in roles and texts are doubled and a backslash
 is put after the first character of every control string, so marks and texts can't be confused and `read_back` restores
-all texts. The loss mask lists the spans of assistant texts in the formatted string.
+all texts. The loss mask lists the spans of assistant texts in the formatted string, by turn.
 
 Scale: column expressions only. Layouts with a row per conversation need no shuffle; a row per turn takes one shuffle by
 conversation. A conversation is one value of the result and has to fit a row; nothing else is collected.
@@ -118,35 +118,28 @@ def unescape(text: Column) -> Column:
 
 
 def format_chat(conversations: DataFrame) -> DataFrame:
-    """(conv_id, formatted, loss): `loss` lists the spans (start, size) of assistant texts, in code points."""
+    """(conv_id, formatted, loss): `loss` lists the spans (turn, start, size) of assistant texts.
+
+    A turn's number counts from 0, `start` from the turn's first mark, in code points. Places inside turns take one
+    step per turn to write and to read, where places in the whole string would take a walk through it each.
+    """
     safe = F.transform("turns", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text"), (t["role"] == "assistant").alias("loss")))
     rows = conversations.select("conv_id", safe.alias("safe"))
     chunks = F.transform("safe", lambda t: F.concat(F.lit(OPEN), t["role"], F.lit(BODY), t["text"], F.lit(CLOSE)))
-    none = F.expr("cast(array() as array<struct<start:int,size:int>>)")
-    marks = len(OPEN) + len(BODY)
-    walked = F.aggregate(
-        "safe",
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda s, t: F.struct(
-            (s["at"] + F.length(t["role"]) + F.length(t["text"]) + (marks + len(CLOSE))).alias("at"),
-            F.when(
-                t["loss"],
-                F.concat(s["spans"], F.array(F.struct((s["at"] + F.length(t["role"]) + marks).alias("start"), F.length(t["text"]).alias("size")))),
-            ).otherwise(s["spans"]).alias("spans"),
-        ),
-    )
-    return rows.select("conv_id", F.array_join(chunks, "").alias("formatted"), walked["spans"].alias("loss"))
+    spans = F.transform("safe", lambda t, i: F.struct(
+        i.alias("turn"), (F.length(t["role"]) + (len(OPEN) + len(BODY))).alias("start"),
+        F.when(t["loss"], F.length(t["text"])).alias("size")))
+    return rows.select("conv_id", F.array_join(chunks, "").alias("formatted"), F.filter(spans, lambda s: s["size"].isNotNull()).alias("loss"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """(conv_id, formatted, turns, loss_text) from the formatted string and the loss mask alone."""
-    bodies = F.transform(
-        F.filter(F.split("formatted", r"\[/INST\]</s>", -1), lambda c: c != ""), lambda c: F.substring(c, len(OPEN) + 1, 2**31 - 1)
-    )
+    rows = formatted.select("conv_id", "formatted", "loss", F.split("formatted", r"\[/INST\]</s>", -1).alias("chunks"))
+    bodies = F.transform(F.filter("chunks", lambda c: c != ""), lambda c: F.substring(c, len(OPEN) + 1, 2**31 - 1))
     split = lambda b: F.split(b, r"\[INST\]", 2)
     turns = F.transform(bodies, lambda b: F.struct(unescape(F.get(split(b), 0)).alias("role"), unescape(F.get(split(b), 1)).alias("text")))
-    masked = F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["size"])))
-    return formatted.select("conv_id", "formatted", turns.alias("turns"), F.array_join(masked, "").alias("loss_text"))
+    masked = F.transform("loss", lambda s: unescape(F.substring(F.get("chunks", s["turn"]), s["start"] + 1, s["size"])))
+    return rows.select("conv_id", "formatted", turns.alias("turns"), F.array_join(masked, "").alias("loss_text"))
 
 
 def digests(read: DataFrame) -> DataFrame:
