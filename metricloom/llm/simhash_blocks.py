@@ -7,7 +7,8 @@ holds bit j of 64 neighbouring rows. XOR with the planes shifted by d rows gives
 carry-save counters add them up, and words whose pairs all exceed the radius are abandoned.
 
 Scale: equal fingerprints are one row before blocking. A block above `tile_rows` is cut into tiles, and each pair of
-tiles goes to a task of its own, so no block is collected whole. A block emits a star per local component and never
+tiles goes to a task of its own, so no block is collected whole; blocks are counted by partial sums, and the large ones
+are known before any row moves. A block emits a star per local component and never
 its pairs. Components follow by rounds of joins. The pieces set the cost: 15 rows per fingerprint and 21-bit blocks for
 6 pieces, 70 rows and 32-bit blocks for 8.
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from metricloom.llm.common import text_of
+from metricloom.llm.common import bounded_broadcast, text_of
 from metricloom.llm.components import components
 from metricloom.plans.workspace import materialize
 
@@ -190,10 +191,10 @@ def near_links(prints: DataFrame, radius: int = RADIUS, pieces: int = PIECES, ti
 
     keys = prints.select("node", "fp", F.explode(_piece_keys(F.col("fp"), radius, pieces)).alias("k"))
     rows = keys.select("node", "fp", F.xxhash64("k.choice", "k.bits").alias("block"))
-    sized = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("block"))).filter("n > 1")
-    tiles = F.ceil(F.col("n") * 2 / tile_rows).cast("int")
-    tile = F.pmod(F.xxhash64("fp", F.lit(1)), tiles).cast("int")
-    sized = sized.withColumn("tiles", F.when(F.col("n") > tile_rows, tiles).otherwise(1)).withColumn("tile", tile)
+    hot = materialize(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile_rows), "hot")
+    hot = bounded_broadcast(hot.select(F.col("block").alias("hot"), F.ceil(F.col("n") * 2 / tile_rows).cast("int").alias("cut")))
+    sized = rows.join(hot, F.col("block") == F.col("hot"), "left").withColumn("tiles", F.coalesce("cut", F.lit(1)))
+    sized = sized.withColumn("tile", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("tiles")).cast("int"))
     others = F.when(F.col("tiles") == 1, F.array(F.lit(0))).otherwise(
         F.array_remove(F.sequence(F.lit(0), F.col("tiles") - 1), F.col("tile"))
     )
