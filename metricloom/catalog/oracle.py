@@ -221,6 +221,11 @@ put(
     + ", ".join(r6(f"quantile_cont(x, {q})", n) for n, q in (("p1", 0.01), ("p25", 0.25), ("p75", 0.75), ("p99", 0.99)))
     + " FROM series GROUP BY series_key",
 )
+# A sketch of 10 000 samples is exact for series that are no longer.
+put(
+    "approx_quantiles",
+    f"SELECT series_key, {', '.join(r6(f'quantile_disc(x, {q})', n) for n, q in (('p10', 0.1), ('p50', 0.5), ('p90', 0.9)))} FROM series GROUP BY 1",
+)
 put(
     "describe",
     f"SELECT series_key, count(x)::BIGINT AS count, {r6('avg(x)', 'mean')}, {r6('stddev_samp(x)', 'std')}, {r6('min(x)', 'min')}, "

@@ -304,6 +304,12 @@ def quantiles(spark, sf):
     return columns(stats.series_quantiles(series(spark, sf), wanted, parts=5), ["series_key"], list(wanted))
 
 
+@query
+def approx_quantiles(spark, sf):
+    wanted = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+    return columns(stats.approximate_quantiles(series(spark, sf), wanted), ["series_key"], list(wanted))
+
+
 @query
 def describe(spark, sf):
     out = stats.describe(series(spark, sf))

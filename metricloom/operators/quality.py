@@ -117,12 +117,6 @@ def _previous(ordered, expr: Column, name: str) -> DataFrame:
     return dealt.withColumn(name, F.lag(expr).over(ordered.chunk_window())).filter("_home = _chunk")
 
 
-QUALITY_COLUMNS = [
-    "completeness", "validity", "anomaly_ratio", "workday_difference", "daily_variation",
-    "avg_anomaly_gap_min", "n_anomalies", "n_total", "time_continuity",
-]
-
-
 def quality_report(df: DataFrame, spec: Series = Series()) -> DataFrame:
     """Nine metrics and six pass flags per series, in one pass over the rows.
 

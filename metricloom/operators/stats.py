@@ -83,9 +83,9 @@ def series_quantiles(
 def approximate_quantiles(
     df: DataFrame, wanted: dict[str, float], accuracy: int = 10_000, spec: Series = Series()
 ) -> DataFrame:
-    """One-pass sketch quantiles, for a first look at very long series."""
+    """One-pass sketch quantiles, each a value of the series, for a first look at very long ones."""
     return df.groupBy(*spec.keys).agg(
-        *[F.percentile_approx(spec.value, q, accuracy).alias(n) for n, q in wanted.items()]
+        *[F.percentile_approx(finite(spec.value), q, accuracy).alias(n) for n, q in wanted.items()]
     )
 
 
