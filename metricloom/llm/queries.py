@@ -39,7 +39,7 @@ def chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sentences(spark: SparkSession, folder: str) -> DataFrame:
-    return sentence_spans.remove_spans(table(spark, folder, "documents"))
+    return sentence_spans.remove_spans(table(spark, folder, "documents"), extend=True)
 
 
 def quality(spark: SparkSession, folder: str) -> DataFrame:
