@@ -13,7 +13,11 @@ one run of bytes. Equal strings therefore meet in one shard, whatever documents
 
 Scale: one shuffle of runs, packed per shard and compressed, and one of covered ranges. Runs that repeat inside a task
 are sent for the least document of the task only (the others are covered already), so a passage in a third of all rows
-sends one run per task. Shards are about `SHARD_BYTES` of text each. A document of any length is cut into segments that
+sends one run per task for its inside. The runs over its edges hold bytes of their own documents and all differ: a
+minimizer with more run bytes than two shards of text is hot, and its runs are cut into their single strings, which go
+to shards by a hash of the whole string, so equal ones still meet. Hot minimizers are found first, by partial sums over
+buckets of minimizers and a sample of the text's blocks; which ones are taken for hot moves strings between shards and
+never changes the result. Shards are about `SHARD_BYTES` of text each. A document of any length is cut into segments that
 overlap by `length - 1` bytes. The ranges of a document are bounded by its length.
 
 Defined results: null texts are empty; texts shorter than `length` stay; rows with one doc_id count as one document, are
@@ -28,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,6 +40,7 @@ from metricloom.llm.common import text_of
 from metricloom.llm.suffix_array import permuted_common_prefixes, shard_text, suffix_array
 
 LENGTH, GRAM, SHARD_BYTES, SEGMENT, CHUNK, PACK_LEVEL = 50, 12, 8 << 20, 1 << 20, 4 << 20, 6
+SAMPLE, BLOCK, BUCKETS_PER_SHARD, LEAST_BUCKETS = 8, 16 << 10, 64, 1 << 16
 _POS_BITS = np.uint64(24)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,14 +135,32 @@ def _ranges(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, shard: np.ndar
     )
 
 
-def _chunk(texts: list[tuple[int, int, bytes]], shards: int, length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """Runs of some segments (doc_id, place in the document, bytes), packed per shard, and what is covered already."""
+def _runs(texts: list[tuple[int, int, bytes]], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(bytes, document, place, first string, strings, offset and hash of the minimizer) of the runs of some segments."""
     sizes = np.array([len(t) for _, _, t in texts])
     data = np.frombuffer(b"".join(t for _, _, t in texts) + bytes(8), np.uint8)
     segment = np.repeat(np.arange(len(texts)), sizes)
     first, count, offset, best = minimizer_runs(data[:-8], segment, length, gram)
     doc = np.array([d for d, _, _ in texts])[segment[first]]
     at = first - (np.cumsum(sizes) - sizes)[segment[first]] + np.array([p for _, p, _ in texts])[segment[first]]
+    return data, doc, at, first, count, offset, best
+
+
+def _bucket_bytes(texts: list[tuple[int, int, bytes]], buckets: int, length: int, gram: int) -> np.ndarray:
+    """Bytes of the runs that `_chunk` would send, by bucket of minimizers."""
+    data, doc, _, first, count, _, best = _runs(texts, length, gram)
+    size = count + length - 1
+    weight = size.astype(float)
+    weight[_later_copies(data, first, size, doc)] = 0
+    return np.bincount((best % np.uint64(buckets)).astype(np.int64), weight, buckets)
+
+
+def _chunk(texts: list[tuple[int, int, bytes]], shards: int, length: int, gram: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Runs of some segments (doc_id, place in the document, bytes), packed per shard, and what is covered already.
+
+    `hot` tells for each bucket of minimizers whether its runs are cut into single strings.
+    """
+    data, doc, at, first, count, offset, best = _runs(texts, length, gram)
     size = count + length - 1
     covered = _later_copies(data, first, size, doc)
     shard = (best % np.uint64(shards)).astype(np.int64)
@@ -144,6 +168,21 @@ def _chunk(texts: list[tuple[int, int, bytes]], shards: int, length: int, gram:
     sent[covered] = False
     if len(covered):
         yield _ranges(doc[covered], at[covered], at[covered] + size[covered], doc[covered] % shards)
+    cut = np.flatnonzero(sent & hot[(best % np.uint64(len(hot))).astype(np.int64)])
+    if len(cut):
+        sent[cut] = False
+        step = np.arange(count[cut].sum()) - np.repeat(np.cumsum(count[cut]) - count[cut], count[cut])
+        row = np.repeat(cut, count[cut])
+        single = doc[row], at[row] + step, first[row] + step, np.ones(len(row), np.int64), offset[row] - step
+        size = np.full(len(row), length)
+        covered = _later_copies(data, single[2], size, single[0])
+        if len(covered):
+            yield _ranges(single[0][covered], single[1][covered], single[1][covered] + length, single[0][covered] % shards)
+        to_shard = (_word_hashes(data, single[2], size) % np.uint64(shards)).astype(np.int64)
+        sent, stay = np.append(sent, np.ones(len(row), bool)), len(sent)
+        sent[stay + covered] = False
+        doc, at, first, count, offset = (np.append(x, y) for x, y in zip((doc, at, first, count, offset), single))
+        shard = np.append(shard, to_shard)
     to = np.flatnonzero(sent)
     to = to[np.argsort(shard[to], kind="stable")]
     cuts = np.flatnonzero(np.diff(shard[to], prepend=-1))
@@ -211,13 +250,53 @@ def shard_ranges(blobs: list[bytes], length: int, gram: int) -> tuple[np.ndarray
     return tuple(np.concatenate(x) for x in zip(whole_runs, found))
 
 
-def covered_ranges(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(doc_id, start, stop) in bytes, overlapping; every byte to remove lies in one of them."""
+def hot_buckets(rows: DataFrame, total: int, buckets: int, hot_bytes: int, length: int, gram: int, sample: int) -> np.ndarray:
+    """For each bucket of minimizers, whether its runs hold about `hot_bytes` or more, from one of `sample` blocks of text.
+
+    A task reports a bucket if its bytes reach the task's part of a quarter of `hot_bytes`. So at most that quarter is
+    missing in a sum, and a task sends few rows, however many buckets there are.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held, size, seen = np.zeros(buckets), [], 0, 0
+        for batch in batches:
+            for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = t.as_buffer()
+                seen += len(raw)
+                for place in range(0, len(raw) - length + 1, BLOCK):
+                    if sample > 1 and xxhash.xxh64_intdigest(f"{d}:{place}") % sample:
+                        continue
+                    held.append((d, place, raw[place : place + BLOCK + length - 1].to_pybytes()))
+                    size += len(held[-1][2])
+                    if size >= CHUNK:
+                        found += _bucket_bytes(held, buckets, length, gram)
+                        held, size = [], 0
+        if held:
+            found += _bucket_bytes(held, buckets, length, gram)
+        found *= sample
+        told = np.flatnonzero(found >= max(1, hot_bytes / 4 * seen / total))
+        yield pa.RecordBatch.from_arrays([pa.array(told), pa.array(found[told])], ["bucket", "bytes"])
+
+    sums = rows.mapInArrow(counted, "bucket long, bytes double").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+    hot = np.zeros(buckets, bool)
+    hot[[r.bucket for r in sums.filter(F.col("bytes") >= hot_bytes * 0.75).select("bucket").collect()]] = True
+    return hot
+
+
+def packed_runs(
+    docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
+    hot_bytes: int | None = None, sample: int = SAMPLE,
+) -> DataFrame:
+    """(shard, doc_id, start, stop, blob): runs packed for their shard, or ranges that are covered already."""
     rows = docs.filter(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("t")
     ).filter(F.octet_length("t") >= length)
     total = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
     shards = total // shard_bytes + 16
+    hot_bytes = 2 * shard_bytes if hot_bytes is None else hot_bytes
+    hot = np.zeros(1, bool)
+    if total * length > hot_bytes:  # a run of one string holds `length` bytes, so others have no hot bucket
+        hot = hot_buckets(rows, total, max(LEAST_BUCKETS, BUCKETS_PER_SHARD * shards), hot_bytes, length, gram, sample)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -228,10 +307,19 @@ def covered_ranges(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH
                     held.append((d, place, raw[place : place + SEGMENT + length - 1]))
                     size += len(held[-1][2])
                     if size >= CHUNK:
-                        yield from _chunk(held, shards, length, gram)
+                        yield from _chunk(held, shards, length, gram, hot)
                         held, size = [], 0
         if held:
-            yield from _chunk(held, shards, length, gram)
+            yield from _chunk(held, shards, length, gram, hot)
+
+    return rows.mapInArrow(cut, "shard int, doc_id long, start long, stop long, blob binary")
+
+
+def covered_ranges(
+    docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
+    hot_bytes: int | None = None, sample: int = SAMPLE,
+) -> DataFrame:
+    """(doc_id, start, stop) in bytes, overlapping; every byte to remove lies in one of them."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = ["doc_id", "start", "stop"]
@@ -254,15 +342,16 @@ def covered_ranges(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH
                 blobs.append(b)
         yield from solved()
 
-    packed = rows.mapInArrow(cut, "shard int, doc_id long, start long, stop long, blob binary")
+    packed = packed_runs(docs, doc_id, text, length, gram, shard_bytes, hot_bytes, sample)
     return packed.repartition("shard").sortWithinPartitions("shard").mapInArrow(find, "doc_id long, start long, stop long")
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
+    hot_bytes: int | None = None, sample: int = SAMPLE,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): `kept` holds the remaining bytes, `n_spans` counts removed runs."""
-    ranges = covered_ranges(docs, doc_id, text, length, gram, shard_bytes)
+    ranges = covered_ranges(docs, doc_id, text, length, gram, shard_bytes, hot_bytes, sample)
     per_doc = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")).withColumnRenamed("doc_id", "d")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("t"))
 

@@ -3,8 +3,8 @@
 import random
 
 import brute
-import pytest
-from metricloom.llm import common, sentence_spans
+import numpy as np
+from metricloom.llm import common, sentence_spans, substring_dedup
 from metricloom.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -47,3 +47,23 @@ def test_copies_of_short_lines_go(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.n_removed, r.text) for r in QUERIES["op2_sentence_spans"](spark, str(tmp_path)).collect()}
     assert got == {1: (0, rows[0][1]), 2: (60, ""), 3: (20, "Own words.\nOther words."), 4: (0, "Click here."), 5: (1, ""), 6: (0, rows[5][1]), 7: (0, "")}
+
+
+def test_runs_over_the_edges_of_a_common_passage_are_dealt_out(spark):
+    rng = random.Random(11)
+    own = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(60))
+    passage = "Permission is hereby granted to any person who obtains a copy."
+    rows = [(d, own() + passage + own()) for d in range(800)] + [(d, own()) for d in range(800, 900)]
+    rows += [(1_000, rows[5][1][30:150]), (1_001, rows[7][1][:100]), (1_002, "x" * 120), (1_003, "x" * 130)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+    def largest(hot_bytes):
+        held = {}
+        packed = substring_dedup.packed_runs(docs, "doc_id", "text", shard_bytes=4096, hot_bytes=hot_bytes, sample=1)
+        for r in packed.filter("blob IS NOT NULL").collect():
+            held[r.shard] = held.get(r.shard, 0) + len(substring_dedup._unpack(r.blob)[4])
+        return max(held.values()) / np.mean(list(held.values()))
+
+    assert largest(1 << 40) > 4 > 2 > largest(None)
+    out = substring_dedup.remove_repeats(docs, shard_bytes=4096, sample=1).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in out} == {d: v[:3] for d, v in brute.substrings(rows).items()}
