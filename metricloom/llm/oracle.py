@@ -102,4 +102,52 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM safe GROUP BY conv_id
 """
 
-SQL = {"op1_chat": CHAT, "op3_containment": CONTAINMENT, "op4_line_frequency": LINE_FREQUENCY, "op8_mixture": MIXTURE}
+JACCARD = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+shared AS (SELECT x.r AS x, y.r AS y, count(*) AS n FROM shingles x JOIN shingles y USING (s) WHERE x.r < y.r GROUP BY x.r, y.r),
+pairs AS (
+  SELECT x, y FROM shared JOIN sizes nx ON nx.r = x JOIN sizes ny ON ny.r = y WHERE 100 * shared.n >= 90 * (nx.n + ny.n - shared.n)),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (SELECT r, r AS other FROM docs UNION SELECT x, other FROM reach JOIN links ON y = r)
+SELECT docs.doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM docs LEFT JOIN sizes USING (r) JOIN reach USING (r) JOIN docs o ON o.r = reach.other GROUP BY docs.r, docs.doc_id
+"""
+
+
+def _centroids(clusters: int = 40, rounds: int = 5) -> str:
+    """Rounds of assignment and means, one pair of CTEs each."""
+    parts = [f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+cells AS MATERIALIZED (SELECT r, unnest(range(1, 65)) AS j, unnest(v) AS x FROM kept),
+seeds AS (SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), v) - 1 AS c FROM kept ORDER BY c LIMIT {clusters}),
+means0 AS MATERIALIZED (SELECT c, j, x AS m FROM cells JOIN seeds USING (r))"""]
+    for t in range(rounds + 1):
+        parts.append(f"""
+far{t} AS (SELECT r, c, sum((x - m) * (x - m)) AS d FROM cells JOIN means{t} USING (j) GROUP BY r, c),
+best{t} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d)::BIGINT AS d FROM far{t} GROUP BY r)""")
+        if t < rounds:
+            parts.append(f"""
+sums{t} AS (SELECT c, j, sum(x) AS s, count(*) AS n FROM cells JOIN best{t} USING (r) GROUP BY c, j),
+means{t + 1} AS MATERIALIZED (
+  SELECT c, j, CASE WHEN s IS NULL THEN m ELSE ((s - (((s % n) + n) % n)) // n)::BIGINT END AS m FROM means{t} LEFT JOIN sums{t} USING (c, j))""")
+    return ",".join(parts) + f"""
+SELECT vec_id, best{rounds}.c::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY best{rounds}.c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM kept JOIN best{rounds} USING (r)
+JOIN (SELECT c, sha256(string_agg(m::BIGINT::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM means{rounds} GROUP BY c) n ON n.c = best{rounds}.c
+"""
+
+
+SQL = {
+    "op1_chat": CHAT, "op3_containment": CONTAINMENT, "op4_line_frequency": LINE_FREQUENCY, "op8_mixture": MIXTURE,
+    "op12_jaccard_regions": JACCARD, "op13_heap_centroids": _centroids(),
+}
