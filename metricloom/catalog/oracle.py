@@ -79,13 +79,15 @@ for m in (15, 60):
         f"FROM (SELECT *, floor(epoch(ts))::BIGINT AS sec FROM series) "
         f"WINDOW w AS (PARTITION BY series_key ORDER BY sec RANGE BETWEEN {60 * m - 1} PRECEDING AND CURRENT ROW)",
     )
-GAPS = """holed AS (SELECT *, event_id % 97 <> 0 AND event_id % 211 = 0 AS e, epoch(ts)::BIGINT AS sec,
-    CASE WHEN event_id % 97 <> 0 AND event_id % 211 <> 0 THEN x END AS f FROM numbered)"""
+# e: endless (infinite) value, f: finite value, g: any value that is not missing
+WITH_GAPS = """holed AS (SELECT *, CASE WHEN e THEN 'infinity'::DOUBLE ELSE f END AS g FROM (
+  SELECT *, event_id % 97 <> 0 AND (event_id % 211 = 0 OR rn = 1) AS e, epoch(ts)::BIGINT AS sec,
+    CASE WHEN event_id % 97 <> 0 AND event_id % 211 <> 0 AND rn > 1 THEN x END AS f FROM numbered))"""
 _ENDLESS = "coalesce(bool_or(e) OVER w, false)"
 _holed = {
     "mean": f"CASE WHEN NOT {_ENDLESS} THEN avg(f) OVER w END",
     "std": f"CASE WHEN NOT {_ENDLESS} THEN coalesce(stddev_samp(f) OVER w, 0) END",
-    "min": "min(f) OVER w",
+    "min": "min(g) OVER w",
     "change": f"CASE WHEN NOT {_ENDLESS} THEN f - avg(f) OVER w END",
     "trend": f"CASE WHEN NOT {_ENDLESS} THEN CASE WHEN count(f) OVER w >= 2 THEN regr_slope(f, rn) OVER w ELSE 0 END END",
 }
@@ -94,7 +96,7 @@ put(
     f"SELECT series_key, event_id, {_ENDLESS}::INT AS is_endless, {listed({f'15min_{n}': e for n, e in _holed.items()})} "
     f"FROM holed WINDOW w AS {frame(15)}",
     NUMBERED,
-    GAPS,
+    WITH_GAPS,
 )
 put(
     "rolling_time_range_nan",
@@ -102,7 +104,7 @@ put(
     f"{listed({f'240min_{n}': e for n, e in _holed.items() if n != 'trend'})} FROM (SELECT * REPLACE (floor(epoch(ts))::BIGINT AS sec) FROM holed) "
     "WINDOW w AS (PARTITION BY series_key ORDER BY sec RANGE BETWEEN 14399 PRECEDING AND CURRENT ROW)",
     NUMBERED,
-    GAPS,
+    WITH_GAPS,
 )
 put(
     "rolling_offset",
@@ -119,7 +121,7 @@ put(
     "zscore_nan",
     f"SELECT series_key, event_id, {r6('(f - avg(f) OVER s) / (stddev_samp(f) OVER s + 1e-8)', 'z_score')} FROM holed WINDOW s AS (PARTITION BY series_key)",
     NUMBERED,
-    GAPS,
+    WITH_GAPS,
 )
 put(
     "describe_nan",
@@ -127,7 +129,7 @@ put(
     + listed({"mean": "avg(f)", "std": "stddev_samp(f)", "min": "min(f)", "max": "max(f)"} | {f"p{q}": f"quantile_cont(f, 0.{q})" for q in (25, 50, 75)})
     + " FROM holed GROUP BY 1",
     NUMBERED,
-    GAPS,
+    WITH_GAPS,
 )
 put(
     "usage_streak",
@@ -287,6 +289,29 @@ put(
   {r6('1 - avg(is_anomaly)', 'normal_ratio')}, {r6('avg(is_anomaly)', 'anomaly_ratio')}, {r6('avg(x)', 'mean')},
   {r6('min(x)', 'min')}, {r6('max(x)', 'max')}, {r6('stddev_pop(x)', 'std_pop')} FROM series GROUP BY 1""",
 )
+put(
+    "quality_report_nan",
+    f"""SELECT series_key, n_anomalies::BIGINT AS n_anomalies, n_total::BIGINT AS n_total, 1 AS time_continuity, 1 AS continuity_ok,
+  (validity = 100)::INT AS validity_ok, (ratio BETWEEN 5 AND 15)::INT AS anomaly_ratio_ok, (workday > 5)::INT AS workday_ok,
+  (daily_variation > 20)::INT AS daily_variation_ok, (avg_anomaly_gap_min > 60)::INT AS anomaly_gap_ok,
+  {r6('(1 - missing / n_total) * 100', 'completeness')}, {r6('(1 - missing / (n_total * 4)) * 100', 'completeness_by_cell')}, {r6('validity', 'validity')},
+  {r6('ratio', 'anomaly_ratio')}, {r6('workday', 'workday_difference')}, {r6('daily_variation', 'daily_variation')},
+  {r6('avg_anomaly_gap_min', 'avg_anomaly_gap_min')}
+FROM (SELECT series_key, sum(is_anomaly) AS n_anomalies, count(*) AS n_total, avg(is_anomaly) * 100 AS ratio, count(*) FILTER (g IS NULL) AS missing,
+             (count(*) - count(*) FILTER (g < 0 OR g > 100)) / count(*) * 100 AS validity, {WORKDAY.replace('x', 'f')} AS workday
+      FROM holed GROUP BY 1) JOIN variation USING (series_key) JOIN gaps USING (series_key)""",
+    NUMBERED,
+    WITH_GAPS,
+    VARIATION.replace("avg(x)", "avg(f)").replace("FROM series", "FROM holed"),
+    GAPS,
+)
+put(
+    "dataset_report_nan",
+    f"SELECT series_key, count(*)::BIGINT AS n_total, {r6('avg(f)', 'mean')}, {r6('min(f)', 'min')}, {r6('max(f)', 'max')}, "
+    f"{r6('stddev_pop(f)', 'std_pop')} FROM holed GROUP BY 1",
+    NUMBERED,
+    WITH_GAPS,
+)
 put("preview", "SELECT series_key, event_id, x AS cpu_utilization FROM series ORDER BY ts, event_id LIMIT 10")
 put(
     "trailing_range",
@@ -313,6 +338,14 @@ put(
   first_value(x IGNORE NULLS) OVER ({ORDER} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS cpu_utilization FROM holed""",
     HOLED,
 )
+put(
+    "fill_chain_nan",
+    f"""SELECT series_key, event_id, coalesce(
+  last_value(g IGNORE NULLS) OVER ({ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(g IGNORE NULLS) OVER ({ORDER} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS cpu_utilization FROM holed""",
+    NUMBERED,
+    WITH_GAPS,
+)
 put(
     "run_length",
     """SELECT series_key, event_id, CASE WHEN is_anomaly = 1 THEN row_number() OVER (PARTITION BY series_key, island, is_anomaly ORDER BY rn) ELSE 0 END::BIGINT AS run_length
@@ -579,7 +612,7 @@ def split_nodes(name: str, rows: str, by: str, features: list[str], least: int)
   WINDOW c AS (PARTITION BY {by}, f ORDER BY v), t AS (PARTITION BY {by}, f))""",
         f"""{name}_gains AS (SELECT {by}, f, (v + nv) / 2 AS thr, t0 + t1 AS w, {gini(*whole)} - {share(left)} - {share(right)} AS gain
   FROM {name}_runs WHERE nv IS NOT NULL AND ln >= {least} AND tn - ln >= {least})""",
-        f"""{name} AS (SELECT {by}, f, thr, gain, w FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY gain DESC, f, thr) AS best FROM {name}_gains)
+        f"""{name} AS (SELECT {by}, f, thr, gain, w FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY round(gain, 12) DESC, f, thr) AS best FROM {name}_gains)
   WHERE best = 1 AND gain > 1e-9)""",
     ]
 
@@ -781,3 +814,10 @@ put(
     f"""SELECT series_key, floor(epoch(date_trunc('hour', ts)))::BIGINT AS window_start, count(*)::BIGINT AS n_rows, {r6('avg(x)', 'mean')},
   {r6('avg((x BETWEEN 0 AND 100)::INT) * 100', 'validity')}, {r6('avg(is_anomaly)', 'anomaly_ratio')} FROM series GROUP BY 1, 2""",
 )
+put(
+    "tumbling_stats_nan",
+    f"""SELECT series_key, floor(epoch(date_trunc('hour', ts)))::BIGINT AS window_start, count(*)::BIGINT AS n_rows, {r6('avg(f)', 'mean')},
+  {r6('(count(*) - count(*) FILTER (g < 0 OR g > 100)) / count(*) * 100', 'validity')}, {r6('avg(is_anomaly)', 'anomaly_ratio')} FROM holed GROUP BY 1, 2""",
+    NUMBERED,
+    WITH_GAPS,
+)

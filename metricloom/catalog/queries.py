@@ -109,9 +109,12 @@ for _minutes in (15, 60):
 
 
 def with_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    """The series with NaN in every 97th event and infinity in every 211th."""
-    gap = F.when(F.pmod("event_id", F.lit(97)) == 0, math.nan).when(F.pmod("event_id", F.lit(211)) == 0, math.inf)
-    return series(spark, sf).withColumn(VALUE, gap.otherwise(F.col(VALUE)))
+    """The series with NaN in every 97th event, and infinity in every 211th and in the first one of each series."""
+    rows = series(spark, sf)
+    first = rows.groupBy("series_key").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("first"))
+    endless = (F.pmod("event_id", F.lit(211)) == 0) | (F.col("event_id") == F.col("first"))
+    gap = F.when(F.pmod("event_id", F.lit(97)) == 0, math.nan).when(endless, math.inf)
+    return rows.join(first, "series_key").withColumn(VALUE, gap.otherwise(F.col(VALUE))).select(rows.columns)
 
 
 @query
@@ -333,6 +336,11 @@ def quality_report(spark, sf):
     return columns(quality.quality_report(series(spark, sf)), ["series_key", *_COUNTS, *_CHECKS], _METRICS)
 
 
+@query
+def quality_report_nan(spark, sf):
+    return columns(quality.quality_report(with_gaps(spark, sf)), ["series_key", *_COUNTS, *_CHECKS], _METRICS)
+
+
 def _holed(spark, sf) -> DataFrame:
     """Series whose middling values are missing."""
     v = F.col(VALUE)
@@ -391,6 +399,11 @@ def dataset_report(spark, sf):
     return columns(out, exact, ["normal_ratio", "anomaly_ratio", "mean", "min", "max", "std_pop"])
 
 
+@query
+def dataset_report_nan(spark, sf):
+    return columns(quality.dataset_report(with_gaps(spark, sf)), ["series_key", "n_total"], ["mean", "min", "max", "std_pop"])
+
+
 @query
 def preview(spark, sf):
     return quality.preview(series(spark, sf), 10).select(*ID, VALUE)
@@ -420,6 +433,11 @@ def fill_chain(spark, sf):
     return runs.fill_chain(_holed(spark, sf), [VALUE], parts=6).select(*ID, VALUE)
 
 
+@query
+def fill_chain_nan(spark, sf):
+    return runs.fill_chain(with_gaps(spark, sf), [VALUE], parts=6).select(*ID, VALUE)
+
+
 @query
 def run_length(spark, sf):
     return runs.run_length(series(spark, sf), parts=6).select(*ID, "run_length")
@@ -858,6 +876,12 @@ def tumbling_stats(spark, sf):
     return columns(out, ["series_key", "window_start", "n_rows"], ["mean", "validity", "anomaly_ratio"])
 
 
+@query
+def tumbling_stats_nan(spark, sf):
+    out = live.tumbling_stats(with_gaps(spark, sf)).withColumn("window_start", F.unix_timestamp("window_start"))
+    return columns(out, ["series_key", "window_start", "n_rows"], ["mean", "validity", "anomaly_ratio"])
+
+
 @query
 def run_tracker(spark, sf):
     """Four restarts, each after a quarter of the time; a third of the rows arrive up to an hour late."""

@@ -51,8 +51,14 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("int")
 
 
+def missing(df: DataFrame, column: str) -> Column:
+    """Whether the cell is null or NaN."""
+    c = F.col(f"`{column}`")
+    return c.isNull() | F.isnan(c) if dict(df.dtypes)[column] in ("float", "double") else c.isNull()
+
+
 def threshold_flags(value: str, high: float = 80, very_high: float = 90, low: float = 10) -> dict[str, Column]:
-    v = F.col(value)
+    v = nan_to_null(value)
     return {
         "is_high_usage": flag(v > high),
         "is_very_high_usage": flag(v > very_high),
@@ -61,7 +67,8 @@ def threshold_flags(value: str, high: float = 80, very_high: float = 90, low: fl
 
 
 def out_of_range(value: str, low: float = 0, high: float = 100) -> Column:
-    v = F.col(value)
+    """Whether the value lies outside; a missing one does not."""
+    v = nan_to_null(value)
     return F.coalesce((v < low) | (v > high), F.lit(False))
 
 

@@ -1,4 +1,7 @@
-"""Data-quality metrics and reports, one row per series."""
+"""Data-quality metrics and reports, one row per series.
+
+NaN counts as missing; means, extremes and deviations leave infinities out too, which range checks count as invalid.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from metricloom.functions.scalar import out_of_range
+from metricloom.functions.scalar import finite, missing, out_of_range
 from metricloom.plans.ordered import lay_out
 from metricloom.series import Series
 
@@ -21,18 +24,17 @@ def require_columns(df: DataFrame, columns, check_empty: bool = False) -> DataFr
 
 
 def completeness(df: DataFrame, spec: Series = Series()) -> DataFrame:
-    """Percent complete: nulls over rows (may go below 0), and nulls over cells."""
+    """Percent complete: missing cells over rows (may go below 0), and over cells."""
     cells = [c for c in df.columns if c not in spec.keys]
-    return df.groupBy(*spec.keys).agg(*_completeness(cells))
-
-
-def _completeness(cells: list[str]) -> list[Column]:
-    nulls = F.sum(reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in cells]))
-    rows = F.count(F.lit(1))
-    return [
+    nulls, rows = F.sum(_missing_cells(df, cells)), F.count(F.lit(1))
+    return df.groupBy(*spec.keys).agg(
         ((1 - nulls / rows) * 100).alias("completeness"),
         ((1 - nulls / (rows * len(cells))) * 100).alias("completeness_by_cell"),
-    ]
+    )
+
+
+def _missing_cells(df: DataFrame, cells: list[str]) -> Column:
+    return reduce(lambda a, b: a + b, [missing(df, c).cast("int") for c in cells])
 
 
 def _gap(spec: Series) -> Column:
@@ -68,7 +70,7 @@ def anomaly_ratio(df: DataFrame, spec: Series = Series()) -> DataFrame:
 
 def _workday_difference(spec: Series) -> Column:
     weekend = F.weekday(spec.ts) >= 5
-    return F.avg(F.when(~weekend, F.col(spec.value))) - F.avg(F.when(weekend, F.col(spec.value)))
+    return F.avg(F.when(~weekend, finite(spec.value))) - F.avg(F.when(weekend, finite(spec.value)))
 
 
 def workday_difference(df: DataFrame, spec: Series = Series()) -> DataFrame:
@@ -78,7 +80,7 @@ def workday_difference(df: DataFrame, spec: Series = Series()) -> DataFrame:
 
 def daily_variation(df: DataFrame, spec: Series = Series()) -> DataFrame:
     """Largest minus smallest hour-of-day mean."""
-    hourly = df.groupBy(*spec.keys, F.hour(spec.ts).alias("_hour")).agg(F.avg(spec.value).alias("_mean"))
+    hourly = df.groupBy(*spec.keys, F.hour(spec.ts).alias("_hour")).agg(F.avg(finite(spec.value)).alias("_mean"))
     return (
         hourly.filter(F.col("_hour").isNotNull())
         .groupBy(*spec.keys)
@@ -124,11 +126,11 @@ def quality_report(df: DataFrame, spec: Series = Series()) -> DataFrame:
     everything else folds up from sums and extremes, so a hot series is already small by then.
     """
     require_columns(df, [*spec.keys, spec.ts, spec.value, spec.label])
-    v, label = F.col(spec.value), F.col(spec.label)
+    v, label = finite(spec.value), F.col(spec.label)
     weekend = F.weekday(spec.ts) >= 5
     at = F.when(label == 1, F.unix_micros(F.col(spec.ts).cast("timestamp")))
     cells = [c for c in df.columns if c not in spec.keys]
-    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in cells])
+    nulls = _missing_cells(df, cells)
     hourly = df.groupBy(*spec.keys, F.hour(spec.ts).alias("_hour")).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum(nulls).alias("_nulls"),
@@ -185,7 +187,7 @@ def quality_report(df: DataFrame, spec: Series = Series()) -> DataFrame:
 def dataset_report(df: DataFrame, spec: Series = Series()) -> DataFrame:
     """Rows, time span, class counts and ratios, mean, min, max, population std per series."""
     anomalies = F.sum((F.col(spec.label) == 1).cast("int"))
-    rows, v = F.count(F.lit(1)), spec.value
+    rows, v = F.count(F.lit(1)), finite(spec.value)
     return df.groupBy(*spec.keys).agg(
         rows.alias("n_total"),
         F.min(spec.ts).alias("first_ts"),
@@ -218,9 +220,9 @@ def trailing_range(df: DataFrame, hours: float, ts: str = "ts") -> DataFrame:
 
 def label_summary(df: DataFrame, columns: list[str], spec: Series = Series(), by: list[str] | None = None) -> DataFrame:
     """Rows, missing values over `columns` and label mean, by split when `by` names one."""
-    missing = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in columns])
+    cells = _missing_cells(df, columns)
     return df.groupBy(*(by or [])).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.sum(missing).alias("n_missing"),
+        F.sum(cells).alias("n_missing"),
         F.avg(spec.label).alias("label_mean"),
     )

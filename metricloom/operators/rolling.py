@@ -268,7 +268,7 @@ def rolling_counts(
 
 
 def high_usage_counts(src, threshold: float = 80, spec: Series = Series(), **kw) -> DataFrame:
-    return rolling_counts(src, {"high_usage_streak": flag(F.col(spec.value) > threshold)}, spec=spec, **kw)
+    return rolling_counts(src, {"high_usage_streak": flag(nan_to_null(spec.value) > threshold)}, spec=spec, **kw)
 
 
 def anomaly_counts(src, agreement: str = "algorithm_agreement", spec: Series = Series(), **kw) -> DataFrame:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from metricloom.functions.scalar import position
+from metricloom.functions.scalar import nan_to_null, position
 from metricloom.operators.quality import trailing_range
 from metricloom.plans.attach import attach, row_hash
 from metricloom.plans.ordered import IDX, PART, RN, Ordered, order_series
@@ -16,13 +16,14 @@ from metricloom.series import Series
 def fill_chain(
     src: DataFrame | Ordered, columns: list[str], spec: Series = Series(), parts: int | None = None
 ) -> DataFrame:
-    """Forward fill, then backward fill, then 0, per series in time order."""
+    """Forward fill, then backward fill, then 0, per series in time order; null and NaN are filled."""
     ordered = order_series(src, spec, parts)
     payload = [c for c in ordered.rows.columns if c not in (PART, IDX)]
+    kinds = dict(ordered.rows.dtypes)
+    present = {c: nan_to_null(c) if kinds[c] in ("float", "double") else F.col(c) for c in columns}
     filled = ordered.running(
-        {f"_ff_{c}": ("last", F.col(c)) for c in columns} | {f"_bf_{c}": ("next", F.col(c)) for c in columns}
+        {f"_ff_{c}": ("last", v) for c, v in present.items()} | {f"_bf_{c}": ("next", v) for c, v in present.items()}
     )
-    kinds = dict(ordered.rows.dtypes)
     values = {c: F.coalesce(F.col(f"_ff_{c}"), F.col(f"_bf_{c}"), F.lit(0).cast(kinds[c])) for c in columns}
     return filled.select(*[values[c].alias(c) if c in values else F.col(c) for c in payload])
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from metricloom.plans.workspace import materialize
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_GROUPS = 10_000
 SPREAD = 4_096
 
@@ -29,6 +31,39 @@ def row_hash(rows: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString()])
 
 
+def _held_bytes(c: Column, kind: DataType) -> Column:
+    """Bytes that a value takes in memory: its content and eight for itself."""
+    own = F.lit(8)
+    if isinstance(kind, (StringType, BinaryType)):
+        content = F.octet_length(c)
+    elif isinstance(kind, ArrayType):
+        content = F.aggregate(c, F.lit(0).cast("long"), lambda s, x: s + _held_bytes(x, kind.elementType))
+    elif isinstance(kind, MapType):
+        content = _held_bytes(F.map_entries(c), ArrayType(StructType().add("key", kind.keyType).add("value", kind.valueType)))
+    elif isinstance(kind, StructType):
+        content = reduce(lambda a, b: a + b, [_held_bytes(c[f.name], f.dataType) for f in kind.fields], F.lit(0))
+    else:
+        return own.cast("long")
+    return (own + F.coalesce(content, F.lit(0))).cast("long")
+
+
+def measured(table: DataFrame) -> tuple[int, int]:
+    """Rows of a written table and the bytes they take in memory, in one pass over it."""
+    width = reduce(lambda a, b: a + b, [_held_bytes(F.col(f"`{f.name}`"), f.dataType) for f in table.schema.fields], F.lit(16))
+    return tuple(table.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first())
+
+
+def join_side(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """The table with a broadcast hint if it has at most `rows` rows and `size` bytes, and whether it has.
+
+    Spark judges a written table by its compressed files, so one beyond `size` is hinted to be sorted and merged.
+    """
+    n, held = measured(table)
+    if n <= rows and held <= size:
+        return F.broadcast(table), True
+    return (table.hint("merge") if held > size else table), False
+
+
 def attach(
     rows: DataFrame,
     table: DataFrame,
@@ -40,19 +75,18 @@ def attach(
 ) -> DataFrame:
     """Left-join `table` (unique on `on`) to `rows`.
 
-    Up to `broadcast_rows` counted rows, the table is broadcast. Beyond that, `weight` (rows per
+    Up to `broadcast_rows` counted rows and BROADCAST_BYTES measured bytes, the table is broadcast. Beyond that, `weight` (rows per
     group) singles out the groups holding more than 1/HOT_GROUPS of all rows: there can be at most
-    HOT_GROUPS of them, so they are broadcast, and only the other groups are shuffled by `on`.
+    HOT_GROUPS of them, and they are broadcast while their bytes fit; only the other groups are shuffled by `on`.
     Rows that found a hot group get a salt, which spreads them over all join tasks; they match
     nothing there and pass through. The salt hashes the row's own columns (or `spread`), so a task
     that runs again sends its rows to the same places.
     """
     if not written:
         table = materialize(table, "attach")
-    if table.count() <= broadcast_rows:
-        return null_safe_join(rows, F.broadcast(table), on)
-    if weight is None:
-        return null_safe_join(rows, table, on)
+    side, small = join_side(table, broadcast_rows)
+    if small or weight is None:
+        return null_safe_join(rows, side, on)
 
     added = [c for c in table.columns if c not in on]
     total = table.agg(F.sum(weight)).first()[0]
@@ -64,7 +98,10 @@ def attach(
     cold = table.filter(~is_hot).select(
         *on, F.struct(*added).alias("_cold"), F.lit(0).alias("_salt")
     )
-    marked = null_safe_join(rows, F.broadcast(hot), on)
+    hot, small = join_side(hot, HOT_GROUPS)
+    if not small:
+        return null_safe_join(rows, side, on)  # wide rows: the skew join of adaptive execution spreads hot groups
+    marked = null_safe_join(rows, hot, on)
     salt = F.xxhash64(spread) if spread is not None else row_hash(rows)
     marked = marked.withColumn(
         "_salt",

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from metricloom.functions.scalar import out_of_range, position
+from metricloom.functions.scalar import finite, out_of_range, position
 from metricloom.operators.quality import trailing_range
 from metricloom.operators.runs import latest_row
 from metricloom.plans.attach import attach, null_safe_join
@@ -117,10 +117,9 @@ def _last_state(spark: SparkSession, folder: str, schema=None) -> DataFrame:
 
 
 def tumbling_columns(spec: Series) -> list:
-    v = F.col(spec.value)
     return [
         F.count(F.lit(1)).alias("n_rows"),
-        F.avg(v).alias("mean"),
+        F.avg(finite(spec.value)).alias("mean"),
         (F.avg((~out_of_range(spec.value)).cast("int")) * 100).alias("validity"),
         F.avg(spec.label).alias("anomaly_ratio"),
     ]
