@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from metricloom.plans.attach import join_side
+
 BLANKS = r"[\x20\x09-\x0D]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -41,8 +43,8 @@ def window_hashes(words: Column, size: int) -> Column:
 
 
 def bounded_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; beyond `most` rows Spark picks a shuffled join.
+    """Hint a broadcast only after counting rows and measuring bytes; beyond the bounds the join is shuffled.
 
     `df` should be a written table, so that the count reads no text twice.
     """
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    return join_side(df, most)[0]

@@ -18,9 +18,11 @@ a class that is not empty are candidates; one with more than SPARE empty classes
 bands, a document near the lower end of one belongs to the band below as well. The components of the candidates are
 the first regions: no link leaves one.
 
-Scale: equal sets are one node before anything is compared. Keys are as many as a ninth to a fifth of the shingles. A
-candidate is linked with the least node of its key only, so hot keys make stars, not pairs. Sets are computed again
-for candidates only, and a region's documents meet by tiles of `region_bytes`; nothing is collected.
+Scale: equal sets are one node before anything is compared. Keys are as many as a ninth to a fifth of the shingles, and
+cross one exchange. A batch of documents sends each key once, for the first document that has it, and names that one as
+the lead of the others, as later each key's rows name the least of them; so hot keys make stars, not pairs, and come as
+one row per batch. Sets are computed again for candidates only, and a region's documents meet by tiles of
+`region_bytes`; nothing is collected.
 
 Defined results: null and blank texts have an empty set and component of their own doc_id; texts with fewer words than
 a shingle have one shingle, the whole sequence; repeated rows repeat; rows that share a doc_id share a component; a
@@ -36,7 +38,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from metricloom.llm.common import bounded_broadcast, text_of
 from metricloom.llm.components import components
@@ -46,7 +48,7 @@ from metricloom.plans.workspace import materialize
 
 SHINGLE_WORDS, PERCENT = 3, 90
 SPARE, BAND = 2, 1.5
-REGION_BYTES = 8 << 20
+REGION_BYTES = 1 << 20
 PIVOTS = 16
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -124,32 +126,57 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(np.cumsum([0, *map(len, arrays)], dtype=np.int32), pa.array(flat))
 
 
+def _stars(docs: np.ndarray, sets: list[np.ndarray], names: np.ndarray, percent: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each document of a batch the keys that it is the first to have, and the first ones that it shares others with."""
+    n = len(docs)
+    _, first = np.unique(names, axis=0, return_index=True)
+    lone = np.isin(np.arange(n), first)
+    made = [signature_keys(s, percent) if own else np.zeros(0, np.uint64) for s, own in zip(sets, lone)]
+    flat, row = np.concatenate([np.zeros(0, np.uint64), *made]), np.repeat(np.arange(n), [len(k) for k in made])
+    _, lead_at, where = np.unique(flat, return_index=True, return_inverse=True)
+    lead = row[lead_at[where]]
+    mine = lead == row
+    pairs = np.unique(np.stack((row[~mine], lead[~mine])), axis=1)
+    held = np.searchsorted(row[mine], np.arange(n + 1))
+    with_first = np.searchsorted(pairs[0], np.arange(n + 1))
+    keys = [flat[mine][a:b] for a, b in zip(held[:-1], held[1:])]
+    leads = [docs[pairs[1][a:b]] for a, b in zip(with_first[:-1], with_first[1:])]
+    _, of = np.unique(names, axis=0, return_inverse=True)
+    for i in np.flatnonzero(~lone):
+        leads[i] = docs[[first[of.ravel()[i]]]]
+    return keys, leads
+
+
 def _described(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
-    """(doc_id, n, a, b, keys) per document; a and b stand for its set."""
+    """(doc_id, n, a, b, keys, leads) per document; a and b stand for its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(batch.column(1), size)
             names = np.array([_identity(s) for s in sets], np.int64).reshape(-1, 2)
+            keys = [np.zeros(0, np.uint64)] * len(sets)
+            leads = list(keys)
+            known = np.flatnonzero(batch.column(0).is_valid().to_numpy(zero_copy_only=False) & (np.array([len(s) for s in sets]) > 0))
+            if len(known):
+                ids = batch.column(0).take(pa.array(known)).to_numpy()
+                for i, k, f in zip(known, *_stars(ids, [sets[i] for i in known], names[known], percent)):
+                    keys[i], leads[i] = k, f.view(np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0]), pa.array(names[:, 1]),
-                 _lists([signature_keys(s, percent) for s in sets])],
-                ["doc_id", "n", "a", "b", "keys"],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0]), pa.array(names[:, 1]), _lists(keys), _lists(leads)],
+                ["doc_id", "n", "a", "b", "keys", "leads"],
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("t"))
-    return rows.mapInArrow(run, "doc_id long, n long, a long, b long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, n long, a long, b long, keys array<long>, leads array<long>")
 
 
-def candidate_regions(nodes: DataFrame) -> DataFrame:
-    """(node, region) for the nodes that share a key with another one; `nodes` has node and keys."""
-    rows = nodes.select("node", F.explode("keys").alias("key"))
-    leads = materialize(
-        rows.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead < last").select("key", "lead"),
-        "leads",
-    )
-    stars = rows.join(bounded_broadcast(leads), "key").filter("node > lead")
-    roots = materialize(components(stars.select(F.col("node").alias("a"), F.col("lead").alias("b"))), "regions")
+def candidate_regions(sets: DataFrame) -> DataFrame:
+    """(node, region) for the documents that share a key with another one; `sets` has doc_id, keys and leads."""
+    rows = sets.select(F.col("doc_id").alias("node"), F.explode("keys").alias("key"))
+    stars = rows.withColumn("lead", F.min("node").over(Window.partitionBy("key"))).filter("node > lead").select("node", "lead")
+    linked = stars.union(sets.select("doc_id", F.explode("leads"))).toDF("node", "lead").filter("node <> lead")
+    roots = components(linked.select(F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")))
+    roots = materialize(roots, "regions")
     return roots.select("node", F.col("root").alias("region")).union(roots.select("root", "root").distinct())
 
 
@@ -365,14 +392,11 @@ def jaccard_components(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) per document; the component is the smallest doc_id reachable by links."""
     sets = materialize(_described(docs, doc_id, text, size, percent), "sets")
-    nodes = materialize(
-        sets.filter("n > 0").groupBy("a", "b").agg(
-            F.min("doc_id").alias("node"), F.min_by("keys", "doc_id").alias("keys"), F.count(F.lit(1)).alias("copies")
-        ), "nodes",
-    )
-    named = nodes.filter("node IS NOT NULL")
-    regions = candidate_regions(named)
-    members = materialize(named.select("node", "a", "b").join(regions, "node"), "members")
+    copies = F.count(F.lit(1)).alias("copies")
+    nodes = materialize(sets.filter("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("node"), copies), "nodes")
+    members = materialize(nodes.select("node", "a", "b").join(candidate_regions(sets), "node"), "members")
+    several = materialize(members.groupBy("region").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most"), "several")
+    members = materialize(members.join(bounded_broadcast(several.select("region")), "region", "left_semi"), "members")
     rows = materialize(_member_sets(docs, members, doc_id, text, size), "rows")
     roots = components(region_links(rows, percent, region_bytes))
     nodes = nodes.select("a", "b", F.col("node").alias("n_"), "copies").join(roots, F.col("n_") == F.col("node"), "left").select(

@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency.
 
 Lines are normalised (lower case, digit runs to 0, white space to one space) and hashed. A line is boilerplate on a
-host if it stands in more than `min_texts` distinct texts there and in more than `percent` % of the host's distinct
-texts. Boilerplate lines are removed; a document that keeps less than `keep_percent` % of its word characters is
+host if it stands in more than `percent` % of the host's distinct texts; the share decides, and a line needs only the
+few texts (`min_texts`) without which a share says nothing. Boilerplate lines are removed; a document that keeps less than `keep_percent` % of its word characters is
 depleted and rejected. Exact copies of a text count once, so that copies of a clean article do not make its lines
 boilerplate.
 
@@ -23,7 +23,7 @@ from metricloom.llm.common import BLANK_CHARS, BLANKS, text_of, window_hashes, w
 from metricloom.plans.attach import attach
 from metricloom.plans.workspace import materialize
 
-MIN_TEXTS, PERCENT, KEEP_PERCENT = 20, 5, 30
+MIN_TEXTS, PERCENT, KEEP_PERCENT = 3, 5, 30
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = "#*$%&|<>"
 
@@ -54,7 +54,7 @@ def common_lines(
         lines.distinct()
         .groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_n"))
     )
-    per_line = materialize(per_line.filter(F.col("_line").isNull() | (F.col("_n") > min_texts)), "lines")
+    per_line = materialize(per_line.filter(F.col("_line").isNull() | (F.col("_n") >= min_texts)), "lines")
     hosts = per_line.filter("_line IS NULL").select(F.col("_host").alias("_of"), F.col("_n").alias("_texts"))
     above = F.col("_n") * 100 > F.col("_texts") * percent
     return (

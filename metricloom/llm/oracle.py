@@ -16,7 +16,7 @@ plain AS (
 hosts AS (SELECT source, count(DISTINCT t) AS texts FROM docs GROUP BY source),
 common AS (
   SELECT source, p FROM plain JOIN hosts USING (source) WHERE p <> ''
-  GROUP BY source, p, texts HAVING count(DISTINCT t) > 20 AND count(DISTINCT t) * 100 > texts * 5),
+  GROUP BY source, p, texts HAVING count(DISTINCT t) >= 3 AND count(DISTINCT t) * 100 > texts * 5),
 kept AS (
   SELECT r, coalesce(sum(length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g'))) FILTER (common.p IS NULL), 0)::BIGINT AS kept_chars,
     (count(*) FILTER (plain.p <> '') - count(DISTINCT line) FILTER (plain.p <> ''))::BIGINT AS n_dup_lines
@@ -39,11 +39,12 @@ FROM base
 
 CONTAINMENT = r"""
 WITH dw AS (SELECT DISTINCT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM dw)),
-iw AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
-shingles AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
-             FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM iw)),
+iw AS (SELECT item_id, least(len(w), 5) AS k, w FROM (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT item_id, array_to_string(w[i:i + k - 1], ' ') AS s
+             FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM iw)),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)),
 sizes AS (SELECT item_id, count(*) AS m FROM shingles GROUP BY item_id)
 SELECT doc_id, item_id, m::BIGINT AS n_shingles, count(*)::BIGINT AS n_shared
 FROM ds JOIN shingles USING (s) JOIN sizes USING (item_id)

@@ -1,12 +1,19 @@
 """Main text of web pages by tree scoring.
 
 Paragraphs pass points for their length and commas to their ancestors, discounted by the share of link text: all to the
-parent, half to the grandparent, less beyond. The container with the most points, and siblings of it that score near
-it, are the article; an `article` element around the best container stands for it. Elements that never hold article
-text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are left out beforehand, by
-tag, role and words in class or id.
+parent, half to the grandparent, a third of what came from below at each level beyond. The container with the most
+points, and siblings of it that score near it, are the article; an `article` element around the best container stands
+for it. Elements that never hold article text by their tag or role (menus, footers, sidebars, scripts, hidden ones) are
+left out beforehand.
 
-Scale: a page is one row and one call; Arrow batches stream through without a shuffle.
+Words in class or id (`sidebar`, `comments`, `share`) and forms only weigh: they lower the points that pass through an
+element. The container with the most points so weighed is the core, and no element around it is left out, whatever its
+words. Elsewhere a suspicious element goes, unless it has the class of one around the core; those inside the core go if
+they are mostly links, or unless they hold nearly all of its text (half of it where the word is only part of a longer
+class). Then the rest is scored once more.
+
+Scale: a page is one row and one call, linear in its length, as points rise from children to parents once; Arrow
+batches stream through without a shuffle.
 
 Defined results: null and blank html give empty text; cut-off pages end where they end; unclosed elements close with
 their parents; repeated rows give repeated rows; other columns are ignored.
@@ -31,7 +38,7 @@ BLOCK = set(
     "h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 LEFT_OUT = set(
-    "script style noscript template head title nav footer aside form button select textarea input iframe object embed "
+    "script style noscript template head title nav footer aside button select textarea input iframe object embed "
     "svg canvas audio video menu dialog noembed noframes xmp".split()
 )
 LEFT_OUT_WORDS = set(
@@ -40,27 +47,37 @@ LEFT_OUT_WORDS = set(
     "gdpr notice notices alert popup modal overlay subscribe subscription newsletter signup login share sharing social "
     "related recommended widget toolbar pagination pager hidden".split()
 )
-LEFT_OUT_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+LEFT_OUT_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 TITLE_OF = {"article", "post", "entry", "story"}
+ITEMS = set("p pre li td blockquote h1 h2 h3 h4 h5 h6".split())
+NAMED, ALLUDED = 0.1, 0.5  # weights of elements with such a word as a whole class or id, and inside a longer one
+LINKS = 0.5  # share of link text that marks a list of links
+MOST_NAMED, MOST = 0.9, 0.5  # shares of the core's text above which such elements are no by-matter
 FOR_TEXT = {"article", "content", "post", "entry", "story", "main", "text", "body"}
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*(?:>|\Z)""", re.S)
 _MARKED = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_WORD = re.compile(r"[a-z0-9]+")
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _LISTS = {"ul", "ol", "dl", "table", "select"}
 
 
 class Node:
-    __slots__ = ("tag", "marks", "parent", "parts", "score")
+    __slots__ = ("tag", "marks", "parent", "parts", "score", "in_article", "out", "gone", "chars", "linked", "direct", "near", "far", "full")
 
     def __init__(self, tag: str, attributes: str = "", parent: "Node | None" = None):
-        self.tag, self.parent, self.parts, self.score = tag, parent, [], 0.0
+        self.tag, self.parent, self.parts = tag, parent, []
         self.marks = {m[0].lower(): (m[1] or "").strip("\"'").lower() for m in _MARKED.findall(attributes)} if attributes else {}
+        self.in_article = parent is not None and (parent.in_article or parent.tag == "article")
+        self.out, self.gone = self.never_article(), False
+
+    def tokens(self) -> list[str]:
+        return f"{self.marks.get('class', '')} {self.marks.get('id', '')}".split()
 
     def words(self) -> set[str]:
-        return set(re.findall(r"[a-z0-9]+", f"{self.marks.get('class', '')} {self.marks.get('id', '')}"))
+        return set(_WORD.findall(" ".join(self.tokens())))
 
-    def left_out(self) -> bool:
+    def never_article(self) -> bool:
         if self.tag in ("html", "body", "main"):
             return False
         m = self.marks
@@ -68,23 +85,25 @@ class Node:
             return True
         if re.search(r"display\s*:\s*none", m.get("style", "")):
             return True
-        if self.tag == "header":
-            return not self.inside("article")
-        words = self.words()
-        bad = words & LEFT_OUT_WORDS
-        return bool(bad) and not (bad == {"header"} and words & TITLE_OF)
+        return self.tag == "header" and not self.in_article
 
-    def inside(self, tag: str) -> bool:
-        up = self.parent
-        while up is not None and up.tag != tag:
-            up = up.parent
-        return up is not None
+    def weight(self) -> float:
+        return 1.0 if not self.suspicious() else NAMED if LEFT_OUT_WORDS & set(self.tokens()) else ALLUDED
 
+    def suspicious(self, known: set[str] = frozenset()) -> bool:
+        """A form, or words of what is no article in a class or id that is not among the `known` ones."""
+        if self.tag in ("html", "body", "main"):
+            return False
+        if self.tag == "form" or self.marks.get("role") == "form":
+            return True
+        bad = {w for t in self.tokens() if t not in known for w in _WORD.findall(t)} & LEFT_OUT_WORDS
+        return bool(bad) and not (bad == {"header"} and (self.in_article or self.words() & TITLE_OF))
 
-def parse(page: str) -> Node:
-    """Element tree; parts of a node are nodes and raw strings in page order."""
+
+def parse(page: str) -> list[Node]:
+    """Elements, parents before children, the root first; parts of a node are nodes and raw strings in page order."""
     root = here = Node("html")
-    at = 0
+    nodes, at = [root], 0
     while m := _TAG.search(page, at):
         if m.start() > at:
             here.parts.append(page[at : m.start()])
@@ -109,6 +128,7 @@ def parse(page: str) -> Node:
             continue
         node = Node(tag, m[3], here)
         here.parts.append(node)
+        nodes.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -116,7 +136,7 @@ def parse(page: str) -> Node:
             here = node
     if at < len(page):
         here.parts.append(page[at:])
-    return root
+    return nodes
 
 
 def blocks(node: Node) -> Iterator[tuple[Node, str, int]]:
@@ -147,7 +167,7 @@ def blocks(node: Node) -> Iterator[tuple[Node, str, int]]:
                 linked += len(text.strip()) if in_link else 0
             elif part.tag == "br":
                 pieces.append(" ")
-            elif not part.left_out():
+            elif not part.out and not part.gone:
                 stack.append((here, k, in_link, False))
                 stack.append((part, 0, in_link or part.tag == "a", False))
                 break
@@ -159,21 +179,91 @@ def blocks(node: Node) -> Iterator[tuple[Node, str, int]]:
                     owner = owner.parent
 
 
-def main_text(page: str) -> str:
-    found = list(blocks(parse(page)))
-    scored: dict[int, Node] = {}
+def score(nodes: list[Node], found: list[tuple[Node, str, int]], weigh: bool) -> None:
+    """Points of every node, children before parents; `weigh` lowers those of suspicious elements."""
+    for n in nodes:
+        n.direct = n.near = n.far = 0.0
+        n.full = False
     for owner, text, linked in found:
-        points = (min(len(text) / 100, 3.0) + text.count(",") + (len(text) >= 25)) * (1 - min(1.0, linked / len(text)))
-        up, level = owner if owner.tag not in ("p", "pre", "li", "td", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6") else owner.parent, 0
-        while up is not None:
-            if id(up) not in scored:
-                scored[id(up)] = up
-                up.score = 25.0 * (up.tag in ("article", "main") or bool(up.words() & FOR_TEXT))
-            up.score += points / (1, 2)[level] if level < 2 else points / (3 * level)
-            up, level = up.parent, level + 1
-    if not scored:
+        holder = owner if owner.tag not in ITEMS or owner.parent is None else owner.parent
+        holder.direct += (min(len(text) / 100, 3.0) + text.count(",") + (len(text) >= 25)) * (1 - min(1.0, linked / len(text)))
+        holder.full = True
+    for n in reversed(nodes):
+        weight = n.weight() if weigh and n.full else 1.0
+        n.score = (n.direct + n.near + n.far) * weight
+        if n.parent is not None:
+            n.parent.near += n.direct * weight / 2
+            n.parent.far += (n.near + n.far) * weight / 3
+            n.parent.full |= n.full
+
+
+def measure(nodes: list[Node]) -> None:
+    """Characters of text outside links, and inside them, below every node."""
+    for n in nodes:
+        n.chars = n.linked = 0
+    inside: dict[int, bool] = {}
+    for n in nodes:
+        inside[id(n)] = link = n.tag == "a" or n.parent is not None and inside[id(n.parent)]
+        size = sum(len(html.unescape(p).strip()) for p in n.parts if isinstance(p, str))
+        if link:
+            n.linked = size
+        else:
+            n.chars = size
+    for n in reversed(nodes):
+        if n.out:
+            n.chars = n.linked = 0
+        elif n.parent is not None:
+            n.parent.chars += n.chars
+            n.parent.linked += n.linked
+
+
+def leave_out(nodes: list[Node], core: Node) -> None:
+    """Marks the suspicious elements that go."""
+    around, up = set(), core
+    known: set[str] = set()
+    while up is not None:
+        around.add(id(up))
+        known |= {*up.tokens()}
+        up = up.parent
+    inside: dict[int, bool] = {}
+    held: dict[int, bool] = {}  # inside an element that is on the list already
+    inner = []
+    for n in nodes:
+        above = n.parent is not None and held[id(n.parent)]
+        inside[id(n)] = n is core or n.parent is not None and inside[id(n.parent)]
+        held[id(n)] = above
+        if above or id(n) in around or not n.suspicious(known):
+            continue
+        held[id(n)] = True
+        if inside[id(n)] and n.linked <= (n.chars + n.linked) * LINKS:
+            inner.append(n)
+        else:
+            n.gone = True
+    rest = core.chars
+    for kind, most in ((NAMED, MOST_NAMED), (ALLUDED, MOST)):
+        some = [n for n in inner if n.weight() == kind]
+        size = sum(n.chars for n in some)
+        if size <= rest * most:
+            rest -= size
+            for n in some:
+                n.gone = True
+
+
+def main_text(page: str) -> str:
+    nodes = parse(page)
+    found = list(blocks(nodes[0]))
+    if any(n.suspicious() for n in nodes):
+        score(nodes, found, weigh=True)
+        measure(nodes)
+        leave_out(nodes, max(nodes, key=lambda n: n.score))
+        found = list(blocks(nodes[0]))
+    score(nodes, found, weigh=False)
+    for n in nodes:
+        n.score += 25.0 * (n.full and (n.tag in ("article", "main") or bool(n.words() & FOR_TEXT)))
+    full = [n for n in nodes if n.full]
+    if not full:
         return ""
-    best = max(scored.values(), key=lambda n: n.score)
+    best = max(full, key=lambda n: n.score)
     around = best
     while around is not None and around.tag != "article":
         around = around.parent
@@ -182,15 +272,11 @@ def main_text(page: str) -> str:
     else:
         enough = max(10.0, best.score * 0.2)
         near = [p for p in best.parent.parts if isinstance(p, Node)] if best.parent is not None else []
-        kept = {id(best)} | {id(n) for n in near if n.tag == "h1" or id(n) in scored and n.score >= enough or n.tag == "p" and not n.left_out()}
-    lines = []
-    for owner, text, _ in found:
-        up = owner
-        while up is not None and id(up) not in kept:
-            up = up.parent
-        if up is not None:
-            lines.append(text)
-    return "\n".join(lines)
+        kept = {id(best)} | {id(n) for n in near if n.tag == "h1" or n.full and n.score >= enough or n.tag == "p" and not n.out}
+    for n in nodes:
+        if n.parent is not None and id(n.parent) in kept:
+            kept.add(id(n))
+    return "\n".join(text for owner, text, _ in found if id(owner) in kept)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

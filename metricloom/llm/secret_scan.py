@@ -1,10 +1,10 @@
 """Secret scans: patterns for known forms, and character Markov models for the rest.
 
 Two first-order models over printable ASCII are trained from labelled samples: the values that the patterns matched in
-the whole corpus are random strings, and the words of `MIN_TOKEN` characters or more that no pattern touches are
-ordinary identifiers. A pair that follows a rare character falls back on the frequency of its second character, and
-that on a uniform one, so the random model is uniform where no pattern matched. A token is secret if its mean log-likelihood ratio per pair exceeds `threshold` bits and it holds a letter and
-a digit.
+the whole corpus are random strings, and the words and numbers of `MIN_TOKEN` characters or more in texts that no pattern
+touches are ordinary identifiers. A pair that follows a rare character falls back on the frequency of its second character, and
+that on a uniform one, so the random model is uniform where no pattern matched. A token is secret if its mean log-likelihood
+ratio per pair exceeds `threshold` bits, or `lone` bits where it has no digit or no letter and so tells less.
 
 Everything is built from column expressions. Positions come from the pieces between matches: `split` and
 `regexp_extract_all` with one pattern give text, match, text, match, ... and running lengths give code-point offsets.
@@ -19,6 +19,7 @@ by `secret_spans` and kept by `redact`.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,31 +36,54 @@ KINDS = ("assign", "access", "hex", "markov")
 MIN_VALUE = 6
 TOKEN = r"[A-Za-z0-9+/_-]{16,}"
 TOKEN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-MIN_TOKEN, THRESHOLD_BITS, PRIOR = 8, 0.5, 20
+MIN_TOKEN, THRESHOLD_BITS, LONE_BITS, PRIOR = 8, 0.5, 1.0, 20
+BLOCK = 64  # elements per step of a running value
 _FIRST, _SYMBOLS = 32, 96
 
 
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _cut(values: Column, block: int = BLOCK) -> Column:
+    """The array as arrays of `block` elements."""
+    last = F.floor((F.greatest(F.size(values), F.lit(1)) - 1) / block).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(values, c * block + 1, block))
+
+
+def before(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each int of an array the merged ints before it, 0 for the first; `merge` is associative.
+
+    An aggregate that appends to an array copies it at every step, so blocks are merged by themselves and moved by what
+    lies before them: the cost stays near linear.
+    """
+    start = lambda: F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+    walk = lambda some, at: F.aggregate(
+        some, start(), lambda s, x: F.struct(merge(s["at"], at(x)).cast("int").alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+    )
+    blocks = lambda v: F.transform(_cut(v), lambda some: walk(some, lambda x: x))
+    moved = lambda done: F.flatten(
+        F.zip_with(done, walk(done, lambda d: d["at"])["out"], lambda d, first: F.transform(d["out"], lambda x: merge(first, x).cast("int")))
+    )
+    return _with(values, lambda v: _with(blocks(v), moved))
+
+
 def located(text: Column, pattern: str) -> Column:
     """Matches in order as structs (start, end, value), offsets in code points."""
     between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    lengths = F.transform(
-        F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("hit")),
-        lambda x: F.struct(F.length(x["gap"]).alias("gap"), x["hit"].alias("hit")),
-    )
     empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
-    walked = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + F.length(x["hit"])).alias("at"),
-            F.concat(
-                s["spans"],
-                F.array(F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + F.length(x["hit"])).alias("end"),
-                                 x["hit"].alias("value"))),
-            ).alias("spans"),
-        ),
-    )["spans"]
-    return F.when(F.size(found) > 0, walked).otherwise(empty)
+
+    def placed(x: Column) -> Column:
+        gaps = F.transform(F.slice(x["between"], 1, F.size(x["found"])), lambda g: F.length(g))
+        sizes = F.zip_with(gaps, x["found"], lambda g, hit: g + F.length(hit))
+        rows = F.arrays_zip(gaps.alias("gap"), x["found"].alias("hit"), before(sizes, lambda a, b: a + b).alias("at"))
+        return F.transform(rows, lambda r: F.struct(
+            (r["at"] + r["gap"]).alias("start"), (r["at"] + r["gap"] + F.length(r["hit"])).alias("end"), r["hit"].alias("value")
+        ))
+
+    spans = _with(F.struct(between.alias("between"), found.alias("found")), placed)
+    return F.when(text.rlike(pattern), spans).otherwise(empty)
 
 
 def _base(rows: DataFrame) -> DataFrame:
@@ -90,7 +114,7 @@ def train_models(docs: DataFrame, text: str = "text") -> list[float]:
     marked = F.size("_assign") + F.size("_access") + F.size("_hex") > 0
     words = F.filter(
         F.regexp_extract_all(F.col("_t"), F.lit(r"[A-Za-z0-9+/_-]{%d,}" % MIN_TOKEN), F.lit(0)),
-        lambda w: ~w.rlike("[0-9]"),
+        lambda w: ~w.rlike("[0-9]") | ~w.rlike("[A-Za-z]"),
     )
     samples = rows.select(
         F.explode(
@@ -134,13 +158,16 @@ def token_score(token: Column, table: Column) -> Column:
     return total / (F.length(token) - 1)
 
 
-def scan(docs: DataFrame, ratios: list[float], text: str = "text", threshold: float = THRESHOLD_BITS) -> DataFrame:
+def scan(
+    docs: DataFrame, ratios: list[float], text: str = "text", threshold: float = THRESHOLD_BITS, lone: float = LONE_BITS
+) -> DataFrame:
     """The input's rows as the struct `_row`, the text `_t` and `_spans` (start, kind number, end) in order."""
     rows = _base(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text_of(text).alias("_t")))
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")  # folded to one constant
     tokens = F.filter(
         located(F.col("_t"), TOKEN),
-        lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]") & (token_score(x["value"], table) > threshold),
+        lambda x: token_score(x["value"], table)
+        > F.when(x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]"), F.lit(threshold)).otherwise(F.lit(lone)),
     )
     rows = rows.withColumn("_markov", tokens)
     span = lambda k: lambda x: F.struct(x["start"].alias("start"), F.lit(k).alias("kind"), x["end"].alias("end"))
@@ -170,16 +197,20 @@ def redact(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD_BIT
     """The documents with every span, overlapping ones merged, replaced by `mark`; a null text stays null."""
     found = scan(docs, train_models(docs, text), text, threshold)
     t = F.col("_t")
-    state = F.aggregate(
-        "_spans",
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts")),
-        lambda s, x: F.when(x["start"] < s["at"], F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["parts"].alias("parts"))).otherwise(
-            F.struct(
-                x["end"].alias("at"),
-                F.concat(s["parts"], F.array(F.concat(F.substring(t, s["at"] + 1, x["start"] - s["at"]), F.lit(mark)))).alias("parts"),
-            )
-        ),
-    )
-    clean = F.concat(F.array_join(state["parts"], ""), F.substring(t, state["at"] + 1, F.length(t)))
+    ends = F.transform("_spans", lambda x: x["end"])
+    found = found.withColumn("_covered", before(ends, lambda a, b: F.greatest(a, b)))  # text up to here is dealt with
+    spans = F.zip_with("_spans", "_covered", lambda x, c: F.struct(c.alias("from"), x["start"].alias("start"), x["end"].alias("end")))
+    found = found.withColumn("_blocks", _cut(spans))
+
+    def pieces(block: Column) -> Column:
+        """The text before each span and its mark; cut from the block's part of the text, as cutting counts from its start."""
+        first = F.get(block, F.lit(0))["from"]
+        last = F.array_max(F.transform(block, lambda x: x["start"]))
+        return _with(F.substring(t, first + 1, F.greatest(last - first, F.lit(0))), lambda part: F.array_join(F.transform(
+            block, lambda x: F.when(x["start"] >= x["from"], F.concat(F.substring(part, x["from"] - first + 1, x["start"] - x["from"]), F.lit(mark))).otherwise("")
+        ), ""))
+
+    rest = F.array_max(F.transform("_spans", lambda x: x["end"]))
+    clean = F.concat(F.array_join(F.transform("_blocks", pieces), ""), F.substring(t, rest + 1, F.length(t)))
     changed = F.when(F.size("_spans") > 0, clean).otherwise(F.col(f"_row.`{text}`"))
     return found.select(*[(changed if c == text else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

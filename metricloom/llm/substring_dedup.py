@@ -14,11 +14,17 @@ one run of bytes. Equal strings therefore meet in one shard, whatever documents
 Scale: one shuffle of runs, packed per shard and compressed, and one of covered ranges. Runs that repeat inside a task
 are sent for the least document of the task only (the others are covered already), so a passage in a third of all rows
 sends one run per task for its inside. The runs over its edges hold bytes of their own documents and all differ: a
-minimizer with more run bytes than two shards of text is hot, and its runs are cut into their single strings, which go
-to shards by a hash of the whole string, so equal ones still meet. Hot minimizers are found first, by partial sums over
-buckets of minimizers and a sample of the text's blocks; which ones are taken for hot moves strings between shards and
-never changes the result. Shards are about `SHARD_BYTES` of text each. A document of any length is cut into segments that
-overlap by `length - 1` bytes. The ranges of a document are bounded by its length.
+minimizer with more run bytes than `hot_bytes` is hot, and its runs are cut into their single strings, which go to
+shards by a hash of the whole string, so equal ones still meet. Hot minimizers are found first, by partial sums over the
+minimizers of sampled blocks of text, so few that a hot one still has some thousand strings among them; which ones are
+taken for hot moves strings between shards and never changes the result. What a task holds of this is bounded by its
+own text, and the hot ones are a sorted list of at most 4 / 3 of the text's bytes over `hot_bytes`.
+
+A shard is a task's work: `PARTS` parts of about `SHARD_BYTES` of text, each sorted by itself. Each chunk of text packs
+one blob per shard; the exchange has as many partitions as there are shards, MOST_TASKS at most, where a task works
+shard after shard. From some terabytes on, a chunk has fewer runs than there are shards, and a blob holds one run. A
+document of any length is cut into segments that overlap by `length - 1` bytes. The ranges of a document are bounded by
+its length.
 
 Defined results: null texts are empty; texts shorter than `length` stay; rows with one doc_id count as one document, are
 never repeats of each other, and what one of them loses by its ranges is taken from its own bytes; rows with a null
@@ -40,7 +46,8 @@ from metricloom.llm.common import text_of
 from metricloom.llm.suffix_array import permuted_common_prefixes, shard_text, suffix_array
 
 LENGTH, GRAM, SHARD_BYTES, SEGMENT, CHUNK, PACK_LEVEL = 50, 12, 8 << 20, 1 << 20, 4 << 20, 6
-SAMPLE, BLOCK, BUCKETS_PER_SHARD, LEAST_BUCKETS = 8, 16 << 10, 64, 1 << 16
+PARTS, MOST_TASKS = 2, 20_000
+BLOCK, SAMPLED_STRINGS = 16 << 10, 1_024
 _POS_BITS = np.uint64(24)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -112,20 +119,31 @@ def _later_copies(data: np.ndarray, first: np.ndarray, size: np.ndarray, doc: np
     return later[_same_bytes(data, first[later], first[leader[later]], size[later])]
 
 
-def _pack(doc: np.ndarray, at: np.ndarray, count: np.ndarray, offset: np.ndarray, data: np.ndarray, first: np.ndarray, length: int) -> bytes:
+def _pack(
+    doc: np.ndarray, at: np.ndarray, count: np.ndarray, offset: np.ndarray, data: np.ndarray, first: np.ndarray, length: int, part: np.ndarray
+) -> bytes:
+    """Runs as bytes; `part` ascends."""
     size = count + length - 1
     taken = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
     steps = [np.diff(x.astype(np.int64), prepend=0) for x in (doc, at)]  # small numbers compress better
-    parts = [np.array([len(doc)], np.int64), *steps, count.astype(np.uint8), offset.astype(np.uint8), data[taken]]
+    ends = np.searchsorted(part, np.arange(PARTS), side="right")
+    parts = [np.array([len(doc), *ends], np.int64), *steps, count.astype(np.uint8), offset.astype(np.uint8), data[taken]]
     return zstandard.ZstdCompressor(level=PACK_LEVEL).compress(b"".join(p.tobytes() for p in parts))
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
+def _unpack(blob: bytes, length: int = LENGTH, part: int | None = None) -> tuple[np.ndarray, ...]:
+    """(document, place, strings, offset, bytes) of the runs of one part, or of all."""
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    doc, at = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int64, n, 8 + 8 * n)
-    count, offset = np.frombuffer(raw, np.uint8, n, 8 + 16 * n), np.frombuffer(raw, np.uint8, n, 8 + 17 * n)
-    return doc.cumsum(), at.cumsum(), count.astype(np.int64), offset.astype(np.int64), np.frombuffer(raw, np.uint8, -1, 8 + 18 * n)
+    head = 8 + 8 * PARTS
+    n, *ends = (int(x) for x in np.frombuffer(raw, np.int64, 1 + PARTS))
+    doc, at = np.frombuffer(raw, np.int64, n, head).cumsum(), np.frombuffer(raw, np.int64, n, head + 8 * n).cumsum()
+    count, offset = (np.frombuffer(raw, np.uint8, n, head + k * n).astype(np.int64) for k in (16, 17))
+    data = np.frombuffer(raw, np.uint8, -1, head + 18 * n)
+    if part is None:
+        return doc, at, count, offset, data
+    a, b = ends[part - 1] if part else 0, ends[part]
+    low, high = (int((count[:k] + length - 1).sum()) for k in (a, b))
+    return doc[a:b], at[a:b], count[a:b], offset[a:b], data[low:high].copy()  # a copy lets the rest go
 
 
 def _ranges(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
@@ -146,29 +164,41 @@ def _runs(texts: list[tuple[int, int, bytes]], length: int, gram: int) -> tuple[
     return data, doc, at, first, count, offset, best
 
 
-def _bucket_bytes(texts: list[tuple[int, int, bytes]], buckets: int, length: int, gram: int) -> np.ndarray:
-    """Bytes of the runs that `_chunk` would send, by bucket of minimizers."""
+def _minimizer_bytes(texts: list[tuple[int, int, bytes]], length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(minimizer, bytes of its runs that `_chunk` would send) for the minimizers of some segments."""
     data, doc, _, first, count, _, best = _runs(texts, length, gram)
     size = count + length - 1
     weight = size.astype(float)
     weight[_later_copies(data, first, size, doc)] = 0
-    return np.bincount((best % np.uint64(buckets)).astype(np.int64), weight, buckets)
+    return _summed(best, weight)
+
+
+def _summed(minimizer: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    told, where = np.unique(minimizer, return_inverse=True)
+    return told, np.bincount(where, weight, len(told))
+
+
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Whether each value stands in a sorted list."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
 def _chunk(texts: list[tuple[int, int, bytes]], shards: int, length: int, gram: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Runs of some segments (doc_id, place in the document, bytes), packed per shard, and what is covered already.
 
-    `hot` tells for each bucket of minimizers whether its runs are cut into single strings.
+    The runs of the minimizers in `hot` are cut into single strings.
     """
     data, doc, at, first, count, offset, best = _runs(texts, length, gram)
     size = count + length - 1
     covered = _later_copies(data, first, size, doc)
-    shard = (best % np.uint64(shards)).astype(np.int64)
+    place = best % np.uint64(shards * PARTS)
     sent = np.ones(len(first), bool)
     sent[covered] = False
     if len(covered):
         yield _ranges(doc[covered], at[covered], at[covered] + size[covered], doc[covered] % shards)
-    cut = np.flatnonzero(sent & hot[(best % np.uint64(len(hot))).astype(np.int64)])
+    cut = np.flatnonzero(sent & _among(best, hot))
     if len(cut):
         sent[cut] = False
         step = np.arange(count[cut].sum()) - np.repeat(np.cumsum(count[cut]) - count[cut], count[cut])
@@ -178,18 +208,20 @@ def _chunk(texts: list[tuple[int, int, bytes]], shards: int, length: int, gram:
         covered = _later_copies(data, single[2], size, single[0])
         if len(covered):
             yield _ranges(single[0][covered], single[1][covered], single[1][covered] + length, single[0][covered] % shards)
-        to_shard = (_word_hashes(data, single[2], size) % np.uint64(shards)).astype(np.int64)
+        to_place = _word_hashes(data, single[2], size) % np.uint64(shards * PARTS)
         sent, stay = np.append(sent, np.ones(len(row), bool)), len(sent)
         sent[stay + covered] = False
         doc, at, first, count, offset = (np.append(x, y) for x, y in zip((doc, at, first, count, offset), single))
-        shard = np.append(shard, to_shard)
+        place = np.append(place, to_place)
+    place = place.astype(np.int64)
+    shard, part = place // PARTS, place % PARTS
     to = np.flatnonzero(sent)
-    to = to[np.argsort(shard[to], kind="stable")]
+    to = to[np.argsort(place[to], kind="stable")]
     cuts = np.flatnonzero(np.diff(shard[to], prepend=-1))
     blobs, where = [], []
     for a, b in zip(cuts, np.append(cuts[1:], len(to))):
         rows = to[a:b]
-        blobs.append(_pack(doc[rows], at[rows], count[rows], offset[rows], data, first[rows], length))
+        blobs.append(_pack(doc[rows], at[rows], count[rows], offset[rows], data, first[rows], length, part[rows]))
         where.append(shard[rows[0]])
     none = pa.nulls(len(blobs), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), none, none, none, pa.array(blobs, pa.binary())],
@@ -208,11 +240,13 @@ def _in_two_documents(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def shard_ranges(blobs: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc_id, start, stop) of the covered ranges of one shard."""
-    parts = [_unpack(b) for b in blobs]
+def shard_ranges(blobs: list[bytes], length: int, gram: int, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc_id, start, stop) of the covered ranges of one part of a shard."""
+    parts = [_unpack(b, length, part) for b in blobs]
     doc, at, count, offset, data = (np.concatenate([p[i] for p in parts]) for i in range(5))
     del parts
+    if not len(doc):
+        return doc, at, at
     size = count + length - 1
     begin = np.cumsum(size) - size
     side = (length - gram) // 2  # each string reaches this far to the left of its minimizer, or to the right
@@ -250,53 +284,59 @@ def shard_ranges(blobs: list[bytes], length: int, gram: int) -> tuple[np.ndarray
     return tuple(np.concatenate(x) for x in zip(whole_runs, found))
 
 
-def hot_buckets(rows: DataFrame, total: int, buckets: int, hot_bytes: int, length: int, gram: int, sample: int) -> np.ndarray:
-    """For each bucket of minimizers, whether its runs hold about `hot_bytes` or more, from one of `sample` blocks of text.
+def sampling(hot_bytes: int, length: int) -> int:
+    """One block in how many is looked at, so that SAMPLED_STRINGS strings of a hot minimizer are expected there."""
+    return max(1, hot_bytes // (length * SAMPLED_STRINGS))
 
-    A task reports a bucket if its bytes reach the task's part of a quarter of `hot_bytes`. So at most that quarter is
-    missing in a sum, and a task sends few rows, however many buckets there are.
-    """
+
+def hot_minimizers(rows: DataFrame, hot_bytes: int, length: int, gram: int, sample: int) -> np.ndarray:
+    """The minimizers whose runs hold about `hot_bytes` or more, in order, from one of `sample` blocks of text."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held, size, seen = np.zeros(buckets), [], 0, 0
+        told, found, held, size = np.zeros(0, np.uint64), np.zeros(0), [], 0
+
+        def with_held() -> tuple[np.ndarray, np.ndarray]:
+            new, weight = _minimizer_bytes(held, length, gram)
+            return _summed(np.append(told, new), np.append(found, weight))
+
         for batch in batches:
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = t.as_buffer()
-                seen += len(raw)
                 for place in range(0, len(raw) - length + 1, BLOCK):
                     if sample > 1 and xxhash.xxh64_intdigest(f"{d}:{place}") % sample:
                         continue
                     held.append((d, place, raw[place : place + BLOCK + length - 1].to_pybytes()))
                     size += len(held[-1][2])
                     if size >= CHUNK:
-                        found += _bucket_bytes(held, buckets, length, gram)
+                        told, found = with_held()
                         held, size = [], 0
         if held:
-            found += _bucket_bytes(held, buckets, length, gram)
-        found *= sample
-        told = np.flatnonzero(found >= max(1, hot_bytes / 4 * seen / total))
-        yield pa.RecordBatch.from_arrays([pa.array(told), pa.array(found[told])], ["bucket", "bytes"])
+            told, found = with_held()
+        yield pa.RecordBatch.from_arrays([pa.array(told.view(np.int64)), pa.array(found * sample)], ["minimizer", "bytes"])
+
+    sums = rows.mapInArrow(counted, "minimizer long, bytes double").groupBy("minimizer").agg(F.sum("bytes").alias("bytes"))
+    hot = sums.filter(F.col("bytes") >= hot_bytes * 0.75).select("minimizer").collect()
+    return np.sort(np.array([r.minimizer for r in hot], np.int64).view(np.uint64))
+
 
-    sums = rows.mapInArrow(counted, "bucket long, bytes double").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
-    hot = np.zeros(buckets, bool)
-    hot[[r.bucket for r in sums.filter(F.col("bytes") >= hot_bytes * 0.75).select("bucket").collect()]] = True
-    return hot
+def shards_of(total: int, shard_bytes: int) -> int:
+    return total // (PARTS * shard_bytes) + 16
 
 
 def packed_runs(
     docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
-    hot_bytes: int | None = None, sample: int = SAMPLE,
+    hot_bytes: int | None = None, sample: int | None = None,
 ) -> DataFrame:
     """(shard, doc_id, start, stop, blob): runs packed for their shard, or ranges that are covered already."""
     rows = docs.filter(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("t")
     ).filter(F.octet_length("t") >= length)
     total = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
-    shards = total // shard_bytes + 16
+    shards = shards_of(total, shard_bytes)
     hot_bytes = 2 * shard_bytes if hot_bytes is None else hot_bytes
-    hot = np.zeros(1, bool)
-    if total * length > hot_bytes:  # a run of one string holds `length` bytes, so others have no hot bucket
-        hot = hot_buckets(rows, total, max(LEAST_BUCKETS, BUCKETS_PER_SHARD * shards), hot_bytes, length, gram, sample)
+    hot = np.zeros(0, np.uint64)
+    if total * length > hot_bytes:  # a run of one string holds `length` bytes, so others have no hot minimizer
+        hot = hot_minimizers(rows, hot_bytes, length, gram, sampling(hot_bytes, length) if sample is None else sample)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -312,12 +352,13 @@ def packed_runs(
         if held:
             yield from _chunk(held, shards, length, gram, hot)
 
-    return rows.mapInArrow(cut, "shard int, doc_id long, start long, stop long, blob binary")
+    packed = rows.mapInArrow(cut, "shard int, doc_id long, start long, stop long, blob binary")
+    return packed.repartitionById(min(shards, MOST_TASKS), "shard")
 
 
 def covered_ranges(
     docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
-    hot_bytes: int | None = None, sample: int = SAMPLE,
+    hot_bytes: int | None = None, sample: int | None = None,
 ) -> DataFrame:
     """(doc_id, start, stop) in bytes, overlapping; every byte to remove lies in one of them."""
 
@@ -326,8 +367,8 @@ def covered_ranges(
         shard, blobs = None, []
 
         def solved() -> Iterator[pa.RecordBatch]:
-            if blobs:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in shard_ranges(blobs, length, gram)], schema)
+            for part in range(PARTS if blobs else 0):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in shard_ranges(blobs, length, gram, part)], schema)
 
         for batch in batches:
             ready = batch.filter(batch.column(4).is_null())
@@ -343,12 +384,12 @@ def covered_ranges(
         yield from solved()
 
     packed = packed_runs(docs, doc_id, text, length, gram, shard_bytes, hot_bytes, sample)
-    return packed.repartition("shard").sortWithinPartitions("shard").mapInArrow(find, "doc_id long, start long, stop long")
+    return packed.sortWithinPartitions("shard").mapInArrow(find, "doc_id long, start long, stop long")
 
 
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
-    hot_bytes: int | None = None, sample: int = SAMPLE,
+    hot_bytes: int | None = None, sample: int | None = None,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): `kept` holds the remaining bytes, `n_spans` counts removed runs."""
     ranges = covered_ranges(docs, doc_id, text, length, gram, shard_bytes, hot_bytes, sample)
