@@ -794,6 +794,48 @@ put(
       WINDOW w AS (PARTITION BY host_name, cpu ORDER BY ts, event_id))
     WHERE c0 IS NOT NULL) GROUP BY 1, 2, 3) GROUP BY 1, 2""",
 )
+SAMPLES = """counted AS (
+  SELECT event_type AS host_name, user_id % 2 AS cpu, epoch_us(ts) AS us, row_number() OVER w AS rn,
+         round(sum(value / 100) OVER w, 4) % 50 AS c FROM events
+  WINDOW w AS (PARTITION BY event_type, user_id % 2 ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+risen AS (
+  SELECT *, CASE WHEN c < c0 THEN c ELSE c - c0 END AS up FROM (
+    SELECT *, lag(c) OVER (PARTITION BY host_name, cpu ORDER BY rn) AS c0 FROM counted)),
+steps AS (SELECT unnest(generate_series(low, high)) AS k FROM (
+  SELECT ceil(min(us) / 1800e6)::BIGINT AS low, floor(max(us) / 1800e6)::BIGINT AS high FROM risen)),
+ranges AS (
+  SELECT host_name, cpu, k, count(*) AS n, sum(up) - coalesce(arg_min(coalesce(up, 0), rn), 0) AS inc, (max(us) - min(us)) / 1e6 AS dt,
+         arg_min(c, rn) AS c1, (min(us) - (k * 1800e6 - 7200e6)) / 1e6 AS l, (k * 1800e6 - max(us)) / 1e6 AS r
+  FROM risen JOIN steps ON us > k * 1800000000 - 7200000000 AND us <= k * 1800000000 GROUP BY host_name, cpu, k HAVING count(*) > 1),
+sides AS (
+  SELECT *, CASE WHEN l >= dt / (n - 1) * 1.1 THEN dt / (n - 1) / 2 ELSE l END AS left_side,
+         CASE WHEN r >= dt / (n - 1) * 1.1 THEN dt / (n - 1) / 2 ELSE r END AS right_side FROM ranges)"""
+_FROM_ZERO = "CASE WHEN inc > 0 AND c1 >= 0 THEN least(left_side, dt * c1 / inc) ELSE left_side END"
+for name, rate in (
+    ("counter_rate_stepped", f"inc * (dt + {_FROM_ZERO} + right_side) / dt / 7200"),
+    ("counter_rate_between", "inc / dt"),
+):
+    put(name, f"SELECT host_name, k * 1800 AS step_at, {r6(f'(1 - avg({rate})) * 100', 'utilization')} FROM sides GROUP BY 1, 2", SAMPLES)
+
+
+def lookback(step: int, seconds: int, value: str, source: str, low: str, high: str) -> tuple[str, str]:
+    """The body and its CTE: the newest value at or before every step."""
+    seen = f"""seen AS (SELECT series_key, epoch_us(ts) AS us, arg_max({value}, event_id) AS x FROM {source} WHERE {value} IS NOT NULL GROUP BY 1, 2),
+steps AS (SELECT series_key, unnest(generate_series(ceil({low} / {step}e6)::BIGINT, floor({high} / {step}e6)::BIGINT)) AS k FROM seen GROUP BY 1)"""
+    if "min(" in low:
+        seen = seen.replace(low, f"(SELECT {low} FROM seen)").replace(high, f"(SELECT {high} FROM seen)")
+    age = f"(k * {step}000000 - us) / 1e6"
+    return (
+        f"SELECT g.series_key, k * {step} AS step_at, {r6('x', 'cpu_utilization')}, {r6(age, 'age_seconds')} "
+        f"FROM steps g ASOF JOIN seen s ON g.series_key = s.series_key AND g.k * {step}000000 >= s.us WHERE {age} < {seconds}",
+        seen,
+    )
+
+
+_body, _seen = lookback(30, 300, "x", "series", "min(us)", "max(us)")
+put("range_grid_lookback", _body, _seen)
+_body, _seen = lookback(3600, 21600, "g", "holed", "epoch_us(TIMESTAMP '2024-01-08')", "epoch_us(TIMESTAMP '2024-01-15')")
+put("range_grid_week", _body, NUMBERED, WITH_GAPS, _seen)
 
 
 def grid(step: int) -> str:

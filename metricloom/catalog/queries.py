@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -843,19 +844,57 @@ def status_write_back(spark, sf):
     return spark.read.text(f"{path}/lines").select("value")
 
 
-@query
-def counter_rate(spark, sf):
+def _counter_samples(spark, sf) -> DataFrame:
     """Two processors per host, with a counter that restarts whenever it has gained 50 seconds."""
     raw = events(spark, sf).select(
         F.col("event_type").alias("host_name"), F.pmod("user_id", F.lit(2)).alias("cpu"), "ts", "event_id", "value"
     )
     laid = lay_out(raw, ["host_name", "cpu"], ["ts", "event_id"])
     total = F.round("seconds_total", 4)
-    samples = laid.running({"seconds_total": ("sum", F.col("value") / 100)}).withColumn("seconds_total", total % 50)
+    return laid.running({"seconds_total": ("sum", F.col("value") / 100)}).withColumn("seconds_total", total % 50)
+
+
+@query
+def counter_rate(spark, sf):
+    samples = _counter_samples(spark, sf)
     out = counters.counter_rate_utilization(samples, ["host_name"], tie=["event_id"], width="1 hour")
     return columns(out.withColumn("window_start", F.unix_timestamp("window_start")), ["host_name", "window_start"], ["utilization"])
 
 
+@query
+def counter_rate_stepped(spark, sf):
+    """The rate of the last two hours every half hour."""
+    samples = _counter_samples(spark, sf)
+    out = counters.counter_rate_at_steps(samples, ["host_name"], step_seconds=1800, range_seconds=7200, tie=["event_id"])
+    return columns(out.withColumn("step_at", F.unix_timestamp("step_at")), ["host_name", "step_at"], ["utilization"])
+
+
+@query
+def counter_rate_between(spark, sf):
+    """As above, between the samples only."""
+    samples = _counter_samples(spark, sf)
+    out = counters.counter_rate_at_steps(samples, ["host_name"], step_seconds=1800, range_seconds=7200, tie=["event_id"], extrapolate=False)
+    return columns(out.withColumn("step_at", F.unix_timestamp("step_at")), ["host_name", "step_at"], ["utilization"])
+
+
+@query
+def range_grid_lookback(spark, sf):
+    """The newest sample of the five minutes before each half minute."""
+    out = counters.range_at_steps(series(spark, sf), ["series_key"], tie=["event_id"])
+    return columns(out.withColumn("step_at", F.unix_timestamp("step_at")), ["series_key", "step_at"], [VALUE, "age_seconds"])
+
+
+@query
+def range_grid_week(spark, sf):
+    """Every hour of the week from 2024-01-08, samples up to six hours old; gaps and NaN are no samples."""
+    begin = datetime(2024, 1, 8, tzinfo=timezone.utc)
+    out = counters.range_at_steps(
+        with_gaps(spark, sf), ["series_key"], tie=["event_id"], step_seconds=3600, lookback_seconds=21600, start=begin,
+        end=begin + timedelta(days=7),
+    )
+    return columns(out.withColumn("step_at", F.unix_timestamp("step_at")), ["series_key", "step_at"], [VALUE, "age_seconds"])
+
+
 @query
 def range_grid(spark, sf):
     out = counters.range_grid(series(spark, sf), ["series_key"], tie=["event_id"])
