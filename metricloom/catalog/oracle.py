@@ -765,6 +765,29 @@ put(
     "csv_roundtrip",
     'SELECT series_key, floor(epoch(ts))::BIGINT AS "timestamp", x AS cpu_utilization, is_anomaly::INT AS is_anomaly FROM series',
 )
+DAMAGED = """cells AS (
+  SELECT event_id, CASE WHEN event_id % 53 = 0 THEN 'soon' ELSE floor(epoch(ts))::BIGINT::VARCHAR END AS t, event_id % 307 = 0 AS short,
+    CASE WHEN event_id % 97 = 0 THEN 'n/a' WHEN event_id % 89 = 0 THEN '' ELSE x::VARCHAR END AS v,
+    CASE WHEN event_id % 211 = 0 THEN 'maybe' ELSE is_anomaly::VARCHAR END AS y FROM series),
+lost AS (
+  SELECT event_id, CASE WHEN t = 'soon' THEN t END AS timestamp_text, CASE WHEN NOT short AND v = 'n/a' THEN v END AS cpu_utilization_text,
+    CASE WHEN NOT short AND y = 'maybe' THEN y END AS is_anomaly_text, CASE WHEN short THEN event_id || ',' || t END AS _line_text FROM cells),
+bad AS (SELECT * FROM lost WHERE coalesce(timestamp_text, cpu_utilization_text, is_anomaly_text, _line_text) IS NOT NULL)"""
+put(
+    "dirty_header",
+    "SELECT event_id, coalesce(try_cast(t AS BIGINT), -1) AS \"timestamp\", CASE WHEN NOT short THEN try_cast(v AS DOUBLE) END AS cpu_utilization, "
+    "CASE WHEN short THEN -1 ELSE coalesce(try_cast(y AS INT), -1) END AS is_anomaly FROM cells",
+    DAMAGED,
+)
+put("csv_rescued", "SELECT * FROM bad", DAMAGED)
+put(
+    "csv_rescue_report",
+    """SELECT k AS "column", n::BIGINT AS n_cells, (SELECT count(*) FROM cells)::BIGINT AS n_rows, (SELECT count(*) FROM bad)::BIGINT AS n_rescued FROM (
+  SELECT NULL AS k, count(*) AS n FROM bad UNION ALL SELECT 'timestamp', count(timestamp_text) FROM bad
+  UNION ALL SELECT 'cpu_utilization', count(cpu_utilization_text) FROM bad UNION ALL SELECT 'is_anomaly', count(is_anomaly_text) FROM bad
+  UNION ALL SELECT '_line', count(_line_text) FROM bad) WHERE k IS NULL OR n > 0""",
+    DAMAGED,
+)
 put("two_column_csv", 'SELECT floor(epoch(ts))::BIGINT AS "timestamp", x AS cpu_utilization FROM series')
 put(
     "range_json",

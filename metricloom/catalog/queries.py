@@ -777,6 +777,42 @@ def csv_roundtrip(spark, sf):
     return files.read_metric_csv(spark, path)
 
 
+def _damaged_csv(spark, sf) -> str:
+    """A CSV with quotes and blanks in its header, and cells and lines that do not fit it."""
+    path = fresh_path(spark, "csv")
+    rest = lambda n: F.pmod("event_id", F.lit(n)) == 0
+    when = F.when(rest(53), F.lit("soon")).otherwise(calendar.ts_to_epoch("ts").cast("string"))
+    value = F.when(rest(97), F.lit("n/a")).when(rest(89), F.lit("")).otherwise(F.col(VALUE).cast("string"))
+    label = F.when(rest(211), F.lit("maybe")).otherwise(F.col("is_anomaly").cast("string"))
+    line = F.when(rest(307), F.concat_ws(",", F.col("event_id").cast("string"), when)).otherwise(
+        F.concat_ws(",", F.col("event_id").cast("string"), when, value, label)
+    )
+    head = spark.createDataFrame([("' event_id',\"timestamp\" , cpu_utilization ,is_anomaly'",)], "value string")
+    lines = series(spark, sf).select(line.alias("value"))
+    head.union(lines).coalesce(1).write.text(path)
+    return path
+
+
+@query
+def dirty_header(spark, sf):
+    out = quality.require_columns(files.read_metric_csv(spark, _damaged_csv(spark, sf)), ["event_id", "timestamp", VALUE, "is_anomaly"], check_empty=True)
+    known = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("timestamp", "is_anomaly")]
+    return out.select(F.col("event_id").cast("long").alias("event_id"), VALUE, *known)
+
+
+@query
+def csv_rescued(spark, sf):
+    """The cells and lines that could not be read."""
+    rows = files.read_metric_csv(spark, _damaged_csv(spark, sf), rescue="rescued").filter("rescued IS NOT NULL")
+    cells = {f"{c}_text": F.try_element_at("rescued", F.lit(c)) for c in ("timestamp", VALUE, "is_anomaly", "_line")}
+    return rows.select(F.col("event_id").cast("long").alias("event_id"), *[c.alias(n) for n, c in cells.items()])
+
+
+@query
+def csv_rescue_report(spark, sf):
+    return files.rescue_report(files.read_metric_csv(spark, _damaged_csv(spark, sf), rescue="rescued"))
+
+
 @query
 def two_column_csv(spark, sf):
     path = fresh_path(spark, "csv")

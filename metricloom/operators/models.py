@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, PipelineModel
@@ -21,7 +22,7 @@ from metricloom.operators.features import all_features, feature_names, fit_stats
 from metricloom.operators.quality import quality_report
 from metricloom.operators.splits import stratified_folds, stratified_split
 from metricloom.plans.attach import attach, row_hash
-from metricloom.plans.workspace import materialize
+from metricloom.plans.workspace import delete_folder, file_names, materialize, publish_file
 from metricloom.series import Series
 from metricloom.sources.files import read_metric_csv
 
@@ -184,27 +185,55 @@ class Bundle:
     history: DataFrame | None = None
 
 
+KEPT_VERSIONS = 3
+
+
+def _manifests(spark: SparkSession, path: str) -> list[str]:
+    return sorted(name for name in file_names(spark, f"{path}/manifests") if name.startswith("manifest-"))
+
+
 def save_model(bundle: Bundle, path: str) -> None:
-    """Store all parts of a bundle under one folder."""
+    """Store a bundle under `path` as a new version.
+
+    All parts go to a folder of their own; the manifest that names the folder appears last, whole or not at all. So a
+    reader sees the version before or the new one, never parts of both, and a save that breaks off changes nothing.
+    Manifests are numbered; the newest `KEPT_VERSIONS` and their folders stay.
+    """
     spark = bundle.stats.sparkSession
-    bundle.model.write().overwrite().save(f"{path}/model")
-    bundle.stats.write.mode("overwrite").parquet(f"{path}/stats")
-    settings = json.dumps({"features": bundle.features, "_history": bundle.history is not None, **bundle.settings})
-    spark.createDataFrame([(settings,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+    version = f"version-{uuid.uuid4().hex}"
+    folder = f"{path}/{version}"
+    bundle.model.write().save(f"{folder}/model")
+    bundle.stats.write.parquet(f"{folder}/stats")
     if bundle.history is not None:
-        bundle.history.coalesce(1).write.mode("overwrite").json(f"{path}/history")
+        bundle.history.coalesce(1).write.json(f"{folder}/history")
+    manifest = {"version": version, "features": bundle.features, "history": bundle.history is not None, "settings": bundle.settings}
+    while True:
+        known = _manifests(spark, path)
+        number = int(known[-1].removeprefix("manifest-").removesuffix(".json")) + 1 if known else 0
+        if publish_file(spark, f"{path}/manifests/manifest-{number:08d}.json", json.dumps(manifest)):
+            break
+    for name in known[: -(KEPT_VERSIONS - 1)]:
+        delete_folder(spark, f"{path}/{_manifest(spark, path, name)['version']}")
+        delete_folder(spark, f"{path}/manifests/{name}")
+
+
+def _manifest(spark: SparkSession, path: str, name: str) -> dict:
+    return json.loads(spark.read.text(f"{path}/manifests/{name}", wholetext=True).first()[0])
 
 
 def load_model(spark: SparkSession, path: str) -> Bundle:
-    """Restore a bundle; a missing part raises, but a bundle may have been saved without history."""
-    settings = json.loads(spark.read.text(f"{path}/settings").first()[0])
-    with_history = settings.pop("_history", True)
+    """Restore the newest complete bundle; a missing part raises, but a bundle may have been saved without history."""
+    known = _manifests(spark, path)
+    if not known:
+        raise FileNotFoundError(f"no stored model in {path}")
+    manifest = _manifest(spark, path, known[-1])
+    folder = f"{path}/{manifest['version']}"
     return Bundle(
-        model=PipelineModel.load(f"{path}/model"),
-        features=settings.pop("features"),
-        stats=spark.read.parquet(f"{path}/stats"),
-        settings=settings,
-        history=spark.read.json(f"{path}/history") if with_history else None,
+        model=PipelineModel.load(f"{folder}/model"),
+        features=manifest["features"],
+        stats=spark.read.parquet(f"{folder}/stats"),
+        settings=manifest["settings"],
+        history=spark.read.json(f"{folder}/history") if manifest["history"] else None,
     )
 
 

@@ -7,6 +7,10 @@ or one instant, and the parts are written once. Three things follow from the wri
 * row numbers per series, from one small row per (series, part);
 * running sums, extremes and last values: a window inside each part plus a carry per part;
 * bounded frames: rows are dealt into chunks by row number, with the halo each frame needs.
+
+Only series that span parts, or more than one chunk, need anything from other parts. A part has at most two series that
+it shares with its neighbours, so what they need is a table of a few rows per part, which is broadcast; rows of all other
+series keep their place in the part as position. Rows therefore move once, for the window, however many series there are.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from metricloom.plans.attach import null_safe_join, row_hash
+from metricloom.plans.attach import join_side, null_safe_join, row_hash
 from metricloom.plans.workspace import input_bytes, materialize
 
 PART, IDX, RN, ROWS, CHUNK, HOME = "_part", "_idx", "_rn", "_rows", "_chunk", "_home"
@@ -44,7 +48,8 @@ class Ordered:
         before = series.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
         return materialize(
             per_part.withColumn("_before", F.coalesce(F.sum("_here").over(before), F.lit(0)))
-            .withColumn(ROWS, F.sum("_here").over(series)),
+            .withColumn(ROWS, F.sum("_here").over(series))
+            .withColumn("_parts", F.count(F.lit(1)).over(series)),
             "index",
         )
 
@@ -56,22 +61,28 @@ class Ordered:
         """Rows plus `_rn` (0-based position in the series) and `_rows` (length of the series)."""
         joined = null_safe_join(self.rows, self.index, [*self.keys, PART], "inner")
         return joined.withColumn(RN, F.col("_before") + F.col(IDX) - F.col("_first")).drop(
-            "_here", "_first", "_before"
+            "_here", "_first", "_before", "_parts"
         )
 
     def chunked(self, back: int, ahead: int = 0, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
         """Rows dealt to `_chunk`, copied into each chunk whose frames reach them.
 
         Frames reach `back` rows behind and `ahead` rows past the current one. Windows over
-        (keys, _chunk) ordered by `_rn` are then exact on rows where `_home = _chunk`.
+        (keys, _chunk) ordered by `_rn` are then exact on rows where `_home = _chunk`. `_rn` rises by one from row to
+        row of a series; a series in one part and one chunk does not start at zero.
         """
         rn, size = F.col(RN), F.lit(chunk_rows)
         first = F.greatest(rn - ahead, F.lit(0))
         last = F.least(rn + back, F.col(ROWS) - 1)
+        long = self.index.filter((F.col("_parts") > 1) | (F.col(ROWS) > chunk_rows)).drop("_here", "_parts")
+        joined = null_safe_join(self.rows, join_side(long)[0], [*self.keys, PART])
+        one = F.array(F.lit(0).cast("bigint"))
+        chunks = F.when(F.col(ROWS).isNull(), one).otherwise(F.sequence(F.floor(first / size), F.floor(last / size)))
         return (
-            self.numbered()
-            .withColumn(HOME, F.floor(rn / size))
-            .withColumn(CHUNK, F.explode(F.sequence(F.floor(first / size), F.floor(last / size))))
+            joined.withColumn(RN, F.coalesce(F.col("_before") + F.col(IDX) - F.col("_first"), F.col(IDX)))
+            .withColumn(HOME, F.when(F.col(ROWS).isNull(), F.lit(0).cast("bigint")).otherwise(F.floor(rn / size)))
+            .withColumn(CHUNK, F.explode(chunks))
+            .drop("_first", "_before", ROWS)
         )
 
     def chunk_window(self):
@@ -97,7 +108,8 @@ class Ordered:
                 for n, (kind, _) in specs.items()
                 if kind == "sum"
             ]
-        carry = materialize(summary.select(*self.keys, PART, *carried), "carry")
+        spanning = summary.select(*self.keys, PART, F.count(F.lit(1)).over(series).alias("_parts"), *carried).filter("_parts > 1")
+        carry = materialize(spanning.drop("_parts"), "carry")
         part = Window.partitionBy(*self.keys, PART)
         local = self.rows.select(
             "*",
@@ -105,9 +117,13 @@ class Ordered:
                 _over(kind, expr, _so_far(part, IDX, kind, 0)).alias(f"_l_{n}")
                 for n, (kind, expr) in specs.items()
             ],
+            *[F.sum(expr).over(part).alias(f"_t_{n}") for n, (kind, expr) in specs.items() if totals and kind == "sum"],
         )
-        joined = null_safe_join(local, carry, [*self.keys, PART], "inner")
+        joined = null_safe_join(local, join_side(carry)[0], [*self.keys, PART])
         values = {n: _combine(kind, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, (kind, _) in specs.items()}
+        if totals:
+            whole = [n for n, (kind, _) in specs.items() if kind == "sum"]
+            joined = joined.withColumns({f"{n}_total": F.coalesce(f"{n}_total", f"_t_{n}") for n in whole}).drop(*[f"_t_{n}" for n in whole])
         return joined.withColumns(values).drop(*[f"_{side}_{n}" for n in specs for side in "cl"])
 
 

@@ -73,6 +73,25 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return [f.getPath().getName() for f in store.listStatus(path) if f.isDirectory()] if store.exists(path) else []
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in `folder`; none if it does not exist."""
+    store, path = _store(spark, folder)
+    return [f.getPath().getName() for f in store.listStatus(path) if f.isFile()] if store.exists(path) else []
+
+
+def publish_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that readers see whole or not at all; False if one of that name is there already."""
+    store, target = _store(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rsplit('/', 1)[0]}/.draft-{uuid.uuid4().hex}")
+    out = store.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    done = not store.exists(target) and store.rename(draft, target)
+    if not done:
+        store.delete(draft, False)
+    return done
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that this thread materializes inside the block, when it ends.

@@ -14,9 +14,12 @@ RANGE_RESPONSE = (
 )
 
 
-def read_range_response(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_range_response(spark: SparkSession, path: str, multi_line: bool = True, rescue: str | None = None) -> DataFrame:
     """All series of the JSON responses under `path`: (labels, series_key, timestamp, cpu_utilization).
 
+    Times and values that are no numbers become null; `rescue` names a column that keeps such a point as text, as the
+    CSV readers do.
+
     A file holds one response, or one per line with `multi_line=False`.
     `multi_line=True` makes each file one record, which suits polls; write large exports as lines.
     Fails when no series came back, and when a response that is read reports an error.
@@ -38,11 +41,22 @@ def read_range_response(spark: SparkSession, path: str, multi_line: bool = True)
     return series.select(
         "labels",
         series_key("labels").alias("series_key"),
-        F.col("point")[0].cast("double").cast("bigint").alias("timestamp"),
-        round2(nan_to_null(F.expr("try_cast(point[1] AS double)"))).alias("cpu_utilization"),
+        F.expr("try_cast(try_cast(get(point, 0) AS double) AS bigint)").alias("timestamp"),
+        round2(nan_to_null(F.expr("try_cast(get(point, 1) AS double)"))).alias("cpu_utilization"),
+        *([_lost_point().alias(rescue)] if rescue else []),
     )
 
 
+def _lost_point() -> Column:
+    at, value = (F.expr(f"get(point, {k})") for k in (0, 1))
+    lost = [
+        F.when(F.coalesce(c, F.lit("")).try_cast("double").isNull(), F.struct(F.lit(n).alias("key"), F.coalesce(c, F.lit("")).alias("value")))
+        for n, c in (("timestamp", at), ("cpu_utilization", value))
+    ]
+    found = F.filter(F.array(*lost), lambda x: x.isNotNull())
+    return F.when(F.size(found) > 0, F.map_from_entries(found))
+
+
 def series_key(labels: str):
     """One text per label set, labels in name order."""
     pairs = F.transform(
