@@ -163,8 +163,8 @@ def all_features(
     enriched = enriched.withColumns(
         {**calendar_columns(spec.ts), "_hour": F.hour(spec.ts), "_date": F.to_date(spec.ts), **threshold_flags(spec.value)}
     )
-    enriched = attach(enriched, by_hour, [*keys, "_hour"], weight="_hour_mean_rows")
-    enriched = attach(enriched, by_date, [*keys, "_date"], weight="_date_mean_rows")
+    enriched = attach(enriched, by_hour, [*keys, "_hour"], weight="_hour_mean_rows", written=True)
+    enriched = attach(enriched, by_date, [*keys, "_date"], weight="_date_mean_rows", written=True)
     enriched = enriched.withColumns(
         {
             "cpu_deviation_hourly": v - F.col("_hour_mean"),

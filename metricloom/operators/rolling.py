@@ -26,14 +26,13 @@ class Track:
     """One quantity that is folded over trailing frames of several lengths.
 
     `merge` joins a block of rows (`near`) with the block before it (`far`), reading any track of both;
-    without it the track is a sum. `moved` gives a value of a block that starts o rows further back.
+    without it the track is a sum.
     """
 
     base: Column
     frames: tuple[int, ...]
     kind: str = "sum"
     merge: Callable[[At, At], Column] | None = None
-    moved: Callable[[Column, int], Column] | None = None
 
     def joined(self, name: str, near: At, far: At) -> Column:
         return self.merge(near, far) if self.merge else near(name) + far(name)
@@ -77,7 +76,7 @@ def fold_frames(
                 return F.col(column)
             lagged = f"_lag_{name}_{offset}"
             lags[lagged] = F.lag(column, offset, 0 if track.kind == "sum" else None).over(window)
-            return track.moved(F.col(lagged), offset) if track.moved else F.col(lagged)
+            return F.col(lagged)
 
         made: dict[str, Column] = {}
         pieces = dict(done)
@@ -144,10 +143,21 @@ def _moment(name: str, left: str, right: str) -> Callable[[At, At], Column]:
     )
 
 
-def value_tracks(value: str, frames, trend: bool) -> dict[str, Track]:
-    """Tracks of the value: extremes, count, mean and squared deviations; for the trend also mean and squared
-    deviations of the distance j to the current row, and the products of both. Blocks are merged by their means, so
-    no large sums cancel, and a value that is no number spoils only the frames it lies in. NaN is a missing value."""
+POSITION = "_position"
+
+
+def _trended(near: At, far: At) -> Column:
+    """Products of the deviations of position and value."""
+    place = lambda at: at("j") / F.greatest(at("n"), F.lit(1))
+    between = (place(far) - place(near)) * (far("m") - near("m")) * (near("n") * _far_share(near, far))
+    return near("x") + far("x") + between
+
+
+def value_tracks(value: str, frames, stats: tuple[str, ...]) -> dict[str, Track]:
+    """Tracks of the value: extremes, count, mean; squared deviations for the deviation; for the trend sums of the
+    positions in the chunk and of their squares, whole numbers that lose nothing, and the products of the deviations of
+    both. Blocks are merged by their means, so no large sums cancel, and a value that is no number spoils only the
+    frames it lies in. NaN is a missing value."""
     frames = tuple(sorted(set(frames)))
     v = nan_to_null(value)
     zero = F.lit(0.0)
@@ -156,12 +166,12 @@ def value_tracks(value: str, frames, trend: bool) -> dict[str, Track]:
         "min": Track(v, frames, "min"),
         "n": Track(v.isNotNull().cast("long"), frames),
         "m": Track(F.coalesce(v, zero), frames, merge=_mean("m")),
-        "q": Track(zero, frames, merge=_moment("q", "m", "m")),
     }
-    if trend:
-        tracks["j"] = Track(zero, frames, merge=_mean("j"), moved=lambda c, o: c + o)
-        tracks["u"] = Track(zero, frames, merge=_moment("u", "j", "j"))
-        tracks["x"] = Track(zero, frames, merge=_moment("x", "j", "m"))
+    if "std" in stats:
+        tracks["q"] = Track(zero, frames, merge=_moment("q", "m", "m"))
+    if "trend" in stats:
+        j = F.when(v.isNotNull(), F.col(POSITION)).otherwise(F.lit(0).cast("long"))
+        tracks |= {"j": Track(j, frames), "u": Track(j * j, frames), "x": Track(zero, frames, merge=_trended)}
     return tracks
 
 
@@ -197,7 +207,10 @@ def add_rolling(
 ) -> DataFrame:
     """Rolling columns on rows that are dealt to chunks already; `others` are folded along."""
     payload = dealt.columns
-    tracks = value_tracks(value, frames.values(), "trend" in stats)
+    tracks = value_tracks(value, frames.values(), stats)
+    if "trend" in stats:
+        so_far = Window.partitionBy(*keys, CHUNK).orderBy(RN).rowsBetween(Window.unboundedPreceding, 0)
+        dealt = dealt.withColumn(POSITION, F.col(RN) - F.first(RN).over(so_far))
     finish = {n: FrameStats(value, w, n, tuple(tracks), stats) for w, n in frames.items()}
     folded = [f"_{name}_w{n}" for name, t in (others or {}).items() for n in t.frames]
     dealt = fold_frames(dealt, keys, tracks | (others or {}), finish, uses=(value,))
@@ -228,16 +241,17 @@ class FrameStats:
         endless = (count > 0) & ~bounded
         columns = {
             "mean": mean,
-            "std": F.when(endless, None).when(spread, F.sqrt(at("q") / (count - 1))).otherwise(F.lit(0.0)),
             "max": at("max"),
             "min": at("min"),
             "range": F.when(bounded, at("max") - at("min")),
             "change": v - mean,
             "pct_change": v / (mean + EPSILON) - 1,
         }
+        if "std" in self.stats:
+            columns["std"] = F.when(endless, None).when(spread, F.sqrt(at("q") / (count - 1))).otherwise(F.lit(0.0))
         if "trend" in self.stats:
-            # distances run backwards in time
-            columns["trend"] = F.when(endless, None).when(spread, -at("x") / at("u")).otherwise(F.lit(0.0))
+            places = at("u") - at("j").cast("double") / count * at("j")
+            columns["trend"] = F.when(endless, None).when(spread, at("x") / places).otherwise(F.lit(0.0))
         return {f"{self.window}min_{s}": c for s, c in columns.items() if s in self.stats}
 
 

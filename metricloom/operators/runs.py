@@ -48,16 +48,16 @@ def _anomalous(spec: Series) -> Column:
 def latest_row(df: DataFrame, spec: Series = Series()) -> DataFrame:
     """The newest row of each series; one of them if several rows share time and tie.
 
-    A hash aggregate finds the newest place of each series and the hash of a row there; the rows that match stay.
+    A hash aggregate finds the newest place of each series; of the rows that stand there, the one with the largest hash
+    of all its columns stays.
     """
     keys = list(spec.keys)
-    marked = df.withColumns({"_at": position(df, spec.ts, spec.tie), "_hash": row_hash(df)})
-    newest = marked.groupBy(*keys).agg(
-        F.max("_at").alias("_newest"), F.max_by("_hash", "_at").alias("_chosen"), F.count(F.lit(1)).alias("_n")
-    )
-    joined = attach(marked, newest, keys, weight="_n")
-    found = joined.filter((F.col("_at") == F.col("_newest")) & (F.col("_hash") == F.col("_chosen"))).select(*df.columns)
-    return found.dropDuplicates(keys) if any("map<" in kind for _, kind in df.dtypes) else found.distinct()
+    marked = df.withColumn("_at", position(df, spec.ts, spec.tie))
+    newest = marked.groupBy(*keys).agg(F.max("_at").alias("_newest"), F.count(F.lit(1)).alias("_n"))
+    found = attach(marked, newest, keys, weight="_n").filter(F.col("_at") == F.col("_newest")).select(*df.columns)
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    chosen = found.groupBy(*keys).agg(F.max_by(F.struct(*rest), row_hash(found)).alias("_row"))
+    return chosen.select(*keys, "_row.*").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def current_run(df: DataFrame, spec: Series = Series()) -> DataFrame:

@@ -9,8 +9,9 @@ or one instant, and the parts are written once. Three things follow from the wri
 * bounded frames: rows are dealt into chunks by row number, with the halo each frame needs.
 
 Only series that span parts, or more than one chunk, need anything from other parts. A part has at most two series that
-it shares with its neighbours, so what they need is a table of a few rows per part, which is broadcast; rows of all other
-series keep their place in the part as position. Rows therefore move once, for the window, however many series there are.
+it shares with its neighbours, so what they need is a table of a few rows per part. Up to FEW_PARTS parts it is
+broadcast as it is, beyond that after it was written and measured. Rows of all other series keep their place in the part
+as position. Rows therefore move once, for the window, however many series there are.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from metricloom.plans.workspace import input_bytes, materialize
 
 PART, IDX, RN, ROWS, CHUNK, HOME = "_part", "_idx", "_rn", "_rows", "_chunk", "_home"
 CHUNK_ROWS = 131_072
+FEW_PARTS = 10_000
 _PART_BITS = 33
 
 
@@ -36,21 +38,32 @@ class Ordered:
     keys: tuple[str, ...]
     base: "Ordered | None" = None
 
+    @cached_property
+    def n_parts(self) -> int:
+        """Parts at most: a part is one file at least."""
+        return self.base.n_parts if self.base is not None else len(self.rows.inputFiles())
+
+    def _side(self, few: DataFrame, label: str) -> DataFrame:
+        """A table of a few rows per part as the side of a join."""
+        return F.broadcast(few) if self.n_parts <= FEW_PARTS else join_side(materialize(few, label))[0]
+
     @cached_property
     def index(self) -> DataFrame:
-        """One row per (series, part): first position, rows before this part, rows in all."""
+        """One written row per (series, part): first position, rows before this part, rows in all."""
+        return self.base.index if self.base is not None else materialize(self._index(), "index")
+
+    def _index(self) -> DataFrame:
         if self.base is not None:
-            return self.base.index
+            return self.base._index()
         per_part = self.rows.groupBy(*self.keys, PART).agg(
             F.count(F.lit(1)).alias("_here"), F.min(IDX).alias("_first")
         )
         series = Window.partitionBy(*self.keys)
         before = series.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-        return materialize(
+        return (
             per_part.withColumn("_before", F.coalesce(F.sum("_here").over(before), F.lit(0)))
             .withColumn(ROWS, F.sum("_here").over(series))
-            .withColumn("_parts", F.count(F.lit(1)).over(series)),
-            "index",
+            .withColumn("_parts", F.count(F.lit(1)).over(series))
         )
 
     def with_rows(self, rows: DataFrame) -> "Ordered":
@@ -74,8 +87,8 @@ class Ordered:
         rn, size = F.col(RN), F.lit(chunk_rows)
         first = F.greatest(rn - ahead, F.lit(0))
         last = F.least(rn + back, F.col(ROWS) - 1)
-        long = self.index.filter((F.col("_parts") > 1) | (F.col(ROWS) > chunk_rows)).drop("_here", "_parts")
-        joined = null_safe_join(self.rows, join_side(long)[0], [*self.keys, PART])
+        long = self._index().filter((F.col("_parts") > 1) | (F.col(ROWS) > chunk_rows)).drop("_here", "_parts")
+        joined = null_safe_join(self.rows, self._side(long, "index"), [*self.keys, PART])
         one = F.array(F.lit(0).cast("bigint"))
         chunks = F.when(F.col(ROWS).isNull(), one).otherwise(F.sequence(F.floor(first / size), F.floor(last / size)))
         return (
@@ -109,7 +122,7 @@ class Ordered:
                 if kind == "sum"
             ]
         spanning = summary.select(*self.keys, PART, F.count(F.lit(1)).over(series).alias("_parts"), *carried).filter("_parts > 1")
-        carry = materialize(spanning.drop("_parts"), "carry")
+        carry = self._side(spanning.drop("_parts"), "carry")
         part = Window.partitionBy(*self.keys, PART)
         local = self.rows.select(
             "*",
@@ -119,7 +132,7 @@ class Ordered:
             ],
             *[F.sum(expr).over(part).alias(f"_t_{n}") for n, (kind, expr) in specs.items() if totals and kind == "sum"],
         )
-        joined = null_safe_join(local, join_side(carry)[0], [*self.keys, PART])
+        joined = null_safe_join(local, carry, [*self.keys, PART])
         values = {n: _combine(kind, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, (kind, _) in specs.items()}
         if totals:
             whole = [n for n, (kind, _) in specs.items() if kind == "sum"]

@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
-from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from metricloom.functions.scalar import finite, out_of_range, position
-from metricloom.operators.quality import trailing_range
-from metricloom.operators.runs import latest_row
 from metricloom.plans.attach import attach, null_safe_join
-from metricloom.plans.workspace import delete_folder, file_names, materialize, publish_file, scratch, subfolders
+from metricloom.plans.workspace import delete_folder, file_names, publish_file, scratch, subfolders
 from metricloom.series import Series
 from metricloom.sources.exchange import exposition_lines
 
@@ -55,38 +53,39 @@ def live_score(
 ) -> StreamingQuery:
     """Score the trailing hours on every poll and keep the newest row per series.
 
-    Each micro-batch is added to a history partitioned by date, of which only the dates in reach are
-    listed and read; the batch code `scorer` runs over its trailing range, so a sample up to `hours` late
-    still counts. Dates out of reach are deleted. `poll=None` drains what is there and stops.
+    The rows in reach of each micro-batch are added to a history partitioned by date and hour, of which only the hours in
+    reach are listed and read; the batch code `scorer` runs over its trailing range, so a sample up to `hours` late still counts. Dates out
+    of reach are deleted. `poll=None` drains what is there and stops.
 
-    `<path>/latest/batch_id=N` holds the newest scored row of every series seen so far, `<path>/newest` the
-    newest date, so a restarted query goes on where it ended; the last `KEPT_BATCHES` of both are kept.
-    `<path>/lines/batch_id=N` holds the lines of the series that batch N scored.
+    `<path>/latest/batch_id=N` holds the newest scored row of every series seen so far, `<path>/newest` the newest time,
+    so a restarted query goes on where it ended; the last `KEPT_BATCHES` of both are kept. `<path>/scored/batch_id=N`
+    holds the series that batch N scored, `<path>/lines/batch_id=N` their lines. A poll writes the history, the scored
+    rows and the states, and nothing else.
     """
     spark = stream.sparkSession
     history = f"{path}/history"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        dated = batch.withColumns({"_date": F.to_date(spec.ts), "batch_id": F.lit(batch_id).cast("long")})
-        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "_date", "batch_id"
-        ).parquet(history)
-        dates = dated.agg(F.max("_date").alias("newest"))
-        if batch_id > 0:
-            before = spark.read.schema(dates.schema).parquet(f"{path}/newest/batch_id={batch_id - 1}")
-            dates = dates.unionByName(before).agg(F.max("newest").alias("newest"))
-        newest = dates.first()[0]
-        spark.createDataFrame([(newest,)], dates.schema).write.mode("overwrite").parquet(f"{path}/newest/batch_id={batch_id}")
-        scored = None
-        if newest is not None:
-            days = [newest - timedelta(days=n) for n in range(int(hours // 24) + 2)]
+        hour = F.floor(F.unix_timestamp(F.col(spec.ts).cast("timestamp")) / 3600)
+        dated = batch.withColumns({"_date": F.to_date(spec.ts), "_hour": hour, "batch_id": F.lit(batch_id).cast("long")})
+        newest = _newest_time(batch, spec, _state_of(spark, f"{path}/newest", batch_id - 1))
+        if newest["hour"] is not None:  # older rows are out of reach for good
+            dated.filter(F.col("_hour") >= newest["hour"] - math.ceil(hours)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("_date", "_hour", "batch_id").parquet(history)
+        delete_folder(spark, f"{path}/newest/batch_id={batch_id}")
+        publish_file(spark, f"{path}/newest/batch_id={batch_id}/newest.json", json.dumps(newest))
+        if newest["hour"] is not None:
+            reach = range(newest["hour"] - math.ceil(hours), newest["hour"] + 1)
             reader = spark.read.schema(dated.schema).option("basePath", history)
-            recent = reader.parquet(f"{history}/_date={{{','.join(map(str, days))}}}").filter(
-                F.col("batch_id") <= batch_id
-            )
-            trailing = trailing_range(recent, hours, spec.ts).drop("_date", "batch_id")
-            rows = materialize(scorer(trailing.dropDuplicates([*spec.keys, *spec.order])), "rows")
-            scored = latest_row(rows, spec)
+            recent = reader.parquet(f"{history}/_date=*/_hour={{{','.join(map(str, reach))}}}").filter(F.col("batch_id") <= batch_id)
+            bound = F.lit(newest["text"]).cast(dict(batch.dtypes)[spec.ts]) - F.make_dt_interval(secs=F.lit(hours * 3600.0))
+            trailing = recent.filter(F.col(spec.ts) >= bound).drop("_date", "_hour", "batch_id")
+            rows = scorer(trailing.dropDuplicates([*spec.keys, *spec.order]))
+            rest = [c for c in rows.columns if c not in spec.keys]
+            # one sort of the trailing rows, in the job that writes the result
+            last = rows.groupBy(*spec.keys).agg(F.max_by(F.struct(*rest), F.struct(*spec.order)).alias("_row"))
+            scored = last.select(*spec.keys, "_row.*").select(*rows.columns)
             scored.write.mode("overwrite").parquet(f"{path}/scored/batch_id={batch_id}")
             scored = spark.read.schema(scored.schema).parquet(f"{path}/scored/batch_id={batch_id}")
             latest = scored
@@ -100,14 +99,30 @@ def live_score(
                 lines = exposition_lines(scored, spec.ts, spec.value, labels=spec.keys)
                 lines.write.mode("overwrite").text(f"{path}/lines/batch_id={batch_id}")
             for name in subfolders(spark, history):
-                if name.startswith("_date=") and name[6:] < str(days[-1]):
+                if name.startswith("_date=") and name[6:] < newest["oldest_date"]:
                     delete_folder(spark, f"{history}/{name}")
         for folder in ("newest", "scored", "latest"):
             _expire(spark, f"{path}/{folder}", batch_id)
 
+    def _newest_time(batch: DataFrame, spec: Series, before: dict | None) -> dict:
+        """The newest time so far: as text in the session's zone, its hour, and the oldest date in reach."""
+        at = F.max(spec.ts)
+        hour = F.floor(F.unix_timestamp(at.cast("timestamp")) / 3600)
+        oldest = F.to_date(at) - F.make_dt_interval(days=F.lit(int(hours // 24) + 1))
+        row = batch.agg(at.cast("string").alias("text"), F.unix_micros(at.cast("timestamp")).alias("micros"), hour.alias("hour"),
+                        oldest.cast("date").cast("string").alias("oldest_date")).first().asDict()
+        return before if before and before["micros"] is not None and (row["micros"] is None or before["micros"] >= row["micros"]) else row
+
     return _start(stream, each, f"{path}/checkpoint", poll)
 
 
+def _state_of(spark: SparkSession, folder: str, batch_id: int) -> dict | None:
+    """The state that a batch published; none before the first one."""
+    if f"batch_id={batch_id}" not in subfolders(spark, folder):
+        return None
+    return json.loads(spark.read.text(f"{folder}/batch_id={batch_id}/newest.json", wholetext=True).first()[0])
+
+
 def current_status(spark, path: str, schema, spec: Series = Series()) -> DataFrame:
     """The newest scored row per series of a live query: each batch writes all series."""
     return _last_state(spark, f"{path}/latest", schema)
