@@ -131,6 +131,22 @@ put(
     NUMBERED,
     WITH_GAPS,
 )
+put(
+    "merged_stats",
+    "SELECT series_key, count(*)::BIGINT AS n_rows, count(f)::BIGINT AS n_values, count(DISTINCT f)::BIGINT AS n_distinct, "
+    + listed({"v_min": "min(f)", "v_max": "max(f)", "v_mean": "avg(f)", "v_std": "stddev_samp(f)"}
+             | {n: f"quantile_cont(f, {q})" for n, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))})
+    + " FROM holed GROUP BY 1",
+    NUMBERED,
+    WITH_GAPS,
+)
+put(
+    "merged_ranks",
+    f"""SELECT series_key, event_id, {r6('CASE WHEN f IS NOT NULL THEN (rank() OVER w + (count(*) OVER (PARTITION BY series_key, f) - 1) / 2) / count(f) OVER (PARTITION BY series_key) END', 'cpu_rank')}
+FROM holed WINDOW w AS (PARTITION BY series_key ORDER BY f NULLS LAST)""",
+    NUMBERED,
+    WITH_GAPS,
+)
 put(
     "usage_streak",
     "SELECT series_key, event_id, "

@@ -15,6 +15,7 @@ from metricloom import Series, series_view
 from metricloom.functions import calendar, scalar
 from metricloom.operators import detectors, evaluate, features, models, quality, rolling, runs, splits, stats
 from metricloom.plans.ordered import lay_out
+from metricloom.plans.profile import histogram, stored_histogram
 from metricloom.plans.workspace import fresh_path, materialize
 from metricloom.sources import exchange, files
 from metricloom.streaming import counters, live
@@ -141,6 +142,27 @@ def rolling_offset(spark, sf):
     return out.select(*ID, *[F.round(F.col(f"{w}min_{s}") + 1e-5, 2).alias(f"{w}min_{s}") for w in (5, 60) for s in ("mean", "std")])
 
 
+def _merged_histogram(spark, sf) -> DataFrame:
+    """Seven batches added to a stored histogram, one of them twice, merged every three."""
+    table = stored_histogram(spark, fresh_path(spark, "histogram"), ["series_key"], VALUE)
+    rows = with_gaps(spark, sf)
+    for batch in (0, 1, 2, 3, 4, 4, 5, 6):
+        some = rows.filter(F.pmod("event_id", F.lit(7)) == batch)
+        table.add(histogram(some, ["series_key"], VALUE), batch, merge_every=3)
+    return table.read()
+
+
+@query
+def merged_stats(spark, sf):
+    out = stats.histogram_stats(_merged_histogram(spark, sf))
+    return columns(out, ["series_key", "n_rows", "n_values", "n_distinct"], ["v_min", "v_max", "v_mean", "v_std", "q1", "median", "q3"])
+
+
+@query
+def merged_ranks(spark, sf):
+    return columns(stats.histogram_ranks(with_gaps(spark, sf), _merged_histogram(spark, sf)), ID, ["cpu_rank"])
+
+
 @query
 def zscore_nan(spark, sf):
     out = stats.zscore(with_gaps(spark, sf)).withColumn("z_score", scalar.finite("z_score"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metricloom.functions.scalar import EPSILON, finite, nan_to_null
-from metricloom.plans.attach import attach
+from metricloom.plans.attach import attach, null_safe_join
 from metricloom.plans.profile import average_rank, quantiles, value_profile
 from metricloom.series import Series
 
@@ -23,6 +23,31 @@ def series_stats(df: DataFrame, spec: Series = Series()) -> DataFrame:
     )
 
 
+def histogram_stats(table: DataFrame, spec: Series = Series(), parts: int | None = None) -> DataFrame:
+    """What `fit_stats` gives for the rows that a histogram (keys, value, n) stands for, from the histogram alone."""
+    keys, v = list(spec.keys), F.col(spec.value)
+    present = F.when(v.isNotNull(), F.col("n"))
+    sums = table.groupBy(*keys).agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(present), F.lit(0)).alias("n_values"), F.min(v).alias("v_min"), F.max(v).alias("v_max"),
+        F.try_divide(F.sum(v * F.col("n")), F.sum(present)).alias("v_mean"), F.count(v).alias("n_distinct"), F.count(F.lit(1)).alias("_rows"),
+    )
+    centred = attach(table, sums, keys, weight="_rows")
+    squares = centred.groupBy(*keys).agg(F.sum(F.col("n") * F.pow(v - F.col("v_mean"), 2)).alias("_squares"))
+    quartiles = quantiles(value_profile(table, keys, spec.value, weight="n", parts=parts), {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    joined = null_safe_join(null_safe_join(sums, squares, keys), quartiles, keys)
+    spread = F.sqrt(F.try_divide(F.col("_squares"), F.col("n_values") - 1))
+    return joined.withColumn("v_std", spread).select(
+        *keys, "n_rows", "n_values", "v_min", "v_max", "v_mean", "v_std", "q1", "median", "q3", "n_distinct"
+    )
+
+
+def histogram_ranks(df: DataFrame, table: DataFrame, spec: Series = Series(), parts: int | None = None) -> DataFrame:
+    """Add `cpu_rank` of each value among the rows of a histogram (keys, value, n); none for values it lacks."""
+    profile = value_profile(table, spec.keys, spec.value, weight="n", parts=parts)
+    ranks = profile.rows.select(*spec.keys, spec.value, "n", average_rank(profile).alias("cpu_rank"))
+    return attach(df, ranks, [*spec.keys, spec.value], weight="n").drop("n")
+
+
 def normalized(value: Column) -> Column:
     """Min-max scaling; a constant series has no scale and gives null."""
     value = nan_to_null(value)

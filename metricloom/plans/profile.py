@@ -2,15 +2,19 @@
 
 Ranks, quantiles and the scalar detectors depend on values only, so they run on the profile and
 never on raw rows. The profile is laid out in order too: it may be as long as the data.
+
+Histograms of batches add up, so a stored one serves all batches so far: `stored_histogram` is a table that batches are
+added to, and profiles, statistics, ranks and quantiles follow from it exactly, as from all rows at once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metricloom.functions.scalar import finite
+from metricloom.plans.log_table import LogTable
 from metricloom.plans.ordered import Ordered, lay_out
 from metricloom.plans.workspace import materialize
 
@@ -48,6 +52,20 @@ def value_profile(
     return ValueProfile(ordered.with_rows(materialize(running, "profile") if write else running), keys, value)
 
 
+def histogram(df: DataFrame, keys, value: str) -> DataFrame:
+    """(keys, value, n): copies of every finite value, and under null the rows without one."""
+    return df.groupBy(*keys, finite(value).alias(value)).agg(F.count(F.lit(1)).alias("n"))
+
+
+def stored_histogram(spark: SparkSession, path: str, keys, value: str) -> LogTable:
+    """A histogram under `path` to which `add(histogram(batch, ...), batch_id)` adds batches; `read()` has the sums."""
+
+    def summed(versions: DataFrame) -> DataFrame:
+        return versions.groupBy(*keys, value).agg(F.sum("n").alias("n"), F.max("batch_id").alias("batch_id"))
+
+    return LogTable(spark, path, summed, F.lit("all"))
+
+
 def average_rank(profile: ValueProfile) -> Column:
     """Rank divided by n, ties at their average rank."""
     return (F.col("cum") - F.col("n") / 2 + 0.5) / F.col("total")

@@ -5,21 +5,20 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from metricloom.functions.scalar import finite, out_of_range, position
 from metricloom.plans.attach import attach, null_safe_join
-from metricloom.plans.workspace import delete_folder, file_names, publish_file, scratch, subfolders
+from metricloom.plans.log_table import MERGE_EVERY, LogTable
+from metricloom.plans.workspace import delete_folder, publish_file, scratch, subfolders
 from metricloom.series import Series
 from metricloom.sources.exchange import exposition_lines
 
 POLL = "30 seconds"
 LATENESS = "1 hour"
 KEPT_BATCHES = 3
-MERGE_EVERY = 16
 
 
 def _start(stream: DataFrame, each, checkpoint: str, poll: str | None, mode: str = "append") -> StreamingQuery:
@@ -162,78 +161,34 @@ def stream_tumbling(
     stream: DataFrame, path: str, width: str = "1 hour", spec: Series = Series(), poll: str | None = POLL,
     lateness: str = LATENESS, merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
-    """Windows that changed, per micro-batch, in a log-structured table under `path`; `read_tumbling` reads it.
+    """Windows that changed, per micro-batch, in a table that merges its batches by date; `read_tumbling` reads it.
 
-    A micro-batch writes its windows to `windows/batch_id=N`. Every `merge_every` batches these are merged into one folder
-    per date, of which only the dates that changed are written anew, under `merged/upto-N/_date=D`. A manifest, which
-    appears last and whole, names the folder of every date and the last batch in them. Folders that neither of the two
-    newest manifests names are deleted, so a day leaves one folder, and a reader that began before a merge can finish. A
-    batch that is replayed writes the same windows again; up to the manifest's last batch they are not read any more.
+    A batch touches the dates within the lateness, so a merge writes few dates anew and a day leaves one folder.
     """
-    spark = stream.sparkSession
+    table = window_table(stream.sparkSession, path, spec)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
-        if (batch_id + 1) % merge_every == 0:
-            _merge_windows(spark, path, batch_id, spec)
+        table.add(batch, batch_id, merge_every)
 
     return _start(tumbling_stats(stream, width, spec, lateness), each, f"{path}/checkpoint", poll, "update")
 
 
-def _window_manifests(spark: SparkSession, path: str, wanted: int) -> list[dict]:
-    """The newest manifests, the newest first; an empty table where there is none."""
-    names = sorted(n for n in file_names(spark, f"{path}/manifests") if n.startswith("manifest-"))[::-1][:wanted]
-    read = [json.loads(spark.read.text(f"{path}/manifests/{n}", wholetext=True).first()[0]) for n in names]
-    return read or [{"upto": -1, "dates": {}}]
-
-
-def _versions(spark: SparkSession, path: str, manifest: dict, last: int | None, dates: list[str] | None = None) -> DataFrame | None:
-    """All stored versions of windows, `batch_id` telling them apart: those of the manifest's dates, and of later batches."""
-    merged = [f"{path}/{folder}" for date, folder in manifest["dates"].items() if dates is None or date in dates]
-    batches = [int(n[9:]) for n in subfolders(spark, f"{path}/windows") if n.startswith("batch_id=")]
-    batches = [b for b in batches if b > manifest["upto"] and (last is None or b <= last)]
-    found = [spark.read.parquet(*merged)] if merged else []
-    if batches:
-        found.append(spark.read.option("basePath", f"{path}/windows").parquet(*[f"{path}/windows/batch_id={b}" for b in batches]))
-    found = [t.withColumn("batch_id", F.col("batch_id").cast("long")) for t in found]
-    return reduce(DataFrame.unionByName, found) if found else None
+def window_table(spark: SparkSession, path: str, spec: Series = Series()) -> LogTable:
+    """Windows in sections by date; the newest version of a window counts."""
 
+    def newest(versions: DataFrame) -> DataFrame:
+        rest = [c for c in versions.columns if c not in (*spec.keys, "window_start", "batch_id")]
+        found = versions.groupBy(*spec.keys, "window_start").agg(
+            F.max_by(F.struct(*rest), "batch_id").alias("_row"), F.max("batch_id").alias("batch_id")
+        )
+        return found.select(*spec.keys, "window_start", "_row.*", "batch_id")
 
-def _newest_versions(versions: DataFrame, spec: Series) -> DataFrame:
-    rest = [c for c in versions.columns if c not in (*spec.keys, "window_start", "batch_id")]
-    newest = versions.groupBy(*spec.keys, "window_start").agg(
-        F.max_by(F.struct(*rest), "batch_id").alias("_row"), F.max("batch_id").alias("batch_id")
-    )
-    return newest.select(*spec.keys, "window_start", "_row.*", "batch_id")
-
-
-def _merge_windows(spark: SparkSession, path: str, batch_id: int, spec: Series) -> None:
-    manifest, *before = _window_manifests(spark, path, 2)
-    if manifest["upto"] >= batch_id:
-        return
-    fresh = _versions(spark, path, {**manifest, "dates": {}}, batch_id)
-    dates = sorted(str(r.d) for r in fresh.select(F.to_date("window_start").alias("d")).distinct().collect())  # those within the lateness
-    target = f"merged/upto-{batch_id}"
-    rows = _newest_versions(_versions(spark, path, manifest, batch_id, dates), spec)
-    rows.withColumn("_date", F.to_date("window_start")).write.mode("overwrite").partitionBy("_date").parquet(f"{path}/{target}")
-    known = {"upto": batch_id, "dates": manifest["dates"] | {d: f"{target}/_date={d}" for d in dates}}
-    publish_file(spark, f"{path}/manifests/manifest-{batch_id:012d}.json", json.dumps(known))
-    named = {*known["dates"].values(), *manifest["dates"].values()}
-    for old in before:
-        for folder in {*old["dates"].values()} - named:
-            delete_folder(spark, f"{path}/{folder}")
-        delete_folder(spark, f"{path}/manifests/manifest-{old['upto']:012d}.json")
-    for name in subfolders(spark, f"{path}/merged"):
-        if not any(folder.startswith(f"merged/{name}/") for folder in named):
-            delete_folder(spark, f"{path}/merged/{name}")
-    for name in subfolders(spark, f"{path}/windows"):
-        if name.startswith("batch_id=") and int(name[9:]) <= manifest["upto"]:
-            delete_folder(spark, f"{path}/windows/{name}")
+    return LogTable(spark, path, newest, F.to_date("window_start").cast("string"))
 
 
 def read_tumbling(spark, path: str, spec: Series = Series()) -> DataFrame:
     """The newest version of every window."""
-    return _newest_versions(_versions(spark, path, _window_manifests(spark, path, 1)[0], None), spec).drop("batch_id")
+    return window_table(spark, path, spec).read()
 
 
 def track_runs(

@@ -136,7 +136,7 @@ def test_window_table_stays_small(spark, skewed, tmp_path):
     want = live.tumbling_stats(spread)
     same(live.read_tumbling(spark, path), want)
     table = tmp_path / "windows"
-    folders = lambda: (len(list((table / "windows").iterdir())), len(list((table / "merged").glob("*/_date*"))))
+    folders = lambda: (len(list((table / "batches").iterdir())), len(list((table / "merged").glob("*/_section*"))))
     assert len(list((table / "checkpoint" / "commits").glob("[0-9]*"))) >= 20 and folders()[0] <= 9 and folders()[1] <= 6
     assert len(list((table / "manifests").glob("manifest-*"))) == 2
     last = max((table / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
