@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metricloom.functions.scalar import nan_to_null, position
 from metricloom.operators.quality import trailing_range
@@ -55,9 +55,9 @@ def latest_row(df: DataFrame, spec: Series = Series()) -> DataFrame:
     marked = df.withColumn("_at", position(df, spec.ts, spec.tie))
     newest = marked.groupBy(*keys).agg(F.max("_at").alias("_newest"), F.count(F.lit(1)).alias("_n"))
     found = attach(marked, newest, keys, weight="_n").filter(F.col("_at") == F.col("_newest")).select(*df.columns)
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in keys]
-    chosen = found.groupBy(*keys).agg(F.max_by(F.struct(*rest), row_hash(found)).alias("_row"))
-    return chosen.select(*keys, "_row.*").select(*[F.col(f"`{c}`") for c in df.columns])
+    largest = Window.partitionBy(*keys).orderBy(F.desc("_hash"))  # one row per series and task crosses the exchange
+    ranked = found.withColumn("_hash", row_hash(found)).withColumn("_nth", F.row_number().over(largest))
+    return ranked.filter("_nth = 1").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def current_run(df: DataFrame, spec: Series = Series()) -> DataFrame:

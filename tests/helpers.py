@@ -1,4 +1,5 @@
 import math
+import re
 
 
 def by_event(df, *columns):
@@ -19,3 +20,15 @@ def same(a, b, digits=7):
 
     assert sorted(a.columns) == sorted(b.columns)
     assert rows(a) == rows(b)
+
+
+def exchanges(df):
+    """Exchanges that rows pass: those of tables that are broadcast are left out."""
+    found, inside = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        depth = len(re.match(r"[\s:+\-]*", line)[0])
+        if inside is not None and depth > inside:
+            continue
+        inside = depth if "BroadcastExchange" in line else None
+        found += re.findall(r"\bExchange (\S+)\(", line)
+    return found

@@ -1,10 +1,9 @@
 """Tables that grow by versions, joins by measured bytes, and layouts that move rows once."""
 
 import math
-import re
 
 import pytest
-from helpers import same
+from helpers import exchanges, same
 from metricloom.operators import models, quality, rolling, runs
 from metricloom.plans import attach, workspace
 from metricloom.plans.ordered import lay_out
@@ -15,10 +14,6 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 
-def exchanges(df):
-    return re.findall(r"\bExchange (\S+)\(", df._jdf.queryExecution().executedPlan().toString())
-
-
 def test_rows_of_many_series_move_once(spark):
     rows = spark.range(600_000).select(
         (F.col("id") % 300_000).cast("string").alias("series_key"), F.timestamp_seconds("id").alias("ts"), F.col("id").alias("event_id"),
