@@ -29,8 +29,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each component; rows that share it and rows without one all stay."""
     found = simhash_blocks.simhash_components(docs)
-    first = found.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    first = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("first")).distinct()
+    known = docs.filter(F.col("doc_id").isNotNull())
+    return known.join(first, F.col("doc_id") == F.col("first"), "left_semi").unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
