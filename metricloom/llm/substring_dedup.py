@@ -20,7 +20,7 @@ minimizers of sampled blocks of text, so few that a hot one still has some thous
 taken for hot moves strings between shards and never changes the result. What a task holds of this is bounded by its
 own text, and the hot ones are a sorted list of at most 4 / 3 of the text's bytes over `hot_bytes`.
 
-A shard is a task's work: `PARTS` parts of about `SHARD_BYTES` of text, each sorted by itself. Each chunk of text packs
+A shard is a task's work: about `SHARD_BYTES` of text in `PARTS` parts, each sorted by itself. Each chunk of text packs
 one blob per shard; the exchange has as many partitions as there are shards, MOST_TASKS at most, where a task works
 shard after shard. From some terabytes on, a chunk has fewer runs than there are shards, and a blob holds one run. A
 document of any length is cut into segments that overlap by `length - 1` bytes. The ranges of a document are bounded by
@@ -46,7 +46,7 @@ from metricloom.llm.common import text_of
 from metricloom.llm.suffix_array import permuted_common_prefixes, shard_text, suffix_array
 
 LENGTH, GRAM, SHARD_BYTES, SEGMENT, CHUNK, PACK_LEVEL = 50, 12, 8 << 20, 1 << 20, 4 << 20, 6
-PARTS, MOST_TASKS = 2, 20_000
+PARTS, LEAST_TASKS, MOST_TASKS = 2, 16, 20_000
 BLOCK, SAMPLED_STRINGS = 16 << 10, 1_024
 _POS_BITS = np.uint64(24)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -320,7 +320,7 @@ def hot_minimizers(rows: DataFrame, hot_bytes: int, length: int, gram: int, samp
 
 
 def shards_of(total: int, shard_bytes: int) -> int:
-    return total // (PARTS * shard_bytes) + 16
+    return max(LEAST_TASKS, -(-total // shard_bytes))
 
 
 def packed_runs(
@@ -333,7 +333,7 @@ def packed_runs(
     ).filter(F.octet_length("t") >= length)
     total = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
     shards = shards_of(total, shard_bytes)
-    hot_bytes = 2 * shard_bytes if hot_bytes is None else hot_bytes
+    hot_bytes = shard_bytes if hot_bytes is None else hot_bytes
     hot = np.zeros(0, np.uint64)
     if total * length > hot_bytes:  # a run of one string holds `length` bytes, so others have no hot minimizer
         hot = hot_minimizers(rows, hot_bytes, length, gram, sampling(hot_bytes, length) if sample is None else sample)
