@@ -8,7 +8,8 @@ documents ascend by MD5 of seed, epoch and doc_id, and are taken while their run
 
 Scale: budgets work on one row per leaf. The running sum of a leaf is never one task: documents fall into 4,096 buckets
 by the head of their MD5, bucket sums give the bucket in which the budget ends, and only that bucket is sorted.
-So a leaf that holds a third of all rows is spread over its buckets.
+So a leaf that holds a third of all rows is spread over its buckets. Siblings are shared out by a window over their
+parent, a row each: thousands of sources per domain and language, not one per web host.
 
 Defined results: null domains, languages and sources are the name 'none'; null and blank texts have no tokens and come
 along with the document before them in order; a leaf without tokens gives nothing; the order of repeated rows with one
@@ -26,11 +27,13 @@ LEVELS = ("domain", "lang", "source")
 EPOCHS, SEED, BUDGET_PERCENT, BUCKET_DIGITS = 2, 17, 60, 3
 # Fixed values of the production mixture: a name that is not listed weighs 1.
 WEIGHTS = {"domain": {"crawl": 2, "curated": 3}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}, "source": {"src1": 2, "src2": 2}}
-CRAWL = ("src0", "src1", "src2", "src3", "src4", "src5", "src6", "src7")
+DOMAINS = {"crawl": ("src0", "src1", "src2", "src3", "src4", "src5", "src6", "src7")}
+OTHER_DOMAIN = "curated"
 
 
-def domain_of(source: Column) -> Column:
-    return F.when(source.isin(*CRAWL), "crawl").otherwise("curated")
+def domain_of(source: Column, domains: dict[str, tuple[str, ...]] = DOMAINS, other: str = OTHER_DOMAIN) -> Column:
+    """The first domain that lists the source; `other` for sources that none lists."""
+    return F.coalesce(*[F.when(source.isin(*names), name) for name, names in domains.items()], F.lit(other))
 
 
 def weight_of(level: str, weights: dict[str, dict[str, int]]) -> Column:
@@ -79,11 +82,12 @@ def epoch_key(epoch: Column, seed: int) -> Column:
 def mix_rows(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
     percent: int = BUDGET_PERCENT, epochs: int = EPOCHS, weights: dict = WEIGHTS, seed: int = SEED,
+    domains: dict[str, tuple[str, ...]] = DOMAINS, other: str = OTHER_DOMAIN,
 ) -> DataFrame:
     """(doc_id, domain, lang, source, tokens, epoch, twin) per document in the mixture and epoch; `twin` hashes the text."""
     name = lambda c: F.coalesce(F.col(c), F.lit("none"))
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), domain_of(name(source)).alias("domain"), name(lang).alias("lang"),
+        F.col(doc_id).alias("doc_id"), domain_of(name(source), domains, other).alias("domain"), name(lang).alias("lang"),
         name(source).alias("source"), F.size(words_of(text_of(text))).cast("long").alias("tokens"), F.xxhash64(text_of(text)).alias("twin"),
     )
     rows = materialize(rows, "tokens")

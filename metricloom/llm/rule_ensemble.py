@@ -94,14 +94,18 @@ def score_column(constant: float, rules: list[tuple[Rule, float]]) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
+def learn(stats: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> tuple[float, list[tuple[Rule, float]]]:
+    """(constant, weighted rules) from the statistics of labelled rows that are not held out."""
+    known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("d")).agg(F.max(label).cast("double").alias("y"))
+    teach = stats.filter(~held_out()).join(known, F.col("doc_id") == F.col("d")).orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS)
+    return fit(materialize(teach.select("y", *STATISTICS).limit(max_rows), "sample"))
+
+
 def scores(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
     max_rows: int = MAX_ROWS, cut: float = CUT,
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted) per document; learned from labelled rows that are not held out."""
     stats = materialize(statistics(docs, doc_id, text), "statistics")
-    known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("d")).agg(F.max(label).cast("double").alias("y"))
-    teach = stats.filter(~held_out()).join(known, F.col("doc_id") == F.col("d")).orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS)
-    constant, rules = fit(materialize(teach.select("y", *STATISTICS).limit(max_rows), "sample"))
-    score = score_column(constant, rules)
+    score = score_column(*learn(stats, labels, label, max_rows))
     return stats.select("doc_id", held_out().alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= cut).cast("int"))

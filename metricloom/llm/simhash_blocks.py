@@ -9,8 +9,9 @@ carry-save counters add them up, and words whose pairs all exceed the radius are
 Scale: equal fingerprints are one row before blocking. A block above `tile_rows` is cut into tiles, and each pair of
 tiles goes to a task of its own, so no block is collected whole; blocks are counted by partial sums, and the large ones
 are known before any row moves. A block emits a star per local component and never
-its pairs. Components follow by rounds of joins. The pieces set the cost: 15 rows per fingerprint and 21-bit blocks for
-6 pieces, 70 rows and 32-bit blocks for 8.
+its pairs. Components follow by rounds of joins. The pieces set the cost, never the result: 15 rows per fingerprint and
+21-bit blocks for 6 pieces, 35 and 27 bits for 7, 70 and 32 bits for 8. They are chosen from the counted fingerprints, so
+that blocks of unrelated ones stay at some BLOCK_ROWS rows whatever the corpus.
 
 Defined results: null and blank texts have fingerprint zero and link like any other; rows repeat with their fingerprint;
 a null doc_id takes the component of the documents it equals; other columns are ignored.
@@ -30,7 +31,8 @@ from metricloom.llm.common import bounded_broadcast, text_of
 from metricloom.llm.components import components
 from metricloom.plans.workspace import materialize
 
-SHINGLE_WORDS, RADIUS, PIECES, TILE_ROWS, SEED = 4, 4, 6, 4096, 42
+SHINGLE_WORDS, RADIUS, TILE_ROWS, SEED = 4, 4, 4096, 42
+BLOCK_ROWS, MOST_SPARE_PIECES = 64, 4
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _CHUNK = 65_536
 
@@ -66,6 +68,14 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
+def pieces_for(fingerprints: int, radius: int = RADIUS) -> int:
+    """The fewest pieces whose blocks hold BLOCK_ROWS unrelated fingerprints at most; a block has pieces - radius of them."""
+    for spare in range(2, MOST_SPARE_PIECES):
+        if fingerprints <= BLOCK_ROWS << 64 * spare // (radius + spare):
+            return radius + spare
+    return radius + MOST_SPARE_PIECES
+
+
 def _piece_keys(fp: Column, radius: int, pieces: int) -> Column:
     """One key per choice of `pieces - radius` pieces, the choice's number in front."""
     cuts = [64 * k // pieces for k in range(pieces + 1)]
@@ -156,7 +166,7 @@ def local_roots(fp: np.ndarray, group: np.ndarray, radius: int) -> np.ndarray:
     return parent
 
 
-def near_links(prints: DataFrame, radius: int = RADIUS, pieces: int = PIECES, tile_rows: int = TILE_ROWS) -> DataFrame:
+def near_links(prints: DataFrame, radius: int = RADIUS, pieces: int | None = None, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Links a > b that join all of `prints` (node, fp; one row per fingerprint) within `radius` bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,6 +199,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, pieces: int = PIECES, ti
             held = pa.Table.from_batches(rest)
             yield star(held, groups(held))
 
+    pieces = pieces_for(prints.count(), radius) if pieces is None else pieces
     keys = prints.select("node", "fp", F.explode(_piece_keys(F.col("fp"), radius, pieces)).alias("k"))
     rows = keys.select("node", "fp", F.xxhash64("k.choice", "k.bits").alias("block"))
     hot = materialize(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile_rows), "hot")
@@ -208,7 +219,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, pieces: int = PIECES, ti
 
 def simhash_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS,
-    radius: int = RADIUS, pieces: int = PIECES, tile_rows: int = TILE_ROWS,
+    radius: int = RADIUS, pieces: int | None = None, tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) per document; the component is the smallest doc_id reachable by links."""
     prints = materialize(fingerprints(docs, doc_id, text, size), "prints")

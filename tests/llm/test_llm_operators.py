@@ -39,7 +39,7 @@ def test_simhash_equals_brute_force(spark, documents):
     assert {tuple(r) for r in QUERIES["op5_simhash"](spark, FOLDER).collect()} == brute.simhash_rows(documents)
 
 
-@pytest.mark.parametrize("radius, pieces, tile", [(4, 6, 4096), (4, 6, 16), (2, 5, 4096)])
+@pytest.mark.parametrize("radius, pieces, tile", [(4, 6, 4096), (4, 6, 16), (2, 5, 4096), (4, 7, 64), (4, 8, 4096), (4, None, 4096)])
 def test_links_join_all_close_fingerprints(spark, radius, pieces, tile):
     from metricloom.llm.components import components
 

@@ -153,3 +153,57 @@ def test_substring_tasks_do_not_grow_with_the_corpus():
     small, large = peak(10**9), peak(10**14)
     assert large[0] < 2 * small[0] and large[1] == small[1] <= 200_000 / 10 and large[2] <= 200_000 / 10
     assert sd.sampling(2 * sd.SHARD_BYTES, sd.LENGTH) > 100  # blocks looked at do not follow the corpus densely
+
+
+def test_pieces_follow_the_fingerprints():
+    from metricloom.llm.simhash_blocks import pieces_for
+
+    assert [pieces_for(n) for n in (0, 1_000, 10**8, 10**9, 10**10, 10**12)] == [6, 6, 6, 7, 8, 8]
+
+
+def test_scores_equal_rules_in_plain_python(spark):
+    """Statistics, rules and logistic sum once more, without Spark."""
+    import math
+    import re
+
+    from metricloom.llm import rule_ensemble
+
+    docs, labels = (common.table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    stats = rule_ensemble.statistics(docs)
+    constant, rules = rule_ensemble.learn(stats, labels)
+    assert rules
+    got = {r.doc_id: (r.score, r.predicted) for r in rule_ensemble.scores(docs, labels).collect()}
+    share = lambda a, b: a / b if b else 0.0
+
+    def row(text):
+        words, lines, chars = re.findall(r"[^\x20\x09-\x0D]+", text), text.split("\n"), re.sub(r"[\x20\x09-\x0D]", "", text)
+        among = lambda kind: sum(c in kind for c in chars)
+        upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+        return dict(zip(rule_ensemble.STATISTICS, (
+            math.log1p(len(words)), share(len(chars), len(words)), share(among("#*$%&|<>{}[]\\^~@_="), len(chars)), share(among("0123456789"), len(chars)),
+            share(among(upper), len(chars)), share(among(".!?;:,"), len(chars)), share(among(upper + lower), len(chars)), share(len(set(words)), len(words)),
+            share(len(lines) - len(set(lines)), len(lines)), share(len(words), len(lines)))))
+
+    for r in docs.collect():
+        s = row(r.text or "")
+        total = constant + sum(w for rule, w in rules if all(low < s[n] <= high for n, low, high in rule))
+        score = 1 / (1 + math.exp(-total))
+        assert got[r.doc_id][0] == pytest.approx(score, abs=1e-9) and got[r.doc_id][1] == int(got[r.doc_id][0] >= 0.3)
+
+
+def test_domains_are_an_argument(spark):
+    from metricloom.llm import mixture
+
+    docs = spark.createDataFrame([(i, "w " * 10, "en", f"s{i % 4}") for i in range(40)], "doc_id long, text string, lang string, source string")
+    out = mixture.mix(docs, percent=100, domains={"a": ("s0",), "b": ("s1", "s2")}, other="c")
+    assert {(r.source, r.domain) for r in out.select("source", "domain").distinct().collect()} == {("s0", "a"), ("s1", "b"), ("s2", "b"), ("s3", "c")}
+
+
+def test_rows_without_an_id_stay(spark):
+    import corpus_pipeline
+
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, text), (2, text), (None, text), (None, text), (3, "something else " * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None", "None"] and kept.columns == docs.columns
