@@ -58,11 +58,16 @@ def kept_vectors(rows: DataFrame, vec_id: str, vector: str, dims: int, scale: in
 
 
 def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
-    """`rows` written in buckets of rid, so that joins on it exchange the other side only."""
+    """`rows` written in buckets of rid, so that joins on it exchange the other side only.
+
+    Buckets need a catalog entry to be read as such; it goes once the plan knows the table, its files stay.
+    """
     spark, name = rows.sparkSession, f"vectors_{uuid.uuid4().hex}"
     writer = rows.repartition(buckets, "rid").write.bucketBy(buckets, "rid").sortBy("rid")
     writer.option("path", fresh_path(spark, "vectors")).saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
