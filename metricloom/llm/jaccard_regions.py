@@ -22,7 +22,7 @@ Scale: equal sets are one node before anything is compared. Keys are as many as
 cross one exchange. A batch of documents sends each key once, for the first document that has it, and names that one as
 the lead of the others, as later each key's rows name the least of them; so hot keys make stars, not pairs, and come as
 one row per batch. Sets are computed again for candidates only, and a region's documents meet by tiles of
-`region_bytes`; nothing is collected.
+`region_bytes` and REGION_DOCS documents; nothing is collected.
 
 Defined results: null and blank texts have an empty set and component of their own doc_id; texts with fewer words than
 a shingle have one shingle, the whole sequence; repeated rows repeat; rows that share a doc_id share a component; a
@@ -42,13 +42,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from metricloom.llm.common import bounded_broadcast, text_of
 from metricloom.llm.components import components
-from metricloom.llm.word_codes import encode
+from metricloom.llm.word_codes import encode, strips
 from metricloom.plans.attach import attach
 from metricloom.plans.workspace import materialize
 
 SHINGLE_WORDS, PERCENT = 3, 90
 SPARE, BAND = 2, 1.5
-REGION_BYTES = 1 << 20
+REGION_BYTES, REGION_DOCS = 8 << 20, 1_024
 PIVOTS = 16
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -126,12 +126,12 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(np.cumsum([0, *map(len, arrays)], dtype=np.int32), pa.array(flat))
 
 
-def _stars(docs: np.ndarray, sets: list[np.ndarray], names: np.ndarray, percent: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _stars(docs: np.ndarray, made: list[np.ndarray], names: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each document of a batch the keys that it is the first to have, and the first ones that it shares others with."""
     n = len(docs)
     _, first = np.unique(names, axis=0, return_index=True)
     lone = np.isin(np.arange(n), first)
-    made = [signature_keys(s, percent) if own else np.zeros(0, np.uint64) for s, own in zip(sets, lone)]
+    made = [keys if own else keys[:0] for keys, own in zip(made, lone)]
     flat, row = np.concatenate([np.zeros(0, np.uint64), *made]), np.repeat(np.arange(n), [len(k) for k in made])
     _, lead_at, where = np.unique(flat, return_index=True, return_inverse=True)
     lead = row[lead_at[where]]
@@ -139,8 +139,9 @@ def _stars(docs: np.ndarray, sets: list[np.ndarray], names: np.ndarray, percent:
     pairs = np.unique(np.stack((row[~mine], lead[~mine])), axis=1)
     held = np.searchsorted(row[mine], np.arange(n + 1))
     with_first = np.searchsorted(pairs[0], np.arange(n + 1))
-    keys = [flat[mine][a:b] for a, b in zip(held[:-1], held[1:])]
-    leads = [docs[pairs[1][a:b]] for a, b in zip(with_first[:-1], with_first[1:])]
+    own, first_ones = flat[mine], docs[pairs[1]]
+    keys = [own[a:b] for a, b in zip(held[:-1], held[1:])]
+    leads = [first_ones[a:b] for a, b in zip(with_first[:-1], with_first[1:])]
     _, of = np.unique(names, axis=0, return_inverse=True)
     for i in np.flatnonzero(~lone):
         leads[i] = docs[[first[of.ravel()[i]]]]
@@ -152,17 +153,20 @@ def _described(docs: DataFrame, doc_id: str, text: str, size: int, percent: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(batch.column(1), size)
-            names = np.array([_identity(s) for s in sets], np.int64).reshape(-1, 2)
-            keys = [np.zeros(0, np.uint64)] * len(sets)
+            sizes, named, made = [], [], []
+            for strip in strips(batch.column(1)):  # sets of one strip of texts at a time, keys are far fewer
+                for s in shingle_sets(strip, size):
+                    sizes.append(len(s)), named.append(_identity(s)), made.append(signature_keys(s, percent))
+            names = np.array(named, np.int64).reshape(-1, 2)
+            keys = [np.zeros(0, np.uint64)] * len(sizes)
             leads = list(keys)
-            known = np.flatnonzero(batch.column(0).is_valid().to_numpy(zero_copy_only=False) & (np.array([len(s) for s in sets]) > 0))
+            known = np.flatnonzero(batch.column(0).is_valid().to_numpy(zero_copy_only=False) & (np.array(sizes) > 0))
             if len(known):
                 ids = batch.column(0).take(pa.array(known)).to_numpy()
-                for i, k, f in zip(known, *_stars(ids, [sets[i] for i in known], names[known], percent)):
+                for i, k, f in zip(known, *_stars(ids, [made[i] for i in known], names[known])):
                     keys[i], leads[i] = k, f.view(np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0]), pa.array(names[:, 1]), _lists(keys), _lists(leads)],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names[:, 0]), pa.array(names[:, 1]), _lists(keys), _lists(leads)],
                 ["doc_id", "n", "a", "b", "keys", "leads"],
             )
 
@@ -185,13 +189,17 @@ def _member_sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str, si
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(batch.column(4), size)
-            same = [i for i, s in enumerate(sets) if _identity(s) == (batch.column(2)[i].as_py(), batch.column(3)[i].as_py())]
-            at = pa.array(same, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array([sets[i].tobytes() for i in same], pa.binary())],
-                ["region", "node", "shingles"],
-            )
+            done = 0
+            for strip in strips(batch.column(4)):
+                sets, rows = shingle_sets(strip, size), batch.slice(done, len(strip))
+                done += len(strip)
+                wanted = zip(rows.column(2).to_pylist(), rows.column(3).to_pylist())
+                same = [i for i, (s, name) in enumerate(zip(sets, wanted)) if _identity(s) == name]
+                at = pa.array(same, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0).take(at), rows.column(1).take(at), pa.array([sets[i].tobytes() for i in same], pa.binary())],
+                    ["region", "node", "shingles"],
+                )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_of(text).alias("_text"))
     rows = rows.join(bounded_broadcast(members), F.col("_id") == F.col("node")).select("region", "node", "a", "b", "_text")
@@ -321,7 +329,7 @@ def split_regions(rows: DataFrame, sizes: DataFrame, tries: int, percent: int, r
              pa.array(distance), linked], ["region", "cell", "node", "shingles", "distance", "linked"],
         )
 
-    tiles = F.ceil(F.col("bytes") / region_bytes).cast("int")
+    tiles = F.greatest(F.ceil(F.col("bytes") / region_bytes), F.ceil(F.col("documents") / REGION_DOCS)).cast("int")
     sized = rows.join(bounded_broadcast(sizes), "region")
     drawn = sized.filter(F.pmod(F.xxhash64("node", F.lit(tries)), F.col("documents")) < PIVOTS).dropDuplicates(["region", "shingles"])
     both = sized.select("region", F.pmod(F.xxhash64("node", "shingles"), tiles).cast("int").alias("tile"), F.lit(0).alias("chosen"), "node", "shingles").union(
@@ -335,7 +343,9 @@ def split_regions(rows: DataFrame, sizes: DataFrame, tries: int, percent: int, r
 
 def tile_pairs(rows: DataFrame, sizes: DataFrame, region_bytes: int) -> DataFrame:
     """Rows of the regions in `sizes` once per pair of tiles they belong to: any two documents meet."""
-    sized = rows.join(bounded_broadcast(sizes), "region").withColumn("tiles", F.ceil(F.col("bytes") * 2 / region_bytes).cast("int"))
+    sized = rows.join(bounded_broadcast(sizes), "region").withColumn(
+        "tiles", F.greatest(F.ceil(F.col("bytes") * 2 / region_bytes), F.ceil(F.col("documents") * 2 / REGION_DOCS)).cast("int")
+    )
     sized = sized.withColumn("tile", F.pmod(F.xxhash64("node", "shingles"), F.col("tiles")).cast("int"))
     others = F.when(F.col("tiles") == 1, F.array(F.lit(0))).otherwise(
         F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: t != F.col("tile"))
@@ -354,7 +364,7 @@ def region_links(rows: DataFrame, percent: int = PERCENT, region_bytes: int = RE
     radius = (100 - percent) / 100 + 1e-9
     found, tries = [], 0
     while True:
-        large = materialize(_sizes(rows, "region").filter(F.col("bytes") > region_bytes), "large")
+        large = materialize(_sizes(rows, "region").filter((F.col("bytes") > region_bytes) | (F.col("documents") > REGION_DOCS)), "large")
         whole = rows.join(bounded_broadcast(large.select("region")), "region", "left_anti")
         found.append(materialize(join_regions(whole.withColumns({"low": F.lit(0), "high": F.lit(0)}), percent), "links"))
         if large.isEmpty():

@@ -9,6 +9,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -145,14 +146,31 @@ def copies(spark):
     return rows, jaccard_rows(rows)
 
 
-@pytest.mark.parametrize("region_bytes", [jaccard_regions.REGION_BYTES, 20_000, 6_000])
-def test_jaccard_join_equals_brute_force(spark, copies, region_bytes):
+@pytest.mark.parametrize("region_bytes, documents", [(jaccard_regions.REGION_BYTES, 1_024), (20_000, 1_024), (6_000, 1_024), (1 << 20, 20)])
+def test_jaccard_join_equals_brute_force(spark, copies, monkeypatch, region_bytes, documents):
     """Regions joined whole, split about pivots, and cut into tiles."""
     rows, want = copies
+    monkeypatch.setattr(jaccard_regions, "REGION_DOCS", documents)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert {tuple(r) for r in jaccard_regions.jaccard_components(docs, region_bytes=region_bytes).collect()} == want
 
 
+def test_words_of_strips_and_slices():
+    from metricloom.llm.word_codes import encode, strips
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["Ä", "b", "Word", "\x1c", "x\x0by"]) for _ in range(rng.randint(0, 30))) for _ in range(500)]
+    column = pa.array(texts)
+    want = [shingle_set(t) for t in texts]
+    for part in ([column], list(strips(column, 700)), [column.slice(0, 77), column.slice(77)], [column.cast(pa.large_string()).slice(3, 100)]):
+        codes = [encode(p, lower=True) for p in part]
+        words = [[w[c].as_py() for c in ids[a:b]] for ids, bounds, w in codes for a, b in zip(bounds[:-1], bounds[1:])]
+        first = 3 if len(words) == 100 else 0
+        assert [shingle_set(" ".join(w)) for w in words] == want[first : first + len(words)]
+        assert [len(s) for p in part for s in jaccard_regions.shingle_sets(p)] == [len(s) for s in want[first : first + len(words)]]
+    assert len(list(strips(column, 700))) > 20 and [len(p) for p in strips(pa.array([], pa.string()))] == []
+
+
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(7)
     for n in [*range(1, 60), 100, 333, 1000]:
