@@ -1,9 +1,13 @@
 """Training, selection, storage and scoring."""
 
+import itertools
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import same
+from metricloom.catalog.queries import QUERIES
 from metricloom.functions import calendar
 from metricloom.operators import evaluate, models, splits
 from metricloom.plans import ordered, workspace
@@ -147,3 +151,30 @@ def test_null_labels_are_filled_before_the_split(separable):
     bundle, scored = models.train(rows, features=FEATURES, grid=SMALL)
     row = bundle.history.first()
     assert (row["train_size"], row["test_size"]) == (1_200, 300) and scored.filter("is_anomaly is null").isEmpty()
+
+
+def test_training_history_searches_the_whole_grid(spark, tmp_path, monkeypatch):
+    """The search is told every candidate of the definition; here one small forest stands in for their fits."""
+    rows = spark.range(400).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 600).alias("ts"),
+        F.concat(F.lit("s"), F.pmod("id", F.lit(2))).alias("event_type"),
+        (F.pmod(F.xxhash64("id"), F.lit(15_000)) / 100).alias("value"),
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    asked, search = [], models.CrossValidator
+
+    def spy(**settings):
+        asked.extend(({p.name: v for p, v in c.items()}, settings["numFolds"]) for c in settings["estimatorParamMaps"])
+        return search(**{**settings, "estimatorParamMaps": [{p: 2 for p in settings["estimatorParamMaps"][0]}]})
+
+    monkeypatch.setattr(models, "CrossValidator", spy)
+    row = QUERIES["training_history"](spark, str(tmp_path)).first()
+    wanted = itertools.product((100, 200), (10, 15, 30), (2, 5))
+    assert asked == [({"numTrees": n, "maxDepth": d, "minInstancesPerNode": leaf}, 3) for n, d, leaf in wanted]
+    assert json.loads(row["best_params"]) == {"numTrees": 2, "maxDepth": 2, "minInstancesPerNode": 2}
+    (tn, fp), (fn, tp) = row["confusion_matrix"]
+    positives = rows.filter("value > 120").count()
+    assert tn + fp + fn + tp == row["test_size"] == 400 - row["train_size"] and fn + tp == round(0.2 * positives)
+    assert list(json.loads(row["class_weights"])) == ["0", "1"]
+    assert len(row["feature_importance"]) == row["n_features"] == 64
