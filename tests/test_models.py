@@ -178,3 +178,10 @@ def test_training_history_searches_the_whole_grid(spark, tmp_path, monkeypatch):
     assert tn + fp + fn + tp == row["test_size"] == 400 - row["train_size"] and fn + tp == round(0.2 * positives)
     assert list(json.loads(row["class_weights"])) == ["0", "1"]
     assert len(row["feature_importance"]) == row["n_features"] == 64
+
+
+def test_nodes_kept_beside_rows_grow_the_same_forest(separable, trained):
+    kept = models.train(separable, features=FEATURES, grid=SMALL, forest={"cacheNodeIds": True})[0]
+    trees = lambda bundle: bundle.model.stages[-1].toDebugString.split("\n", 1)[1]
+    assert kept.model.stages[-1].getOrDefault("cacheNodeIds") and trees(kept) == trees(trained[0])
+    same(kept.history.drop("feature_importance", "confusion_matrix"), trained[0].history.drop("feature_importance", "confusion_matrix"))
